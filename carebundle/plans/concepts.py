@@ -22,5 +22,8 @@ def preview(frame: DataFrame, *columns: str, rows: int = 10) -> DataFrame:
 
 
 def one_per_code(frame: DataFrame, code: str, description: str) -> DataFrame:
-    """One row per code with its smallest description, so that re-runs give the same row."""
-    return frame.groupBy(code).agg(F.min(description).alias(description))
+    """One row per code with its smallest description, so that re-runs give the same row.
+
+    The distinct pairs come first: they are found by hashing, while the minimum of a text is found by sorting.
+    """
+    return frame.select(code, description).distinct().groupBy(code).agg(F.min(description).alias(description))

@@ -83,10 +83,8 @@ def builtin_concepts(spark) -> DataFrame:
 
 def to_concepts(conditions: DataFrame, procedures: DataFrame) -> DataFrame:
     """One concept per code, and the built-in ones.  Both tables are reduced to their codes before they meet."""
-    codes = one_per_code(conditions, "code", "description").unionByName(
-        one_per_code(procedures, "code", "description")
-    )
-    concepts = one_per_code(codes, "code", "description").select(
+    pairs = [frame.select("code", "description").distinct() for frame in (conditions, procedures)]
+    concepts = one_per_code(pairs[0].unionByName(pairs[1]), "code", "description").select(
         surrogate_key("concept_fhir", ["code"]).alias("concept_id"),
         F.col("code").alias("concept_code"),
         F.col("description").alias("concept_name"),
