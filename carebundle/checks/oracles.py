@@ -402,7 +402,9 @@ select l_returnflag, l_linestatus, row_number() over (partition by l_returnflag,
         "warehouse_roundtrip": visits,
         "supply_cache_roundtrip": row_id["to_costs_by_row_id"],
         "package_roundtrip": _target("note"),
-        "package_single_file": _target("provider"),
+        "package_single_file": _with(
+            ("provider", "care_site"), "select * from provider left join care_site using (care_site_id)"
+        ),
         "stream_visit_occurrences": visits,
         "with_cohorts": _with(("person",), f"{_cohort(*_MEN)} union all {_cohort(*_WOMEN)}"),
         "with_cohort_definitions": _with(

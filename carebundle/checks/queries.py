@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from carebundle.bundle import Bundle
 from carebundle.functions import codes, keys, parse
 from carebundle.operators import access, audit, columns, copies
-from carebundle.plans import concepts, convert, star
+from carebundle.plans import concepts, convert
+from carebundle.plans.star import ROW_IDS, Star, uuid_text
 from carebundle.schema import target_schema
 from carebundle.sources import package, storage, supply, tables
 from carebundle.sources.literal import empty_table, literal_frame
@@ -49,13 +50,13 @@ def parse_datetime(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("o_orderkey")
     text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm'Z'")
     mixed = F.when(key % 5 == 0, F.substring(text, 1, 10)).when(key % 7 == 0, "soon").when(key % 11 != 0, text)
-    orders = star.table(spark, folder, "orders").select("o_orderkey", mixed.alias("text"))
+    orders = Star(spark, folder).driving_table("orders").select("o_orderkey", mixed.alias("text"))
     return orders.select("o_orderkey", parse.parse_datetime("text").alias("parsed"))
 
 
 @query
 def parse_date(spark: SparkSession, folder: str) -> DataFrame:
-    patients = star.patients(spark, folder)
+    patients = Star(spark, folder).patients()
     return patients.select(
         "id",
         parse.parse_date("birthdate").alias("birth"),
@@ -68,7 +69,7 @@ def parse_date(spark: SparkSession, folder: str) -> DataFrame:
 def parse_day(spark: SparkSession, folder: str) -> DataFrame:
     """Dates from texts with and without a time."""
     text = F.col("date")
-    rows = star.procedures(spark, folder).select(
+    rows = Star(spark, folder).procedures().select(
         F.when(F.col("code") == "P-Brand#7", F.substring(text, 1, 10)).otherwise(text).alias("text")
     )
     return rows.groupBy(parse.parse_day("text").alias("day")).agg(F.count(F.lit(1)).alias("n"))
@@ -78,30 +79,30 @@ def parse_day(spark: SparkSession, folder: str) -> DataFrame:
 def uuid_numeric_id(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of good, upper-case and malformed UUIDs."""
     key = F.col("o_orderkey")
-    uuid = star.uuid_text("encounter", key)
+    uuid = uuid_text("encounter", key)
     mixed = F.when(key % 13 == 0, F.concat(F.lit("x"), uuid)).when(key % 7 == 0, F.upper(uuid)).otherwise(uuid)
-    orders = star.table(spark, folder, "orders").select("o_orderkey", mixed.alias("uuid"))
+    orders = Star(spark, folder).driving_table("orders").select("o_orderkey", mixed.alias("uuid"))
     return orders.select("o_orderkey", keys.uuid_id("uuid").alias("id"))
 
 
 @query
 def surrogate_key(spark: SparkSession, folder: str) -> DataFrame:
     natural = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    lines = star.table(spark, folder, "lineitem")
+    lines = Star(spark, folder).driving_table("lineitem")
     return lines.select(*natural, keys.surrogate_key("line", natural).alias("line_key"))
 
 
 @query
 def hex_bytes(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("o_orderkey") * 7919 % 1_000_000
-    return star.table(spark, folder, "orders").select("o_orderkey", keys.hex_bytes(number).alias("hex_key"))
+    return Star(spark, folder).driving_table("orders").select("o_orderkey", keys.hex_bytes(number).alias("hex_key"))
 
 
 @query
 def gender_concept(spark: SparkSession, folder: str) -> DataFrame:
     concept = codes.gender_concept("gender")
     return (
-        star.patients(spark, folder)
+        Star(spark, folder).patients()
         .groupBy(
             "gender", concept.alias("concept_id"), codes.gender_source_concept(concept).alias("source_concept_id")
         )
@@ -112,7 +113,7 @@ def gender_concept(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def visit_concept(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        star.encounters(spark, folder)
+        Star(spark, folder).encounters()
         .groupBy("encounterClass", codes.visit_concept("encounterClass").alias("concept_id"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -120,7 +121,7 @@ def visit_concept(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_double(spark: SparkSession, folder: str) -> DataFrame:
-    patients = star.patients(spark, folder)
+    patients = Star(spark, folder).patients()
     return patients.select("id", parse.parse_double("lat").alias("lat"), parse.parse_double("lon").alias("lon"))
 
 
@@ -129,83 +130,83 @@ def parse_double(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def to_fhir_concepts(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_concepts(star.conditions(spark, folder), star.procedures(spark, folder))
+    return convert.to_concepts(Star(spark, folder).conditions(), Star(spark, folder).procedures())
 
 
 @query
 def to_persons(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_persons(star.patients(spark, folder))
+    return convert.to_persons(Star(spark, folder).patients())
 
 
 @query
 def to_observations(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_observations(star.patients(spark, folder))
+    return convert.to_observations(Star(spark, folder).patients())
 
 
 @query
 def to_locations(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_locations(star.patients(spark, folder))
+    return convert.to_locations(Star(spark, folder).patients())
 
 
 @query
 def to_visit_occurrences(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_visit_occurrences(star.encounters(spark, folder))
+    return convert.to_visit_occurrences(Star(spark, folder).encounters())
 
 
 @query
 def to_notes(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_notes(star.encounters(spark, folder))
+    return convert.to_notes(Star(spark, folder).encounters())
 
 
 @query
 def to_care_sites(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_care_sites(star.organizations(spark, folder))
+    return convert.to_care_sites(Star(spark, folder).organizations())
 
 
 @query
 def to_condition_occurrences(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_condition_occurrences(star.conditions(spark, folder))
+    return convert.to_condition_occurrences(Star(spark, folder).conditions())
 
 
 @query
 def to_procedure_occurrences(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_procedure_occurrences(star.procedures(spark, folder))
+    return convert.to_procedure_occurrences(Star(spark, folder).procedures())
 
 
 @query
 def to_costs(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_costs(star.procedures(spark, folder))
+    return convert.to_costs(Star(spark, folder).procedures())
 
 
 @query
 def to_condition_occurrences_by_row_id(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_condition_occurrences(star.conditions(spark, folder), star.ROW_IDS["conditions"])
+    return convert.to_condition_occurrences(Star(spark, folder).conditions(), ROW_IDS["conditions"])
 
 
 @query
 def to_procedure_occurrences_by_row_id(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_procedure_occurrences(star.procedures(spark, folder), star.ROW_IDS["procedures"])
+    return convert.to_procedure_occurrences(Star(spark, folder).procedures(), ROW_IDS["procedures"])
 
 
 @query
 def to_costs_by_row_id(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_costs(star.procedures(spark, folder), star.ROW_IDS["procedures"])
+    return convert.to_costs(Star(spark, folder).procedures(), ROW_IDS["procedures"])
 
 
 @query
 def to_providers(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_providers(star.providers(spark, folder))
+    return convert.to_providers(Star(spark, folder).providers())
 
 
 @query
 def number_copies(spark: SparkSession, folder: str) -> DataFrame:
     """Copies of a few hot rows, cut into small chunks."""
-    lines = star.table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus")
+    lines = Star(spark, folder).driving_table("lineitem").select("l_returnflag", "l_linestatus")
     return copies.number_copies(lines, chunk=1000)
 
 
 def _target(spark: SparkSession, folder: str) -> Bundle:
-    return convert.convert(star.source_bundle(spark, folder), star.ROW_IDS)
+    return convert.convert(Star(spark, folder).bundle(), ROW_IDS)
 
 
 @query
@@ -218,22 +219,24 @@ def convert_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def add_missing_columns(spark: SparkSession, folder: str) -> DataFrame:
-    return _target(spark, folder).add_missing_columns()["person"]
+    persons = Bundle({"person": convert.to_persons(Star(spark, folder).patients())})
+    return persons.add_missing_columns({"person": target_schema("person")})["person"]
 
 
 @query
 def validate_errors(spark: SparkSession, folder: str) -> DataFrame:
     """The errors of three broken tables, each with the number of rows it concerns."""
-    target = _target(spark, folder)
+    star = Star(spark, folder)
+    care_sites = convert.to_care_sites(star.organizations())
     broken = Bundle(
         {
-            "person": target["person"].withColumn("hash", F.lit(123)),
-            "provider": target["provider"].withColumn("nickname", F.lit("")),
-            "care_site": target["care_site"],
+            "person": convert.to_persons(star.patients()).withColumn("hash", F.lit(123)),
+            "provider": convert.to_providers(star.providers()).withColumn("nickname", F.lit("")),
+            "care_site": care_sites,
         }
     )
     schemas = {name: target_schema(name) for name in broken}
-    schemas["care_site"] = T.StructType([*target["care_site"].schema.fields, T.StructField("opened", T.DateType())])
+    schemas["care_site"] = T.StructType([*care_sites.schema.fields, T.StructField("opened", T.DateType())])
     allowed = Bundle({name: broken[name] for name in ("person", "provider")})
     errors = [
         *allowed.validate({name: schemas[name] for name in allowed}, allow_missing_fields=True).errors,
@@ -246,13 +249,13 @@ def validate_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def with_hash(spark: SparkSession, folder: str) -> DataFrame:
-    return columns.with_hash(convert.to_persons(star.patients(spark, folder)))
+    return columns.with_hash(convert.to_persons(Star(spark, folder).patients()))
 
 
 @query
 def with_hash_content(spark: SparkSession, folder: str) -> DataFrame:
     """As many different hashes as different rows."""
-    costs = convert.to_costs(star.procedures(spark, folder), star.ROW_IDS["procedures"]).drop("cost_id")
+    costs = convert.to_costs(Star(spark, folder).procedures(), ROW_IDS["procedures"]).drop("cost_id")
     return columns.with_hash(costs, content=True).agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("hash").alias("n_hashes")
     )
@@ -260,14 +263,15 @@ def with_hash_content(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def expand_concept_columns(spark: SparkSession, folder: str) -> DataFrame:
-    return columns.expand_concept_columns(convert.to_persons(star.patients(spark, folder)))
+    return columns.expand_concept_columns(convert.to_persons(Star(spark, folder).patients()))
 
 
 @query
 def coalesce_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per table after coalescing, and whether they lie in no more partitions than asked for."""
-    source = star.source_bundle(spark, folder)
-    asked = {name: i + 1 for i, name in enumerate(source)}
+    source = Star(spark, folder).bundle()
+    parallelism = spark.sparkContext.defaultParallelism
+    asked = {name: parallelism + i for i, name in enumerate(source)}
     parts = [
         frame.groupBy(F.spark_partition_id().alias("part"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -287,14 +291,14 @@ def coalesce_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = storage.new_folder(spark, "csv")
-    tables.to_csvs(star.source_bundle(spark, folder), path)
+    tables.to_csvs(Star(spark, folder).bundle(), path)
     return tables.from_csvs(spark, path)["encounters"]
 
 
 @query
 def temp_view_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     suffix = uuid4().hex
-    source = star.source_bundle(spark, folder)
+    source = Star(spark, folder).bundle()
     tables.create_or_replace_temp_views(source, lambda name: f"{name}_{suffix}")
     views = [f"{name}_{suffix}" for name in source]
     return tables.from_temp_views(spark, views, lambda view: view.removesuffix(f"_{suffix}"))["encounters"]
@@ -303,7 +307,7 @@ def temp_view_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def warehouse_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     suffix = uuid4().hex
-    bundle = Bundle({"visit_occurrence": convert.to_visit_occurrences(star.encounters(spark, folder))})
+    bundle = Bundle({"visit_occurrence": convert.to_visit_occurrences(Star(spark, folder).encounters())})
     location = storage.new_folder(spark, "warehouse")
     tables.save_to_warehouse(bundle, lambda name: f"{name}_{suffix}", location=location)
     return tables.from_warehouse(spark, [f"visit_occurrence_{suffix}"], lambda _: "visits")["visits"]
@@ -313,42 +317,43 @@ def warehouse_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def supply_cache_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The source is computed once; the second request must not call its supplier."""
     cache = supply.SupplyCache(spark, storage.new_folder(spark, "cache"))
-    source = star.source_bundle(spark, folder)
+    source = Star(spark, folder).bundle()
     cache.bundle("source", source, lambda: source)
 
     def refuse() -> Bundle:
         raise AssertionError("the cached bundle was computed again")
 
-    return convert.to_costs(cache.bundle("source", list(source), refuse)["procedures"], star.ROW_IDS["procedures"])
+    return convert.to_costs(cache.bundle("source", list(source), refuse)["procedures"], ROW_IDS["procedures"])
 
 
 @query
 def package_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = storage.new_folder(spark, "package")
-    source = star.source_bundle(spark, folder)
-    bundle = Bundle(
-        {"person": convert.to_persons(source["patients"]), "note": convert.to_notes(source["encounters"])}
-    )
+    star = Star(spark, folder)
+    bundle = Bundle({"person": convert.to_persons(star.patients()), "note": convert.to_notes(star.encounters())})
     package.write_package(package.describe(bundle, name="visits"), bundle, path)
     return package.read_package(spark, path).bundle["note"]
 
 
 @query
 def package_single_file(spark: SparkSession, folder: str) -> DataFrame:
-    """A package of CSV files with a header, one file per table that was written as one."""
+    """A package of CSV files with a header: the few care sites end as one file, providers as many as it takes."""
     path = storage.new_folder(spark, "package")
-    source = star.source_bundle(spark, folder)
-    bundle = Bundle({"provider": convert.to_providers(source["providers"]).coalesce(1)})
+    star = Star(spark, folder)
+    bundle = Bundle(
+        {"provider": convert.to_providers(star.providers()), "care_site": convert.to_care_sites(star.organizations())}
+    )
     options = {"csv": {"header": True}}
     package.write_package(package.describe(bundle, "csv"), bundle, path, single_files=True, options=options)
-    return package.read_package(spark, path, options).bundle["provider"]
+    read = package.read_package(spark, path, options).bundle
+    return read["provider"].join(read["care_site"], "care_site_id", "left")
 
 
 @query
 def stream_visit_occurrences(spark: SparkSession, folder: str) -> DataFrame:
     """Encounters that lie on storage, read as a stream and converted."""
     arrived, converted = storage.new_folder(spark, "arrived"), storage.new_folder(spark, "converted")
-    encounters = star.encounters(spark, folder)
+    encounters = Star(spark, folder).encounters()
     encounters.write.parquet(arrived)
     stream = spark.readStream.schema(encounters.schema).parquet(arrived)
     checkpoint = storage.new_folder(spark, "progress")
@@ -360,13 +365,13 @@ def stream_visit_occurrences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _access_bundle(spark: SparkSession, folder: str) -> Bundle:
-    source = star.source_bundle(spark, folder)
+    star = Star(spark, folder)
     empty = {table: empty_table(spark, table) for table in ("cohort_definition", "cohort", "role", "care_site_history")}
     return Bundle(
         {
-            "person": convert.to_persons(source["patients"]),
-            "provider": convert.to_providers(source["providers"]),
-            "care_site": convert.to_care_sites(source["organizations"]),
+            "person": convert.to_persons(star.patients()),
+            "provider": convert.to_providers(star.providers()),
+            "care_site": convert.to_care_sites(star.organizations()),
             **empty,
         }
     )
@@ -468,7 +473,7 @@ def preview_limit(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dedupe_codes(spark: SparkSession, folder: str) -> DataFrame:
-    return concepts.one_per_code(star.conditions(spark, folder), "code", "description")
+    return concepts.one_per_code(Star(spark, folder).conditions(), "code", "description")
 
 
 # --- audits ------------------------------------------------------------------------------------------------
@@ -477,11 +482,11 @@ def dedupe_codes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def key_collisions(spark: SparkSession, folder: str) -> DataFrame:
     """Persons of unknown gender appear twice, and lose their key in the third copy."""
-    source = star.source_bundle(spark, folder)
-    persons = convert.to_persons(source["patients"])
+    star = Star(spark, folder)
+    persons = convert.to_persons(star.patients())
     unknown = persons.where(F.col("gender_concept_id").isNull())
     keyless = unknown.withColumn("person_id", F.lit(None).cast("bigint"))
-    costs = convert.to_costs(source["procedures"], star.ROW_IDS["procedures"])
+    costs = convert.to_costs(star.procedures(), ROW_IDS["procedures"])
     return audit.key_collisions(Bundle({"person": persons.unionByName(unknown).unionByName(keyless), "cost": costs}))
 
 

@@ -22,11 +22,11 @@ def uuid_id(column: Column | str) -> Column:
     Null and malformed text give null.  The one value without an absolute value, -2^63, is kept as it is.
     """
     uuid = _col(column)
-    low_bits = F.concat(F.substring(uuid, 20, 4), F.substring(uuid, 25, 12))
+    high, low = F.substring(uuid, 20, 4), F.substring(uuid, 25, 12)
     return (
         F.when(~uuid.rlike(UUID_SHAPE), F.lit(None).cast("bigint"))
-        .when(low_bits == "8000000000000000", F.lit(LONG_MIN))
-        .otherwise(F.abs(F.conv(low_bits, 16, -10).cast("bigint")))
+        .when((high == "8000") & (low == "000000000000"), F.lit(LONG_MIN))
+        .otherwise(F.abs(F.conv(F.concat(high, low), 16, -10).cast("bigint")))
     )
 
 

@@ -149,9 +149,9 @@ def with_root_provider(bundle: Bundle, username: str = ROOT_NAME, narrow: bool =
 
 
 def broadcast_if_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a frame of a few narrow columns for broadcast if a count that stops early shows that it is small; a
-    larger one is returned as it is and will be shuffled."""
-    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+    """Mark a frame of a few narrow columns for broadcast if it is counted to be small; a larger one is returned as
+    it is and will be shuffled."""
+    return F.broadcast(frame) if frame.count() <= rows else frame
 
 
 def readable_persons(bundle: Bundle, username: str) -> DataFrame:

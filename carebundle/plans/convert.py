@@ -126,9 +126,7 @@ def to_observations(patients: DataFrame) -> DataFrame:
 def to_locations(patients: DataFrame) -> DataFrame:
     """One location per patient; its key holds the patient's id, since two patients may share an address."""
     return patients.select(
-        "address",
-        "city",
-        "state",
+        *(F.col(name).alias(name) for name in ("address", "city", "state")),
         parse_double("lat").alias("latitude"),
         parse_double("lon").alias("longitude"),
         surrogate_key("location", ["id"]).alias("location_id"),

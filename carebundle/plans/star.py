@@ -7,18 +7,20 @@ below the session's limit and shuffles it otherwise.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carebundle.bundle import Bundle
+from carebundle.schema import SOURCE_TABLES
+from carebundle.sources.storage import total_bytes
 
+# A table below this size may well be a single file with a single row group, which one task reads alone.
+SMALL_TABLE_BYTES = 1 << 30
 ROW_IDS = {"conditions": ("line",), "procedures": ("line",)}
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-
-
 def uuid_text(kind: str, key: Column | str) -> Column:
     """A UUID-shaped text from the md5 of a kind and a key; null for a null key."""
     key = F.col(key) if isinstance(key, str) else key
@@ -37,127 +39,131 @@ def _digits(column: Column, width: int) -> Column:
     return F.lpad(column.cast("string"), width, "0")
 
 
-def patients(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    birth = F.date_add(F.lit("1930-01-01").cast("date"), (key % 30000).cast("int"))
-    joined = (
-        table(spark, folder, "customer")
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    )
-    return joined.select(
-        uuid_text("patient", key).alias("id"),
-        birth.cast("string").alias("birthdate"),
-        F.when(key % 10 == 0, F.date_add(birth, 20000).cast("string")).alias("deathdate"),
-        F.concat(F.lit("999-"), _digits(key % 100, 2), F.lit("-"), _digits(key % 10000, 4)).alias("ssn"),
-        F.when(key % 17 != 0, F.concat(F.lit("Given"), (key % 1000).cast("string"))).alias("first"),
-        F.col("c_name").alias("last"),
-        F.when(key % 23 == 0, "U").when(key % 2 == 0, "F").otherwise("M").alias("gender"),
-        F.concat((key % 997).cast("string"), F.lit(" Main Street")).alias("address"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("state"),
-        F.when(key % 31 == 0, "unknown")
-        .otherwise(F.concat((key % 90).cast("string"), F.lit("."), _digits(key % 100, 2)))
-        .alias("lat"),
-        F.concat(F.lit("-"), (key % 180).cast("string"), F.lit("."), _digits(key % 100, 2)).alias("lon"),
-    )
-
-
-def encounters(spark: SparkSession, folder: str) -> DataFrame:
-    """One encounter per order.  The supplier is picked by the order key modulo the number of suppliers, which is a
-    scalar subquery and not a driver-side count."""
-    order = F.col("o_orderkey")
-    supplier = table(spark, folder, "supplier")
-    suppliers = supplier.agg(F.count(F.lit(1))).scalar()
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", (order % suppliers).alias("supplier")
-    )
-    clock = "yyyy-MM-dd'T'HH:mm'Z'"
-    stop = F.col("o_orderdate") + F.make_dt_interval(hours=(order % 72).cast("int"))
-    kind = order % 7
-    return orders.join(supplier, F.col("supplier") == F.col("s_suppkey"), "left").select(
-        uuid_text("encounter", order).alias("id"),
-        uuid_text("patient", "o_custkey").alias("patient"),
-        uuid_text("provider", "s_suppkey").alias("provider"),
-        uuid_text("organization", "s_nationkey").alias("organization"),
-        F.date_format("o_orderdate", clock).alias("start"),
-        F.date_format(stop, clock).alias("stop"),
-        F.when(kind == 0, "inpatient")
-        .when(kind == 1, "ambulatory")
-        .when(kind == 2, "outpatient")
-        .when(kind == 3, "wellness")
-        .when(kind == 4, "emergency")
-        .when(kind == 5, "urgentcare")
-        .otherwise("hospice")
-        .alias("encounterClass"),
-    )
-
-
-def organizations(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "nation").select(
-        uuid_text("organization", "n_nationkey").alias("id"), F.col("n_name").alias("name")
-    )
-
-
-def providers(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return table(spark, folder, "supplier").select(
-        uuid_text("provider", key).alias("id"),
-        F.col("s_name").alias("name"),
-        uuid_text("organization", "s_nationkey").alias("organization"),
-        F.when(key % 11 == 0, "U").when(key % 2 == 0, "F").otherwise("M").alias("gender"),
-    )
-
-
-def _lines(spark: SparkSession, folder: str, condition: Column) -> DataFrame:
-    """Line items with their part and, as the outermost join, their order."""
-    return (
-        table(spark, folder, "lineitem")
-        .where(condition)
-        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    )
-
-
 def _line_id() -> Column:
     return F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey").alias("line")
 
 
-def conditions(spark: SparkSession, folder: str) -> DataFrame:
-    start = F.col("l_shipdate").cast("date")
-    return _lines(spark, folder, F.col("l_returnflag") == "R").select(
-        start.cast("string").alias("start"),
-        F.when(F.col("l_linenumber") != 3, F.date_add(start, F.col("l_quantity").cast("int")).cast("string")).alias(
-            "stop"
-        ),
-        uuid_text("encounter", "l_orderkey").alias("encounter"),
-        uuid_text("patient", "o_custkey").alias("patient"),
-        F.col("p_brand").alias("code"),
-        F.col("p_type").alias("description"),
-        _line_id(),
-    )
-
-
-def procedures(spark: SparkSession, folder: str) -> DataFrame:
-    clock = F.concat(F.lit("T"), _digits(F.col("l_linenumber"), 2), F.lit(":00Z"))
-    return _lines(spark, folder, F.col("l_returnflag") != "R").select(
-        F.concat(_date_text(F.col("l_shipdate")), clock).alias("date"),
-        uuid_text("encounter", "l_orderkey").alias("encounter"),
-        uuid_text("patient", "o_custkey").alias("patient"),
-        F.concat(F.lit("P-"), F.col("p_brand")).alias("code"),
-        F.col("p_type").alias("description"),
-        _line_id(),
-    )
-
-
-def source_bundle(spark: SparkSession, folder: str) -> Bundle:
-    return Bundle(
-        {
-            "patients": patients(spark, folder),
-            "encounters": encounters(spark, folder),
-            "organizations": organizations(spark, folder),
-            "conditions": conditions(spark, folder),
-            "procedures": procedures(spark, folder),
-            "providers": providers(spark, folder),
-        }
-    )
+class Star:
+    """The source tables over one folder of parquet tables.  Each table's schema is read once, when first used."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+        self.table = cache(lambda name: spark.read.parquet(self._location(name)))
+        self.driving_table = cache(self._driving_table)
+
+    def _location(self, name: str) -> str:
+        return f"{self.folder}/{name}.parquet"
+
+    def _driving_table(self, name: str) -> DataFrame:
+        """A table whose rows get most of the work: a small one is spread over all cores, a large one has enough
+        splits of its own and is not moved."""
+        frame = self.table(name)
+        if total_bytes(self.spark, self._location(name)) >= SMALL_TABLE_BYTES:
+            return frame
+        return frame.repartition(self.spark.sparkContext.defaultParallelism, frame.columns[0])
+
+    def patients(self) -> DataFrame:
+        key = F.col("c_custkey")
+        birth = F.date_add(F.lit("1930-01-01").cast("date"), (key % 30000).cast("int"))
+        joined = (
+            self.driving_table("customer")
+            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        )
+        return joined.select(
+            uuid_text("patient", key).alias("id"),
+            birth.cast("string").alias("birthdate"),
+            F.when(key % 10 == 0, F.date_add(birth, 20000).cast("string")).alias("deathdate"),
+            F.concat(F.lit("999-"), _digits(key % 100, 2), F.lit("-"), _digits(key % 10000, 4)).alias("ssn"),
+            F.when(key % 17 != 0, F.concat(F.lit("Given"), (key % 1000).cast("string"))).alias("first"),
+            F.col("c_name").alias("last"),
+            F.when(key % 23 == 0, "U").when(key % 2 == 0, "F").otherwise("M").alias("gender"),
+            F.concat((key % 997).cast("string"), F.lit(" Main Street")).alias("address"),
+            F.col("n_name").alias("city"),
+            F.col("r_name").alias("state"),
+            F.when(key % 31 == 0, "unknown")
+            .otherwise(F.concat((key % 90).cast("string"), F.lit("."), _digits(key % 100, 2)))
+            .alias("lat"),
+            F.concat(F.lit("-"), (key % 180).cast("string"), F.lit("."), _digits(key % 100, 2)).alias("lon"),
+        )
+
+    def encounters(self) -> DataFrame:
+        """One encounter per order.  The supplier is picked by the order key modulo the number of suppliers, which is a
+        scalar subquery and not a driver-side count."""
+        order = F.col("o_orderkey")
+        supplier = self.table("supplier")
+        suppliers = supplier.agg(F.count(F.lit(1))).scalar()
+        orders = self.driving_table("orders").select(
+            "o_orderkey", "o_custkey", "o_orderdate", (order % suppliers).alias("supplier")
+        )
+        clock = "yyyy-MM-dd'T'HH:mm'Z'"
+        stop = F.col("o_orderdate") + F.make_dt_interval(hours=(order % 72).cast("int"))
+        kind = order % 7
+        return orders.join(supplier, F.col("supplier") == F.col("s_suppkey"), "left").select(
+            uuid_text("encounter", order).alias("id"),
+            uuid_text("patient", "o_custkey").alias("patient"),
+            uuid_text("provider", "s_suppkey").alias("provider"),
+            uuid_text("organization", "s_nationkey").alias("organization"),
+            F.date_format("o_orderdate", clock).alias("start"),
+            F.date_format(stop, clock).alias("stop"),
+            F.when(kind == 0, "inpatient")
+            .when(kind == 1, "ambulatory")
+            .when(kind == 2, "outpatient")
+            .when(kind == 3, "wellness")
+            .when(kind == 4, "emergency")
+            .when(kind == 5, "urgentcare")
+            .otherwise("hospice")
+            .alias("encounterClass"),
+        )
+
+    def organizations(self) -> DataFrame:
+        return self.table("nation").select(
+            uuid_text("organization", "n_nationkey").alias("id"), F.col("n_name").alias("name")
+        )
+
+    def providers(self) -> DataFrame:
+        key = F.col("s_suppkey")
+        return self.table("supplier").select(
+            uuid_text("provider", key).alias("id"),
+            F.col("s_name").alias("name"),
+            uuid_text("organization", "s_nationkey").alias("organization"),
+            F.when(key % 11 == 0, "U").when(key % 2 == 0, "F").otherwise("M").alias("gender"),
+        )
+
+    def _lines(self, condition: Column) -> DataFrame:
+        """Line items with their part and, as the outermost join, their order."""
+        return (
+            self.driving_table("lineitem")
+            .where(condition)
+            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        )
+
+    def conditions(self) -> DataFrame:
+        start = F.col("l_shipdate").cast("date")
+        return self._lines(F.col("l_returnflag") == "R").select(
+            start.cast("string").alias("start"),
+            F.when(F.col("l_linenumber") != 3, F.date_add(start, F.col("l_quantity").cast("int")).cast("string")).alias(
+                "stop"
+            ),
+            uuid_text("encounter", "l_orderkey").alias("encounter"),
+            uuid_text("patient", "o_custkey").alias("patient"),
+            F.col("p_brand").alias("code"),
+            F.col("p_type").alias("description"),
+            _line_id(),
+        )
+
+    def procedures(self) -> DataFrame:
+        clock = F.concat(F.lit("T"), _digits(F.col("l_linenumber"), 2), F.lit(":00Z"))
+        return self._lines(F.col("l_returnflag") != "R").select(
+            F.concat(_date_text(F.col("l_shipdate")), clock).alias("date"),
+            uuid_text("encounter", "l_orderkey").alias("encounter"),
+            uuid_text("patient", "o_custkey").alias("patient"),
+            F.concat(F.lit("P-"), F.col("p_brand")).alias("code"),
+            F.col("p_type").alias("description"),
+            _line_id(),
+        )
+
+    def bundle(self) -> Bundle:
+        return Bundle({name: getattr(self, name)() for name in SOURCE_TABLES})
