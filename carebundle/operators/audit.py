@@ -6,9 +6,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carebundle.bundle import Bundle
 from carebundle.schema import primary_key
+from carebundle.sources.literal import literal_frame
 
 # Columns that refer to a table without having the name of its key, and the condition under which
 # they do.
@@ -32,10 +34,17 @@ def key_collisions(bundle: Bundle) -> DataFrame:
         for name, frame in bundle.items()
         if primary_key(name) in frame.columns
     ]
+    if not keys:
+        return _no_rows(bundle, "table_name string, key bigint, n bigint")
     counted = reduce(DataFrame.unionByName, keys).groupBy("table_name", "key").agg(F.count(F.lit(1)).alias("n"))
     return counted.where((F.col("n") > 1) | F.col("key").isNull())
 
 
+def _no_rows(bundle: Bundle, schema: str) -> DataFrame:
+    spark = next(iter(bundle.values())).sparkSession
+    return literal_frame(spark, [], T.StructType.fromDDL(schema))
+
+
 def _references(bundle: Bundle, name: str) -> list[tuple[str, str, str]]:
     """(column, target table, SQL expression of the reference) of a table, for target tables in the bundle."""
     by_key = {primary_key(table): table for table in bundle}
@@ -55,6 +64,15 @@ def _references(bundle: Bundle, name: str) -> list[tuple[str, str, str]]:
     return found
 
 
+def _known_keys(name: str, frame: DataFrame) -> DataFrame:
+    """(target, key) of a table, neither ever null: a missing key belongs to no target.  The join would otherwise put
+    a null filter on the key into the scan, and compute a derived key once more for it."""
+    key = F.col("key")
+    return frame.select(F.col(primary_key(name)).cast("bigint").alias("key")).select(
+        F.when(key.isNull(), "").otherwise(name).alias("target"), F.coalesce(key, F.lit(0)).alias("key")
+    )
+
+
 def orphan_keys(bundle: Bundle) -> DataFrame:
     """(table_name, column_name, n): rows whose reference is not null and not a key of the table it refers to.
 
@@ -68,11 +86,9 @@ def orphan_keys(bundle: Bundle) -> DataFrame:
             items = ", ".join(f"'{column}', '{target}', cast({value} as bigint)" for column, target, value in references)
             stacked = frame.selectExpr(f"stack({len(references)}, {items}) as (column_name, target, key)")
             used.append(stacked.where("key is not null").select(F.lit(name).alias("table_name"), "*"))
-    known = [
-        frame.select(F.lit(name).alias("target"), F.col(primary_key(name)).cast("bigint").alias("key"))
-        for name, frame in bundle.items()
-        if primary_key(name) in frame.columns
-    ]
+    if not used:
+        return _no_rows(bundle, "table_name string, column_name string, n bigint")
+    known = [_known_keys(name, frame) for name, frame in bundle.items() if primary_key(name) in frame.columns]
     counted = (
         reduce(DataFrame.unionByName, used)
         .groupBy("table_name", "column_name", "target", "key")

@@ -24,10 +24,11 @@ ROW_IDS = {"conditions": ("line",), "procedures": ("line",)}
 def uuid_text(kind: str, key: Column | str) -> Column:
     """A UUID-shaped text from the md5 of a kind and a key; null for a null key."""
     key = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(F.lit(f"{kind}|"), key.cast("string")))
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    parts = [part for start, length in cuts for part in (F.lit("-"), F.substring(digest, start, length))]
-    return F.concat(*parts[1:])
+    text = F.md5(F.concat(F.lit(f"{kind}|"), key.cast("string")))
+    # Dashes are put in from the right, so the digest occurs once in the expression however often it is inlined.
+    for position in (21, 17, 13, 9):
+        text = F.overlay(text, F.lit("-"), position, 0)
+    return text
 
 
 def _date_text(column: Column) -> Column:
