@@ -1,0 +1,63 @@
+from pyspark.sql import functions as F
+
+from carebundle.bundle import Bundle
+from carebundle.operators import access, audit
+from carebundle.plans.convert import convert
+
+
+def _rows(frame):
+    return {tuple(row) for row in frame.collect()}
+
+
+def test_key_collisions(frame):
+    bundle = Bundle(
+        {
+            "person": frame([(1,), (1,), (2,), (None,)], "person_id bigint"),
+            "cost": frame([(1,), (3,)], "cost_id bigint"),
+            "observation": frame([(1,)], "person_id bigint"),
+        }
+    )
+    assert _rows(audit.key_collisions(bundle)) == {("person", 1, 2), ("person", None, 1)}
+
+
+def test_orphans(frame):
+    bundle = Bundle(
+        {
+            "person": frame([(1,), (None,)], "person_id bigint"),
+            "visit_occurrence": frame(
+                [(5, 1, None), (6, 2, 5), (7, 2, 9), (8, 0, None), (9, None, None)],
+                "visit_occurrence_id bigint, person_id bigint, preceding_visit_occurrence_id bigint",
+            ),
+            "cohort": frame([(1, 4, 8), (2, 4, 1)], "cohort_id bigint, cohort_definition_id bigint, subject_id bigint"),
+            "cohort_definition": frame(
+                [(4, 50, "Provider"), (5, 51, "Other")],
+                "cohort_definition_id bigint, owner_entity_id bigint, owner_domain_id string",
+            ),
+            "care_site": frame([(60,)], "care_site_id bigint"),
+        }
+    )
+    assert _rows(audit.orphan_keys(bundle)) == {
+        ("visit_occurrence", "person_id", 3),
+        ("cohort", "subject_id", 1),
+        ("cohort_definition", "owner_entity_id", 1),
+    }
+
+
+def test_nothing_to_audit(frame):
+    bundle = Bundle({"person": frame([(1,)], "x bigint")})
+    assert audit.key_collisions(bundle).count() == 0 and audit.orphan_keys(bundle).count() == 0
+
+
+def test_audits_of_a_converted_bundle(source):
+    target = access.with_root_provider(convert(source))
+    assert _rows(audit.key_collisions(target)) == set()
+    assert _rows(audit.orphan_keys(target)) == {("note", "visit_detail_id", 2)}
+
+
+def test_references_are_counted_before_the_join(spark):
+    visits = spark.range(1000).select(F.col("id").alias("visit_occurrence_id"), F.lit(7).cast("bigint").alias("person_id"))
+    bundle = Bundle({"person": spark.range(5).select(F.col("id").alias("person_id")), "visit_occurrence": visits})
+    orphans = audit.orphan_keys(bundle)
+    assert _rows(orphans) == {("visit_occurrence", "person_id", 1000)}
+    plan = orphans._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "partial_count(1)" in plan and "Cartesian" not in plan
