@@ -305,7 +305,8 @@ _WRONG_ERRORS = (
 )
 _ORDER_UUID = _uuid("encounter", "o_orderkey")
 _MEN, _WOMEN = ("men", 10, "gender_concept_id = 8507"), ("women", 20, "gender_concept_id = 8532")
-_GRANT = _key("care_site_history", "100::bigint", "provider_id", "care_site_id")
+_ROLE = "(case when gender_concept_id is null then 200::bigint else 100::bigint end)"
+_GRANT = _key("care_site_history", _ROLE, "provider_id", "care_site_id")
 
 
 def oracles() -> dict[str, str]:
@@ -419,12 +420,12 @@ select l_returnflag, l_linestatus, row_number() over (partition by l_returnflag,
         "with_provider_roles": _with(
             ("provider",),
             f"""select {_GRANT} as care_site_history_id, care_site_id, provider_id as entity_id, 'Provider' as domain_id,
-                       100::bigint as role_id from provider""",
+                       {_ROLE} as role_id from provider""",
         ),
         "with_standard_roles": _with(
             ("provider",),
             """select 100::bigint as role_id, 'CARER' as name, true as right_read_data_nominative, count(*) as n_grants
-               from provider""",
+               from provider where gender_concept_id is not null""",
         ),
         "with_root_provider": _with(
             ("provider",),

@@ -400,23 +400,23 @@ def with_cohort_definitions(spark: SparkSession, folder: str) -> DataFrame:
     return bundle["cohort_definition"].join(sizes, "cohort_definition_id")
 
 
-def _grants(bundle: Bundle) -> DataFrame:
-    return bundle["provider"].select(
-        F.lit(access.CARER_ROLE).cast("bigint").alias("role_id"), "provider_id", "care_site_id"
-    )
+def _grants(providers: DataFrame) -> DataFrame:
+    """Carers are the providers of known gender; the others get a role that opens nothing."""
+    role = F.when(F.col("gender_concept_id").isNotNull(), access.CARER_ROLE).otherwise(200).cast("bigint")
+    return providers.select(role.alias("role_id"), "provider_id", "care_site_id")
 
 
 @query
 def with_provider_roles(spark: SparkSession, folder: str) -> DataFrame:
     bundle = _access_bundle(spark, folder)
-    return access.with_provider_roles(bundle, _grants(bundle), narrow=True)["care_site_history"]
+    return access.with_provider_roles(bundle, _grants(bundle["provider"]), narrow=True)["care_site_history"]
 
 
 @query
 def with_standard_roles(spark: SparkSession, folder: str) -> DataFrame:
     """The standard roles with the number of grants of each."""
     bundle = _access_bundle(spark, folder)
-    bundle = access.with_provider_roles(access.with_standard_roles(bundle, narrow=True), _grants(bundle))
+    bundle = access.with_provider_roles(access.with_standard_roles(bundle, narrow=True), _grants(bundle["provider"]))
     grants = bundle["care_site_history"].groupBy("role_id").agg(F.count(F.lit(1)).alias("n_grants"))
     return bundle["role"].join(grants, "role_id", "left")
 
@@ -433,19 +433,19 @@ def with_root_provider_cohort(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def readable_persons(spark: SparkSession, folder: str) -> DataFrame:
-    """What two users may read: one provider with a grant at a site that owns a cohort, and the root provider."""
+    """What two users may read: one provider with a grant at a site that owns a cohort, and the root provider.  The
+    tables of the access model are stored first, as they are where access is checked."""
     bundle = _access_bundle(spark, folder)
     men, women = _by_gender(bundle)
     bundle = access.with_root_provider(access.with_cohorts(bundle, [men, women]), "admin")
     some = bundle["provider"].where(F.col("provider_name") == "Supplier#000000001")
-    grants = some.select(
-        F.lit(access.CARER_ROLE).cast("bigint").alias("role_id"),
-        "provider_id",
-        F.lit(men.care_site_id).cast("bigint").alias("care_site_id"),
-    )
+    grants = _grants(some).withColumn("care_site_id", F.lit(men.care_site_id).cast("bigint"))
     bundle = access.with_provider_roles(bundle, grants)
+    model = ("provider", "role", "care_site_history", "cohort_definition", "cohort")
+    store = supply.SupplyCache(spark, storage.new_folder(spark, "access"))
+    stored = store.bundle("model", model, lambda: Bundle({name: bundle[name] for name in model}))
     users = [("carer", str(UUID(md5(b"provider|1").hexdigest()))), ("root", "admin")]
-    parts = [access.readable_persons(bundle, name).select(F.lit(user).alias("user"), "person_id") for user, name in users]
+    parts = [access.readable_persons(stored, name).select(F.lit(user).alias("user"), "person_id") for user, name in users]
     return parts[0].unionByName(parts[1])
 
 
