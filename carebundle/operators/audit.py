@@ -45,21 +45,20 @@ def _no_rows(bundle: Bundle, schema: str) -> DataFrame:
     return literal_frame(spark, [], T.StructType.fromDDL(schema))
 
 
-def _references(bundle: Bundle, name: str) -> list[tuple[str, str, str]]:
-    """(column, target table, SQL expression of the reference) of a table, for target tables in the bundle."""
-    by_key = {primary_key(table): table for table in bundle}
+def _references(name: str, columns: list[str], by_key: dict[str, str]) -> list[tuple[str, str, str]]:
+    """(column, target table, SQL expression of the reference) of a table; ``by_key`` has the tables with a key."""
     found = []
-    for column in bundle[name].columns:
+    for column in columns:
         if (name, column) in _NAMED_REFERENCES:
             target, condition = _NAMED_REFERENCES[name, column]
             value = f"`{column}`"
-            if condition and condition[0] in bundle[name].columns:
+            if condition and condition[0] in columns:
                 value = f"case when `{condition[0]}` = '{condition[1]}' then {value} end"
         elif column in by_key and column != primary_key(name):
             target, value = by_key[column], f"`{column}`"
         else:
             continue
-        if target in bundle:
+        if target in by_key.values():
             found.append((column, target, value))
     return found
 
@@ -79,16 +78,18 @@ def orphan_keys(bundle: Bundle) -> DataFrame:
     Each table is read once for all of its references.  References are counted per value before they are
     compared, so a person with a third of all visits is one row in the join.
     """
-    used = []
+    by_key = {primary_key(name): name for name, frame in bundle.items() if primary_key(name) in frame.columns}
+    used, targets = [], set()
     for name, frame in bundle.items():
-        references = _references(bundle, name)
+        references = _references(name, frame.columns, by_key)
         if references:
             items = ", ".join(f"'{column}', '{target}', cast({value} as bigint)" for column, target, value in references)
             stacked = frame.selectExpr(f"stack({len(references)}, {items}) as (column_name, target, key)")
             used.append(stacked.where("key is not null").select(F.lit(name).alias("table_name"), "*"))
+            targets.update(target for _, target, _ in references)
     if not used:
         return _no_rows(bundle, "table_name string, column_name string, n bigint")
-    known = [_known_keys(name, frame) for name, frame in bundle.items() if primary_key(name) in frame.columns]
+    known = [_known_keys(name, bundle[name]) for name in bundle if name in targets]
     counted = (
         reduce(DataFrame.unionByName, used)
         .groupBy("table_name", "column_name", "target", "key")

@@ -169,8 +169,8 @@ def _write_resource(
     target = f"{root}/{relative}"
     if single_files and storage.exists(spark, target):
         raise FileExistsError(f"{target} already exists")
-    folder = f"{target}_temp" if single_files else target
-    frame.write.format(resource.format).options(**options).mode("errorifexists").save(folder)
+    folder, mode = (f"{target}_temp", "overwrite") if single_files else (target, "errorifexists")
+    frame.write.format(resource.format).options(**options).mode(mode).save(folder)
     files = storage.data_files(spark, folder)
     size = sum(file.bytes for file in files)
     if single_files and len(files) == 1:

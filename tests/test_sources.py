@@ -256,9 +256,13 @@ def test_shared_folder_is_the_named_one():
     session.conf.get.return_value = "hdfs://x/shared"
     assert storage.shared_folder(session) == "hdfs://x/shared"
     session.conf.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
     session.sparkContext.master = "yarn"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.shared_folder(session)
+    session.sparkContext.master = "local[2]"
+    storage.shared_folder(session)
+    session.sparkContext.setCheckpointDir.assert_called_once()
 
 
 def test_text_files(spark, tmp_path):
