@@ -134,48 +134,54 @@ _NOTE_TEXT = (
 )
 
 
-def _numbered(source: str, columns: str) -> str:
-    """Rows with a number among the rows equal to them; any order does, since they are equal."""
-    return f"(select {columns}, row_number() over (partition by {columns}) as copy from {source})"
+def _numbered(source: str, texts: str) -> str:
+    """Events with a number among the events equal to them; any order does, since they are equal."""
+    return f"""(select *, row_number() over (partition by {texts}, person, visit) as copy from {_events(source)})"""
 
 
-def _conditions(rows: str, identity: str) -> str:
-    columns = ["start", "stop", "encounter", "patient", "code", identity]
+def _events(source: str) -> str:
+    return f"""(select *, {_id("patient")} as person, {_id("encounter")} as visit from {source})"""
+
+
+def _conditions(rows: str, *identity: str) -> str:
     return f"""
 select code as condition_source_value,
-       {_key("condition_occurrence", *columns)} as condition_occurrence_id,
+       {_key("condition_occurrence", "start", "stop", "code", *identity)} as condition_occurrence_id,
        {_midnight("start")} as condition_start_datetime,
        {_midnight("stop")} as condition_end_datetime,
-       {_id("encounter")} as visit_occurrence_id,
-       {_id("patient")} as person_id,
+       visit as visit_occurrence_id,
+       person as person_id,
        'SNOMED' as condition_type_source_value
 from {rows}"""
 
 
-def _procedures(rows: str, identity: str) -> str:
+def _procedures(rows: str, *identity: str) -> str:
     return f"""
 select code as procedure_source_value,
-       {_key("procedure_occurrence", "code", "date", "patient", "encounter", identity)} as procedure_occurrence_id,
+       {_key("procedure_occurrence", "code", "date", *identity)} as procedure_occurrence_id,
        'SNOMED' as procedure_type_source_value,
        {_datetime("date")} as procedure_datetime,
-       {_id("patient")} as person_id,
-       {_id("encounter")} as visit_occurrence_id,
+       person as person_id,
+       visit as visit_occurrence_id,
        4082735::bigint as row_status_source_concept_id
 from {rows}"""
 
 
-def _costs(rows: str, identity: str) -> str:
+def _costs(rows: str, *identity: str) -> str:
     return f"""
-select {_key("cost", "patient", "date", "encounter", identity)} as cost_id,
+select {_key("cost", "date", *identity)} as cost_id,
        {_datetime("date")}::date as incurred_datetime,
-       {_id("patient")} as person_id,
+       person as person_id,
        1005::bigint as drg_source_concept_id,
        1004::bigint as row_status_source_concept_id,
        1147624::bigint as cost_event_field_concept_id,
-       {_id("encounter")} as cost_event_id
+       visit as cost_event_id
 from {rows}"""
 
 
+_BY_COPY = ("person", "visit", "copy")
+_BY_LINE = ("line", "person", "visit")
+
 TARGETS = {
     "concept_fhir": f"""
 select {_key("concept_fhir", "code")} as concept_id, code as concept_code, min(description) as concept_name,
@@ -219,11 +225,9 @@ select {_key("note", "id")} as note_id, {_id("organization")} as care_site_id,
        1003::bigint as row_status_source_concept_id
 from encounters""",
     "care_site": f"select {_id('id')} as care_site_id, name as care_site_name from organizations",
-    "condition_occurrence": _conditions(
-        _numbered("conditions", "start, stop, encounter, patient, code"), "copy"
-    ),
-    "procedure_occurrence": _procedures(_numbered("procedures", "code, date, patient, encounter"), "copy"),
-    "cost": _costs(_numbered("procedures", "patient, date, encounter"), "copy"),
+    "condition_occurrence": _conditions(_numbered("conditions", "start, stop, code"), *_BY_COPY),
+    "procedure_occurrence": _procedures(_numbered("procedures", "code, date"), *_BY_COPY),
+    "cost": _costs(_numbered("procedures", "date"), *_BY_COPY),
     "provider": f"""
 select name as provider_name, {_id("id")} as provider_id, id as provider_source_value, id as npi, id as dea,
        {_id("organization")} as care_site_id, true as is_active, {_gender("gender")} as gender_concept_id
@@ -313,9 +317,9 @@ def oracles() -> dict[str, str]:
     visits = _target("visit_occurrence")
     encounters = _with(("encounters",), "select * from encounters")
     row_id = {
-        "to_condition_occurrences_by_row_id": _with(("conditions",), _conditions("conditions", "line")),
-        "to_procedure_occurrences_by_row_id": _with(("procedures",), _procedures("procedures", "line")),
-        "to_costs_by_row_id": _with(("procedures",), _costs("procedures", "line")),
+        "to_condition_occurrences_by_row_id": _with(("conditions",), _conditions(_events("conditions"), *_BY_LINE)),
+        "to_procedure_occurrences_by_row_id": _with(("procedures",), _procedures(_events("procedures"), *_BY_LINE)),
+        "to_costs_by_row_id": _with(("procedures",), _costs(_events("procedures"), *_BY_LINE)),
     }
     all_counts = [f"select '{name}' as table_name, count(*) as n from {name}" for name in TARGETS]
     all_counts += [f"select '{name}' as table_name, 0::bigint as n" for name in _EMPTY_TARGETS]

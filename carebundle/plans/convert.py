@@ -187,51 +187,59 @@ def to_care_sites(organizations: DataFrame) -> DataFrame:
     return organizations.select(uuid_id("id").alias("care_site_id"), F.col("name").alias("care_site_name"))
 
 
-def _with_identity(frame: DataFrame, columns: Sequence[str], row_id: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """The columns read, and the columns whose values together tell one row from all others."""
+def _events(frame: DataFrame, texts: Sequence[str], row_id: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The columns of an event and those that together tell it from all others.
+
+    UUIDs become numbers first, which keeps the rows that have to be counted short.
+    """
+    extra = [column for column in row_id if column not in texts]
+    rows = frame.select(
+        *(F.col(column).alias(column) for column in (*texts, *extra)),
+        uuid_id("patient").alias("person_id"),
+        uuid_id("encounter").alias("visit_occurrence_id"),
+    )
     if row_id:
-        extra = [column for column in row_id if column not in columns]
-        return frame.select(*columns, *extra), [*columns, *extra]
-    return number_copies(frame.select(*columns)), [*columns, "copy"]
+        return rows, rows.columns
+    return number_copies(rows), [*rows.columns, "copy"]
 
 
 def to_condition_occurrences(conditions: DataFrame, row_id: Sequence[str] = ()) -> DataFrame:
-    rows, identity = _with_identity(conditions, ["start", "stop", "encounter", "patient", "code"], row_id)
+    rows, identity = _events(conditions, ["start", "stop", "code"], row_id)
     return rows.select(
         F.col("code").alias("condition_source_value"),
         surrogate_key("condition_occurrence", identity).alias("condition_occurrence_id"),
         parse_date_as_timestamp("start").alias("condition_start_datetime"),
         parse_date_as_timestamp("stop").alias("condition_end_datetime"),
-        uuid_id("encounter").alias("visit_occurrence_id"),
-        uuid_id("patient").alias("person_id"),
+        "visit_occurrence_id",
+        "person_id",
         F.lit(VOCABULARY).alias("condition_type_source_value"),
     )
 
 
 def to_procedure_occurrences(procedures: DataFrame, row_id: Sequence[str] = ()) -> DataFrame:
-    rows, identity = _with_identity(procedures, ["code", "date", "patient", "encounter"], row_id)
+    rows, identity = _events(procedures, ["code", "date"], row_id)
     return rows.select(
         F.col("code").alias("procedure_source_value"),
         surrogate_key("procedure_occurrence", identity).alias("procedure_occurrence_id"),
         F.lit(VOCABULARY).alias("procedure_type_source_value"),
         parse_datetime("date").alias("procedure_datetime"),
-        uuid_id("patient").alias("person_id"),
-        uuid_id("encounter").alias("visit_occurrence_id"),
+        "person_id",
+        "visit_occurrence_id",
         _long(PROCEDURE_COMPLETED, "row_status_source_concept_id"),
     )
 
 
 def to_costs(procedures: DataFrame, row_id: Sequence[str] = ()) -> DataFrame:
     """One cost row per procedure; the date may be written with or without a time."""
-    rows, identity = _with_identity(procedures, ["patient", "date", "encounter"], row_id)
+    rows, identity = _events(procedures, ["date"], row_id)
     return rows.select(
         surrogate_key("cost", identity).alias("cost_id"),
         parse_day("date").alias("incurred_datetime"),
-        uuid_id("patient").alias("person_id"),
+        "person_id",
         _long(CLAIM_DIAGNOSIS, "drg_source_concept_id"),
         _long(CLAIM_ACTIVE, "row_status_source_concept_id"),
         _long(COST_EVENT_FIELD, "cost_event_field_concept_id"),
-        uuid_id("encounter").alias("cost_event_id"),
+        F.col("visit_occurrence_id").alias("cost_event_id"),
     )
 
 
