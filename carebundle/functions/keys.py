@@ -52,7 +52,8 @@ def hex_bytes(column: Column | str) -> Column:
 
 
 def random_hex(seed: int | None = None) -> Column:
-    """A random hex text of 2 to 6 characters.  Pass a seed per table to keep re-runs equal."""
+    """A random hex text of 2 to 6 characters.  Pass another seed per table; re-runs over the same partitions then give
+    the same texts.  Where ids must last, use :func:`surrogate_key`."""
     draw = F.rand() if seed is None else F.rand(seed)
     return hex_bytes(F.floor(draw * 1_000_000))
 

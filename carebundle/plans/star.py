@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from carebundle.bundle import Bundle
 from carebundle.schema import SOURCE_TABLES
-from carebundle.sources.storage import total_bytes
 
 # A table below this size may well be a single file with a single row group, which one task reads alone.
 SMALL_TABLE_BYTES = 1 << 30
@@ -44,23 +43,25 @@ def _line_id() -> Column:
     return F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey").alias("line")
 
 
+def _size_in_bytes(frame: DataFrame) -> int:
+    """The size that Spark plans with: of a stored table, that of its files, which are listed already."""
+    return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 class Star:
     """The source tables over one folder of parquet tables.  Each table's schema is read once, when first used."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self.table = cache(lambda name: spark.read.parquet(self._location(name)))
+        self.table = cache(lambda name: spark.read.parquet(f"{self.folder}/{name}.parquet"))
         self.driving_table = cache(self._driving_table)
 
-    def _location(self, name: str) -> str:
-        return f"{self.folder}/{name}.parquet"
-
     def _driving_table(self, name: str) -> DataFrame:
         """A table whose rows get most of the work: a small one is spread over all cores, a large one has enough
         splits of its own and is not moved."""
         frame = self.table(name)
-        if total_bytes(self.spark, self._location(name)) >= SMALL_TABLE_BYTES:
+        if _size_in_bytes(frame) >= SMALL_TABLE_BYTES:
             return frame
         return frame.repartition(self.spark.sparkContext.defaultParallelism, frame.columns[0])
 

@@ -85,12 +85,6 @@ def data_files(spark: SparkSession, folder: str) -> list[FileInfo]:
     return sorted(found)
 
 
-def total_bytes(spark: SparkSession, location: str) -> int:
-    """The size of a file or of all files below a folder."""
-    path, files = _path(spark, location)
-    return files.getContentSummary(path).getLength()
-
-
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Rename inside the file system; the bytes never pass through the driver."""
     source_path, files = _path(spark, source)
