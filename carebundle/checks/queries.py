@@ -445,8 +445,10 @@ def readable_persons(spark: SparkSession, folder: str) -> DataFrame:
     store = supply.SupplyCache(spark, storage.new_folder(spark, "access"))
     stored = store.bundle("model", model, lambda: Bundle({name: bundle[name] for name in model}))
     users = [("carer", str(UUID(md5(b"provider|1").hexdigest()))), ("root", "admin")]
-    parts = [access.readable_persons(stored, name).select(F.lit(user).alias("user"), "person_id") for user, name in users]
-    return parts[0].unionByName(parts[1])
+    carer, root = (
+        access.readable_persons(stored, name).select(F.lit(user).alias("user"), "person_id") for user, name in users
+    )
+    return carer.unionByName(root)
 
 
 # --- concept queries ---------------------------------------------------------------------------------------

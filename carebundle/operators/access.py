@@ -156,10 +156,13 @@ def broadcast_if_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFram
 
 def readable_persons(bundle: Bundle, username: str) -> DataFrame:
     """The distinct ids of the persons a user may read."""
-    user = bundle["provider"].where(F.col("provider_source_value") == username).select(F.col("provider_id").alias("entity_id"))
+    providers, history = bundle["provider"], bundle["care_site_history"]
+    user = providers.where(F.col("provider_source_value") == username).select(F.col("provider_id").alias("entity_id"))
     readers = bundle["role"].where("right_read_data_nominative").select("role_id")
-    grants = bundle["care_site_history"].where(F.col("domain_id") == DOMAIN).select("entity_id", "role_id", "care_site_id")
-    sites = grants.join(user, "entity_id", "left_semi").join(readers, "role_id", "left_semi").select("care_site_id")
+    grants = history.where(F.col("domain_id") == DOMAIN).select("entity_id", "role_id", "care_site_id")
+    granted = grants.join(user, "entity_id", "left_semi").join(readers, "role_id", "left_semi")
+    # A site may have very many grants: they are merged before they meet the cohorts.
+    sites = granted.select("care_site_id").distinct()
     owned = bundle["cohort_definition"].select("cohort_definition_id", F.col("owner_entity_id").alias("care_site_id"))
     definitions = owned.join(sites, "care_site_id", "left_semi").select("cohort_definition_id").distinct()
     return (

@@ -83,7 +83,7 @@ def orphan_keys(bundle: Bundle) -> DataFrame:
     for name, frame in bundle.items():
         references = _references(name, frame.columns, by_key)
         if references:
-            items = ", ".join(f"'{column}', '{target}', cast({value} as bigint)" for column, target, value in references)
+            items = ", ".join(f"'{column}', '{target}', cast({key} as bigint)" for column, target, key in references)
             stacked = frame.selectExpr(f"stack({len(references)}, {items}) as (column_name, target, key)")
             used.append(stacked.where("key is not null").select(F.lit(name).alias("table_name"), "*"))
             targets.update(target for _, target, _ in references)

@@ -38,7 +38,8 @@ _OWN = {
     "note": "person_id provider_id care_site_id visit_occurrence_id visit_detail_id note_date note_datetime note_title "
     "note_text is_pdf_available note_event_id note_event_field_concept_id encoding_concept_id language_concept_id "
     "note_source_value",
-    "care_site": "care_site_name care_site_short_name care_site_source_value location_id valid_start_date valid_end_date",
+    "care_site": "care_site_name care_site_short_name care_site_source_value location_id valid_start_date "
+    "valid_end_date",
     "condition_occurrence": "person_id provider_id visit_occurrence_id visit_detail_id condition_start_date "
     "condition_start_datetime condition_end_date condition_end_datetime stop_reason",
     "procedure_occurrence": "person_id provider_id visit_occurrence_id visit_detail_id procedure_date "

@@ -100,8 +100,8 @@ def from_db(
         if table not in columns:
             return spark.read.jdbc(url, table, properties=properties)
         column = columns[table]
-        bounds = spark.read.jdbc(url, f"(select min({column}) lo, max({column}) hi from {table}) b", properties=properties)
-        lower, upper = bounds.first()
+        query = f"(select min({column}) lo, max({column}) hi from {table}) b"
+        lower, upper = spark.read.jdbc(url, query, properties=properties).first()
         if lower is None:
             return spark.read.jdbc(url, table, properties=properties)
         return spark.read.jdbc(

@@ -13,7 +13,8 @@ def empty(spark):
 
 
 def test_roles_at_two_sites(empty, frame):
-    bundle = empty.replace(provider=frame([(1,)], "provider_id bigint"), care_site=frame([(10,), (20,)], "care_site_id bigint"))
+    sites = frame([(10,), (20,)], "care_site_id bigint")
+    bundle = empty.replace(provider=frame([(1,)], "provider_id bigint"), care_site=sites)
     bundle = access.with_standard_roles(bundle.checkpoint(allow_missing_fields=True))
     grants = [ProviderRole(access.CARER_ROLE, 1, 10), ProviderRole(access.CARER_ROLE, 1, 20)]
     bundle = access.with_provider_roles(bundle, grants).checkpoint(allow_missing_fields=True)
@@ -75,8 +76,8 @@ def hospital(empty, frame):
     providers = frame([(7, "ann"), (8, "bob"), (9, "cat")], "provider_id bigint, provider_source_value string")
     bundle = empty.replace(person=persons, provider=providers)
     bundle = access.with_standard_roles(bundle)
-    roles = bundle["role"].unionByName(frame([(200, False)], "role_id bigint, right_read_data_nominative boolean"), allowMissingColumns=True)
-    bundle = bundle.replace(role=roles)
+    visitor = frame([(200, False)], "role_id bigint, right_read_data_nominative boolean")
+    bundle = bundle.replace(role=bundle["role"].unionByName(visitor, allowMissingColumns=True))
     bundle = access.with_cohorts(
         bundle,
         [

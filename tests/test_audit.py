@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from carebundle.bundle import Bundle
 from carebundle.operators import access, audit
 from carebundle.plans.convert import convert
@@ -55,8 +53,8 @@ def test_audits_of_a_converted_bundle(source):
 
 
 def test_references_are_counted_before_the_join(spark):
-    visits = spark.range(1000).select(F.col("id").alias("visit_occurrence_id"), F.lit(7).cast("bigint").alias("person_id"))
-    bundle = Bundle({"person": spark.range(5).select(F.col("id").alias("person_id")), "visit_occurrence": visits})
+    visits = spark.range(1000).selectExpr("id as visit_occurrence_id", "7L as person_id")
+    bundle = Bundle({"person": spark.range(5).selectExpr("id as person_id"), "visit_occurrence": visits})
     orphans = audit.orphan_keys(bundle)
     assert _rows(orphans) == {("visit_occurrence", "person_id", 1000)}
     plan = orphans._jdf.queryExecution().executedPlan().toString()

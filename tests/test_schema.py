@@ -61,7 +61,10 @@ def test_avro_null_first_and_millis():
     assert from_avro_json(text) == T.StructType().add("t", "timestamp").add("n", "long", False)
 
 
-@pytest.mark.parametrize("avro", ['"long"', '{"type":"record","name":"r","fields":[{"name":"x","type":["int","string"]}]}'])
+UNION = '{"type": "record", "name": "r", "fields": [{"name": "x", "type": ["int", "string"]}]}'
+
+
+@pytest.mark.parametrize("avro", ['"long"', UNION])
 def test_avro_that_is_no_table(avro):
     with pytest.raises(TypeError):
         from_avro_json(avro)

@@ -118,7 +118,8 @@ def test_concepts(spark, frame, tmp_path):
     read.createOrReplaceTempView("concept_test")
     assert _rows(concepts.count_by_sql(spark, "concept_test", "standard_concept")) == [("S", 2), (None, 1)]
     assert concepts.preview(read, "concept_code", rows=2).count() == 2
-    assert tables.read_concepts(spark, str(tmp_path / "concept"), read.select("concept_code").schema).columns == ["concept_code"]
+    codes = read.select("concept_code").schema
+    assert tables.read_concepts(spark, str(tmp_path / "concept"), codes).schema == codes
 
 
 # --- data packages -----------------------------------------------------------------------------------------
@@ -138,8 +139,9 @@ def test_package_of_csv_files(spark, bundle, tmp_path):
 
 def test_package_single_files(spark, bundle, tmp_path):
     path = str(tmp_path / "out")
-    mixed = bundle.replace(df2=bundle["df2"].repartition(2, "id2").unionByName(bundle["df1"].select("id2", F.col("value1").alias("value2")).repartition(3)))
-    written = package.write_package(package.describe(mixed, "csv"), mixed.replace(df1=mixed["df1"].coalesce(1)), path, single_files=True)
+    more = bundle["df1"].select("id2", F.col("value1").alias("value2")).repartition(3)
+    mixed = Bundle({"df1": bundle["df1"].coalesce(1), "df2": bundle["df2"].coalesce(1).unionByName(more)})
+    written = package.write_package(package.describe(mixed, "csv"), mixed, path, single_files=True)
     one, many = written.resources
     assert one.path == ("df1.csv",) and (tmp_path / "out" / "df1.csv").is_file()
     assert len(many.path) > 1 and (tmp_path / "out" / "df2.csv").is_dir()
