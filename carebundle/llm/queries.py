@@ -6,17 +6,28 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carebundle.llm import byte_bpe, exact_dedup
+from carebundle.llm import byte_bpe, exact_dedup, html_extract, language_id, token_counts
 from carebundle.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+
+
+def op1_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages"))
 
 
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = token_counts.read_pieces(public_tokenizers.path(PIECES))
+    return token_counts.token_counts(table(spark, folder, "documents"), pieces, token_counts.zipf_scores(pieces))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coded = byte_bpe.encode(
         table(spark, folder, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, decode=True
@@ -24,8 +35,18 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(coded)
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = language_id.fold(F.col("doc_id"), 4) == 2
+    labelled = documents.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    model = language_id.train(labelled.select(F.col("doc_id").alias("id"), "text", "lang"))
+    predicted = language_id.predict(documents, model)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op2_exact_dedup, op7_byte_bpe)
+    query.__name__: query
+    for query in (op1_html_extract, op2_exact_dedup, op6_token_counts, op7_byte_bpe, op8_language_id)
 }
 
 SQL: dict[str, str] = {
