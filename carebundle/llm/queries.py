@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carebundle.llm import byte_bpe, exact_dedup, html_extract, language_id, token_counts
+from carebundle.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, quality, token_counts, tool_calls
 from carebundle.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +23,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    return tool_calls.format_conversations(spark, folder)
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     pieces = token_counts.read_pieces(public_tokenizers.path(PIECES))
     return token_counts.token_counts(table(spark, folder, "documents"), pieces, token_counts.zipf_scores(pieces))
@@ -44,9 +48,19 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_quality_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = quality.fit(documents, table(spark, folder, "labels"))
+    return quality.resample(documents, model).drop("text_hash")
+
+
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_html_extract, op2_exact_dedup, op6_token_counts, op7_byte_bpe, op8_language_id)
+    for query in (op1_html_extract, op2_exact_dedup, op5_tool_calls, op6_token_counts, op7_byte_bpe, op8_language_id, op9_quality_resampling, op10_decontamination)
 }
 
 SQL: dict[str, str] = {
