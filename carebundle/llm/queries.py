@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carebundle.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, ngram_join, quality, token_counts, tool_calls
+from carebundle.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, lm_score, ngram_join, quality, token_counts, tool_calls
 from carebundle.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +23,11 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    training = language_id.fold(F.col("doc_id"), 5) != 1
+    return lm_score.lm_scores(table(spark, folder, "documents"), training)
+
+
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, folder, "documents"), ngram_join.Settings(width=3, percent=90))
 
@@ -64,7 +69,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_html_extract, op2_exact_dedup, op4_ngram_join, op5_tool_calls, op6_token_counts, op7_byte_bpe, op8_language_id, op9_quality_resampling, op10_decontamination)
+    for query in (op1_html_extract, op2_exact_dedup, op3_lm_score, op4_ngram_join, op5_tool_calls, op6_token_counts, op7_byte_bpe, op8_language_id, op9_quality_resampling, op10_decontamination)
 }
 
 SQL: dict[str, str] = {
