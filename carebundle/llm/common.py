@@ -58,3 +58,13 @@ def slices(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         high = min(max(high, low + 1), rows)
         yield low, high
         low = high
+
+
+def without(documents: DataFrame, dropped: DataFrame, keys: Sequence[tuple[Column, str]]) -> DataFrame:
+    """The rows of ``documents`` that ``dropped`` does not name: each key is an expression over the documents and the column
+    of ``dropped`` it is compared with, null equal to null.  Columns of any name are kept."""
+    names = dropped.select(*(quoted(name).alias(f"key {i}") for i, (_, name) in enumerate(keys)))
+    condition = F.lit(True)
+    for i, (expression, _) in enumerate(keys):
+        condition = condition & expression.eqNullSafe(names[f"`key {i}`"])
+    return documents.join(names, condition, "left_anti")

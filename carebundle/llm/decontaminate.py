@@ -102,7 +102,7 @@ def contamination(
     item_column: str = "item_id",
     item_text_column: str = "text",
 ) -> DataFrame:
-    """One row per row: doc_id, contaminated, item_id (of the best covered item, the smallest of equals), coverage (share
+    """One row per row: doc_id, text_hash, contaminated, item_id (of the best covered item, the smallest of equals), coverage (share
     of the item's windows found on one diagonal, 0 if none) and changed_slots (distinct item values that the text has
     replaced).
 
@@ -162,6 +162,7 @@ def contamination(
     verdict = thin.join(best.withColumnsRenamed({"doc_id": "d", "text_hash": "h"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
     return verdict.select(
         "doc_id",
+        "text_hash",
         F.col("best").isNotNull().alias("contaminated"),
         F.col("best.item_id").alias("item_id"),
         F.coalesce(-F.col("best.c"), F.lit(0.0)).alias("coverage"),

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import SPACES, null_safe, quoted, stored
+from carebundle.llm.common import SPACES, null_safe, quoted, stored, without
 
 CHUNK_BYTES = 1 << 20
 PRIMES = (2147483647, 2147483629)
@@ -117,7 +117,8 @@ def exact_duplicates(
     chunk_bytes: int = CHUNK_BYTES,
     primes: tuple[int, int] = PRIMES,
 ) -> DataFrame:
-    """One row per row of ``documents``: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``documents``: doc_id, keep_id, group_size, kept, text_sha256, n_points
+    (code points of the original text).
 
     Texts are equal when equal without white space; null counts as empty, and so does a text of white space.  Of
     equal texts the one with most code points stays, then the smallest id (null last).  Of repeated rows with the same
@@ -161,7 +162,33 @@ def exact_duplicates(
         "group_size",
         first.alias("first"),
         "text_sha256",
+        "n_points",
         F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"),
     ).select(
-        "doc_id", "keep_id", "group_size", (F.col("first") & (F.col("copy") == 1)).alias("kept"), "text_sha256"
+        "doc_id", "keep_id", "group_size", (F.col("first") & (F.col("copy") == 1)).alias("kept"), "text_sha256", "n_points"
+    )
+
+
+def deduplicated(documents: DataFrame, duplicates: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows that :func:`exact_duplicates` keeps, with all their columns; of repeated rows one."""
+    text = documents[f"`{text_column.replace('`', '``')}`"]
+    keys = [
+        (documents[f"`{id_column.replace('`', '``')}`"], "doc_id"),
+        (F.sha2(normalised(text), 256), "text_sha256"),
+        (F.coalesce(F.length(text), F.lit(0)).cast("bigint"), "n_points"),
+    ]
+    names = [name for _, name in keys]
+    kept = duplicates.groupBy(*names).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    kept = stored(kept, "kept-texts")
+    lost = kept.where("not kept or n > 1").select(*names)
+    repeated = kept.where("kept and n > 1").select(*names)
+    single = without(documents, lost, keys)
+    if repeated.isEmpty():
+        return single
+    others = kept.where("not kept or n = 1").select(*names)
+    # Repeated rows meet in a partial aggregate; the first of them stands for all.
+    again = without(documents, others, keys)
+    folded = again.groupBy(*(key.alias(f"key {i}") for i, (key, _) in enumerate(keys))).agg(
+        F.min_by(F.struct(*(quoted(name) for name in documents.columns)), F.lit(0)).alias("row")
     )
+    return single.unionByName(folded.select("row.*"))

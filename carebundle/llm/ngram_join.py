@@ -77,13 +77,13 @@ def _nodes(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketch(documents: DataFrame, settings: Settings, id_column: str, text_column: str) -> DataFrame:
-    """id, node (the set's signature), n (its size), head (its first tokens by hash), and the prefixes under the two
+    """id, text_hash, node (the set's signature), n (its size), head (its first tokens by hash), and the prefixes under the two
     further orders, shortened to 32 bits."""
     percent = settings.percent
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, sets in _sets(batch.column(1), settings.width):
+            for low, high, sets in _sets(batch.column(2), settings.width):
                 heads = [values[: _head(len(values), percent)] for values in sets]
                 orders = []
                 for seed in (21, 22):
@@ -92,18 +92,20 @@ def sketch(documents: DataFrame, settings: Settings, id_column: str, text_column
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),
+                        batch.column(1).slice(low, high - low),
                         pa.array(_nodes(sets)),
                         pa.array([len(values) for values in sets], pa.int32()),
                         _list_array([values.view(np.int64) for values in heads], pa.int64()),
                         *(_list_array(order, pa.int32()) for order in orders),
                     ],
-                    ["id", "node", "n", "head", "second", "third"],
+                    ["id", "text_hash", "node", "n", "head", "second", "third"],
                 )
 
-    rows = documents.select(quoted(id_column).alias("id"), quoted(text_column).alias("text"))
+    text = quoted(text_column)
+    rows = documents.select(quoted(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     kind = documents.schema[id_column].dataType.simpleString()
     return rows.mapInArrow(
-        sketched, f"id {kind}, node bigint, n int, head array<bigint>, second array<int>, third array<int>"
+        sketched, f"id {kind}, text_hash bigint, node bigint, n int, head array<bigint>, second array<int>, third array<int>"
     )
 
 
@@ -218,7 +220,7 @@ def similar_components(
     documents: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text"  # noqa: B008
 ) -> DataFrame:
     """One row per row: doc_id, n_shingles (size of the set of distinct shingles), component_id (the smallest id reachable
-    by links, its own included).
+    by links, its own included) and text_hash (which tells rows with the same id apart).
 
     A text with fewer words than a shingle has all its words as one.  Null, empty and blank texts have an empty set, link
     with nothing and are their own component.  Null ids are larger than any other.  Repeated rows, and rows with equal
@@ -226,7 +228,7 @@ def similar_components(
     """
     percent = settings.percent
     rows = stored(sketch(documents, settings, id_column, text_column), "sketches")
-    nodes = rows.where("n > 0").drop("id").dropDuplicates(["node"])
+    nodes = rows.where("n > 0").drop("id", "text_hash").dropDuplicates(["node"])
     nodes = stored(nodes, "nodes")
     placed = prefixes(documents, nodes.select("node", "n", "head"), settings, text_column)
     placed = stored(placed, "prefixes")
@@ -260,9 +262,10 @@ def similar_components(
     grouped = ids.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = stored(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component-names")
     by_node = stored(grouped.join(names, "component").select(F.col("node").alias("own"), "component_id"), "node-components")
-    joined = rows.select("id", "node", "n").join(by_node, (F.col("node") == F.col("own")) & (F.col("n") > 0), "left")
+    joined = rows.select("id", "text_hash", "node", "n").join(by_node, (F.col("node") == F.col("own")) & (F.col("n") > 0), "left")
     return joined.select(
         F.col("id").alias("doc_id"),
         F.col("n").cast("bigint").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
+        "text_hash",
     )

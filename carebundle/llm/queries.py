@@ -20,7 +20,7 @@ def op1_html_extract(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+    return exact_dedup.exact_duplicates(table(spark, folder, "documents")).drop("n_points")
 
 
 def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,7 +29,7 @@ def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.similar_components(table(spark, folder, "documents"), ngram_join.Settings(width=3, percent=90))
+    return ngram_join.similar_components(table(spark, folder, "documents"), ngram_join.Settings(width=3, percent=90)).drop("text_hash")
 
 
 def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,7 +64,7 @@ def op9_quality_resampling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
