@@ -1,18 +1,69 @@
-"""The corpus pipeline: documents in, encoded clean documents out."""
+"""The corpus pipeline: documents in, encoded clean documents out.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept.  All but the last return documents
+with all their columns: good texts, one text of each group of equal texts, one of each group of similar texts, and
+those without benchmark questions.  The last one encodes what is left.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from carebundle.llm import byte_bpe, decontaminate, exact_dedup, ngram_join, quality
+from carebundle.llm.common import stored, table, without
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+# Near duplicates: shingles of five words, a similarity of 0.8.
+NEAR = ngram_join.Settings(width=5, percent=80)
+
+
+def _text_keys(docs: DataFrame) -> list:
+    return [(docs["doc_id"], "doc_id"), (F.xxhash64(docs["text"]), "text_hash")]
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    rejected = quality.resample(docs, model).where("not selected").select("doc_id", "text_hash").distinct()
+    return without(docs, rejected, _text_keys(docs))
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicated(docs, exact_dedup.exact_duplicates(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component stays."""
+    found = ngram_join.similar_components(docs, NEAR)
+    dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash").distinct()
+    return without(docs, dropped, _text_keys(docs))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, found.where("contaminated").select("doc_id", "text_hash").distinct(), _text_keys(docs))
+
+
+def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, decode=True)
+    return byte_bpe.digests(coded)
 
-from carebundle.llm.common import stored, table
 
-STAGES = []
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("exact_duplicates", exact_duplicates),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("byte_level_bpe", byte_level_bpe),
+]
+# Models, components and token ids are not for SQL; tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the documents of a folder."""
-    documents = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        documents = stored(stage(spark, documents, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, documents, sf_dir)
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
