@@ -48,9 +48,6 @@ def _head(n, percent: int):
     return _prefix(n, percent) + _prefix(n, percent) // 2
 
 
-def prefix_length(n: Column, percent: int) -> Column:
-    return (n - F.ceil(n * percent / 100) + 1).cast("int")
-
 
 def least_overlap(a: Column, b: Column, percent: int) -> Column:
     """The overlap that sets of these sizes need for a link."""
@@ -109,29 +106,33 @@ def sketch(documents: DataFrame, settings: Settings, id_column: str, text_column
     )
 
 
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of nodes of 8 MB, whatever their number: a node that it does not hold is not among them."""
-    bit = F.pmod(F.col("node"), F.lit(FILTER_BITS)) + 1  # these functions count from 1
-    parts = nodes.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+def _bitmap(frame: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of hashes of 8 MB, whatever their number: a hash that it does not hold is not among them."""
+    bit = F.pmod(F.col(column), F.lit(FILTER_BITS)) + 1  # these functions count from 1
+    parts = frame.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
     )
-    bitmap = np.zeros(FILTER_BITS, bool)
-    for row in parts.collect():  # 2048 rows at most, of 4 KB
-        start = (row["bucket"] - 1) << 15
-        bitmap[start : start + (1 << 15)] = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
-    return np.packbits(bitmap)
+    bitmap = np.zeros(FILTER_BITS >> 3, np.uint8)
+    for row in parts.toLocalIterator():  # 2048 rows at most, of 4 KB
+        start = (row["bucket"] - 1) << 12
+        bitmap[start : start + (1 << 12)] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return bitmap
+
+
+def _held(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes % FILTER_BITS
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
 def whole_sets(documents: DataFrame, nodes: DataFrame, settings: Settings, text_column: str) -> DataFrame:
     """(node, tokens) of some nodes, once each, read from the texts again."""
-    held = documents.sparkSession.sparkContext.broadcast(_bitmap(nodes))
+    held = documents.sparkSession.sparkContext.broadcast(_bitmap(nodes, "node"))
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(held.value).view(bool)
         for batch in batches:
             for _, _, sets in _sets(batch.column(0), settings.width):
                 own = _nodes(sets)
-                keep = np.flatnonzero(bits[own % FILTER_BITS])
+                keep = np.flatnonzero(_held(held.value, own))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own[keep]), _list_array([sets[k].view(np.int64) for k in keep], pa.int64())], ["node", "tokens"]
                 )
@@ -145,38 +146,75 @@ def _common_tokens(lists: DataFrame, column: str, settings: Settings) -> DataFra
     return tokens.where(F.col("sets") >= settings.common).select("token")
 
 
-def _with_common(lists: DataFrame, column: str, common: DataFrame) -> DataFrame:
-    """The lists with ``late``: those of their tokens that go to the end."""
-    tokens = lists.select("node", F.explode(column).alias("token"))
-    late = tokens.join(common, "token", "left_semi").groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("late"))
-    joined = lists.join(late, "node", "left")
-    return joined.withColumn("late", F.coalesce("late", F.array().cast("array<bigint>"))).withColumn(
-        "early", F.array_except(column, "late")
-    )
+def _placed(lists: DataFrame, column: str, common: np.ndarray, settings: Settings, only_short: bool = False) -> DataFrame:
+    """(node, n, rank, token): the prefix of each set under the first order.  A set whose list is not whole and has too few
+    tokens that are not common is short: it has one row of rank -1."""
+    held = lists.sparkSession.sparkContext.broadcast(common)
+    percent = settings.percent
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            tokens = batch.column(2).flatten().to_numpy(zero_copy_only=False)
+            sizes = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            late = _held(held.value, tokens)
+            early = np.bincount(owner[~late], minlength=len(sizes))
+            length = _prefix(n.astype(np.int64), percent)
+            short = (early < length) & (sizes < n)
+            order = np.argsort(owner * 2 + late, kind="stable")  # within a list by hash, as it comes
+            rank = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keep = (rank < length[owner]) & ~short[owner]
+            if only_short:
+                keep[:] = False
+            lone = np.flatnonzero(short)
+            row = np.concatenate([owner[keep], lone])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(node[row], pa.int64()),
+                    pa.array(n[row], pa.int32()),
+                    pa.array(np.concatenate([rank[keep], np.full(len(lone), -1)]), pa.int32()),
+                    pa.array(np.concatenate([tokens[order][keep], np.zeros(len(lone), np.int64)]), pa.int64()),
+                ],
+                ["node", "n", "rank", "token"],
+            )
+
+    return lists.select("node", "n", column).mapInArrow(placed, "node bigint, n int, rank int, token bigint")
 
 
 def prefixes(documents: DataFrame, nodes: DataFrame, settings: Settings, text_column: str) -> DataFrame:
-    """(node, n, token, rank): the prefixes under the first order.
+    """(node, n, rank, token): the prefixes under the first order, stored.
 
-    The order is the same for all sets, whatever was counted: first the tokens outside a set of common ones, then those
-    inside, by hash.  Common are tokens of many heads, and tokens of many whole sets among the sets whose heads hold
-    too few others.
+    The order is the same for all sets, whatever was counted: first the tokens that a bitmap of common ones does not hold,
+    then those that it holds, by hash.  Common are tokens of many heads, and tokens of many whole sets among the sets
+    whose heads hold too few others.
     """
-    length = prefix_length(F.col("n"), settings.percent)
-    short = (F.size("early") < length) & (F.size("head") < F.col("n"))
     common = stored(_common_tokens(nodes, "head", settings), "common-tokens")
-    dense = stored(_with_common(nodes, "head", common).where(short).select("node"), "dense-sets")
+    first = _bitmap(common, "token")
+    dense = stored(_placed(nodes, "head", first, settings, only_short=True).select("node"), "dense-sets")
     if not dense.isEmpty():
         more = _common_tokens(whole_sets(documents, dense, settings, text_column), "tokens", settings)
-        common = stored(common.union(more).distinct(), "common-tokens")
-    marked = stored(_with_common(nodes, "head", common).withColumn("short", short), "marked-heads")
-    own = marked.where("not short").select("node", "n", "early", "late")
-    dense = marked.where("short").select("node", "n")
-    if not dense.isEmpty():
-        lists = whole_sets(documents, dense.select("node"), settings, text_column).join(dense, "node")
-        own = own.unionByName(_with_common(lists, "tokens", common).select("node", "n", "early", "late"))
-    first = F.slice(F.concat("early", "late"), F.lit(1), length)
-    return own.select("node", "n", F.posexplode(first).alias("rank", "token"))
+        first |= _bitmap(more, "token")
+    placed = stored(_placed(nodes, "head", first, settings), "prefixes")
+    dense = placed.where("rank < 0").select("node", "n")
+    placed = placed.where("rank >= 0")
+    if dense.isEmpty():
+        return placed
+    lists = whole_sets(documents, dense.select("node"), settings, text_column)
+    lists = lists.withColumn("n", F.size("tokens"))
+    return placed.unionByName(stored(_placed(lists, "tokens", first, settings), "dense-prefixes"))
+
+
+def _maybe_shared(placed: DataFrame, shared: DataFrame) -> DataFrame:
+    """The rows whose token may be among the shared ones; few others pass."""
+    held = placed.sparkSession.sparkContext.broadcast(_bitmap(shared, "token"))
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column(3).to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(_held(held.value, tokens), pa.bool_()))
+
+    return placed.select("node", "n", "rank", "token").mapInArrow(passed, "node bigint, n int, rank int, token bigint")
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
@@ -231,12 +269,13 @@ def similar_components(
     nodes = rows.where("n > 0").drop("id", "text_hash").dropDuplicates(["node"])
     nodes = stored(nodes, "nodes")
     placed = prefixes(documents, nodes.select("node", "n", "head"), settings, text_column)
-    placed = stored(placed, "prefixes")
     # Tokens of one set only link nothing.
-    best = F.min(F.struct("rank", "node", "n"))
-    tokens = placed.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), best.alias("leader"))
-    tokens = stored(tokens.where("sets > 1").drop("sets"), "shared-tokens")
-    shared = stored(placed.join(tokens, "token"), "shared-prefixes")
+    several = placed.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("token")
+    several = stored(several, "shared-tokens")
+    rows_of = stored(_maybe_shared(placed, several).join(several, "token", "left_semi"), "shared-prefixes")
+    best = F.min(F.struct("rank", "node", "n")).alias("leader")
+    leaders = stored(rows_of.groupBy("token").agg(best), "leaders")
+    shared = rows_of.join(leaders, "token")
     own = shared.select("token", "rank", "node", "n", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n"), F.col("leader.rank").alias("leader_rank"))
     star = own.where("node <> leader").select(
         F.col("node").alias("a"), F.col("leader").alias("b"),
