@@ -9,7 +9,8 @@ training texts.
 Texts are dealt into batches of some megabytes by a hash.  A batch sends its distinct n-grams, sorted and packed, to
 blocks of the hash range; a block adds up what all batches sent and replies to each with the corpus counts of its n-grams.
 A batch then scores its texts with the counts that came back.  So every n-gram of the corpus is counted, a frequent one
-travels once for each batch, and neither a block nor a batch grows with the corpus.
+travels once for each batch, and neither a block nor a batch grows with the corpus.  Words are told apart by 64-bit
+hashes, pairs of words by 56 bits, which sorted and as differences pack into less than five bytes each.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +35,11 @@ STEPS, MOST = 4, 160
 
 @dataclass(frozen=True)
 class Settings:
-    """One in ``held_out_batches`` batches gives the held-out counts; there are at least that many batches."""
+    """One in ``held_out_batches`` batches gives the held-out counts; there are at least that many batches.  A block adds up
+    the n-grams that about ``block_bytes`` of text hold."""
 
-    batch_bytes: int = 12 << 20
+    batch_bytes: int = 4 << 20
+    block_bytes: int = 16 << 20
     held_out_batches: int = 16
     iterations: int = 40
 
@@ -58,6 +62,15 @@ class NGrams:
     owner: np.ndarray  # the text of each token
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers in few bytes: those that rise as differences."""
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def _unpacked(item: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(item.as_buffer()), kind)
+
+
 def n_grams(column: pa.Array) -> NGrams:
     data, offsets = text_buffers(column)
     hashes, counts = [], []
@@ -75,7 +88,7 @@ def n_grams(column: pa.Array) -> NGrams:
     before[1:] = tokens[:-1]
     starts = np.concatenate([[0], ends[:-1] + 1])
     before[starts] = START
-    pairs, pair = np.unique(mixed(before * np.uint64(0xD1342543DE82EF95) + tokens, 1), return_inverse=True)
+    pairs, pair = np.unique(mixed(before * np.uint64(0xD1342543DE82EF95) + tokens, 1) & ~np.uint64(0xFF), return_inverse=True)
     unigrams, word = np.unique(tokens, return_inverse=True)
     context = np.empty(len(tokens), np.int64)
     context[1:] = word[:-1]
@@ -113,7 +126,10 @@ def _messages(blocks: int):
             cuts = _cuts(hashes, blocks)
             for block in np.flatnonzero(np.diff(cuts)).tolist():
                 part = slice(cuts[block], cuts[block + 1])
-                values = (batch, size, block, hashes[part].tobytes(), counts[part].tobytes(), held[part].tobytes() if held is not None else None)
+                steps = np.diff(hashes[part], prepend=np.uint64(0)) >> np.uint64(0 if size == 1 else 8)
+                values = (
+                    batch, size, block, _packed(steps), _packed(counts[part]), None if held is None else _packed(held[part])
+                )
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
@@ -129,7 +145,7 @@ _REPLY = "batch bigint, size int, block int, training binary, held_out binary, t
 def _replies(held_out_batches: int):
     def replied(rows: pa.Table) -> pa.Table:
         """The sums of one block and size, for each batch that asked; one row (batch -1) has the block's totals."""
-        asked = [np.frombuffer(item.as_buffer(), np.uint64) for item in _column(rows, "hashes")]
+        asked = [np.cumsum(_unpacked(item, np.uint64), dtype=np.uint64) for item in _column(rows, "hashes")]
         bounds = np.concatenate([[0], np.cumsum([len(item) for item in asked])])
         hashes, place = np.unique(np.concatenate(asked), return_inverse=True)
         sums = []
@@ -137,15 +153,15 @@ def _replies(held_out_batches: int):
             total = np.zeros(len(hashes), np.int64)
             for k, item in enumerate(_column(rows, name)):
                 if item.is_valid:  # a batch asks for an n-gram once
-                    total[place[bounds[k] : bounds[k + 1]]] += np.frombuffer(item.as_buffer(), np.int64)
+                    total[place[bounds[k] : bounds[k + 1]]] += _unpacked(item, np.int64)
             sums.append(total)
         batches = rows.column("batch").to_pylist()
         size, block = rows.column("size")[0].as_py(), rows.column("block")[0].as_py()
         packed: list[list[bytes | None]] = [[], []]
         for k, batch in enumerate(batches):
             own = place[bounds[k] : bounds[k + 1]]
-            packed[0].append(sums[0][own].tobytes())
-            packed[1].append(sums[1][own].tobytes() if batch % held_out_batches == 0 else None)
+            packed[0].append(_packed(sums[0][own]))
+            packed[1].append(_packed(sums[1][own]) if batch % held_out_batches == 0 else None)
         count = len(batches)
         totals = (int(sums[0].sum()), int((sums[0] > 0).sum())) if size == 1 else (0, 0)
         return pa.Table.from_arrays(
@@ -169,14 +185,14 @@ def _counts(replies: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     both = []
     for size in (1, 2):
         own = [
-            (block, item.as_buffer())
+            (block, item)
             for block, kind, item in zip(
                 replies.column("block").to_pylist(), replies.column("size").to_pylist(), _column(replies, name), strict=True
             )
             if kind == size and item.is_valid
         ]
         own.sort(key=lambda pair: pair[0])
-        both.append(np.concatenate([np.frombuffer(item, np.int64) for _, item in own]) if own else np.zeros(0, np.int64))
+        both.append(np.concatenate([_unpacked(item, np.int64) for _, item in own]) if own else np.zeros(0, np.int64))
     return both[0], both[1]
 
 
@@ -269,19 +285,20 @@ def lm_scores(
 
     Null and empty texts are one end.  Without training texts every probability is uniform over an empty vocabulary.
     Repeated rows give repeated rows and count as often; an empty table gives an empty result; other columns are not
-    looked at.  Words are told apart by 64-bit hashes.
+    looked at.
     """
     text = quoted(text_column)
     size = documents.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)) + F.count(F.lit(1))).first()[0]
     every = settings.held_out_batches
     batches = max(every, -(-size // settings.batch_bytes))
+    blocks = max(1, -(-size // settings.block_bytes))
     rows = documents.select(
         quoted(id_column).alias("id"),
         F.coalesce(text, F.lit("")).alias("text"),
         F.coalesce(training, F.lit(False)).alias("training"),
         F.pmod(F.xxhash64(quoted(id_column), text), F.lit(batches)).alias("batch"),
     ).withColumn("fold", F.col("training") & (F.col("batch") % every == 0))
-    messages = rows.groupBy("batch").applyInArrow(_messages(int(batches)), _MESSAGE)
+    messages = rows.groupBy("batch").applyInArrow(_messages(int(blocks)), _MESSAGE)
     replies = stored(messages.groupBy("size", "block").applyInArrow(_replies(every), _REPLY), "n-gram-counts")
     totals = replies.where("batch = -1").agg(F.sum("tokens"), F.sum("types")).first()
     corpus = Corpus(totals[0] or 0, totals[1] or 0)
