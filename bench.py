@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -59,6 +60,7 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.files.maxPartitionBytes": "16m",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
     }
     spark = configure(builder, shuffle_partitions=cpus, **local).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from carebundle.schema import target_schema
+import re
+from pathlib import Path
 
+# The documented schemas are the list to compare with, not those of the package.
+_FIXTURES = Path(__file__).resolve().parents[2] / "FIXTURES.md"
+_KINDS = {"L": "bigint", "S": "string", "F": "double", "B": "boolean", "T": "timestamp", "D": "date"}
 _SQL_TYPES = {
     "bigint": "BIGINT",
     "string": "VARCHAR",
@@ -12,6 +16,18 @@ _SQL_TYPES = {
     "date": "DATE",
     "timestamp": "TIMESTAMP",
 }
+
+
+def documented_schemas() -> dict[str, list[tuple[str, str]]]:
+    """(name, type) of the columns of every target table in order, from FIXTURES.md."""
+    tables = {}
+    for line in _FIXTURES.read_text().splitlines():
+        row = re.match(r"\| `(\w+)` *\| \d+ \| ([^|]*:[LSFBTD]\b[^|]*) \|", line)
+        if row:
+            tables[row[1]] = [(name, _KINDS[kind]) for name, kind in (item.split(":") for item in row[2].split())]
+    return tables
+
+
 UUID_SHAPE = "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
 CLOCK = "'%Y-%m-%dT%H:%MZ'"
 
@@ -275,8 +291,7 @@ def _absent_person_columns() -> str:
         "person_id", "gender_concept_id", "birth_datetime", "death_datetime", "gender_source_concept_id",
         "row_status_source_concept_id",
     }
-    fields = target_schema("person").fields
-    return _nulls({f.name: _SQL_TYPES[f.dataType.simpleString()] for f in fields if f.name not in present})
+    return _nulls({name: _SQL_TYPES[kind] for name, kind in documented_schemas()["person"] if name not in present})
 
 
 _SIBLINGS = {
@@ -303,16 +318,59 @@ where {column} is not null and {column} not in (select {target}_id from {target}
 
 
 _WRONG_ERRORS = (
-    ("person", 'table person: type mismatch for column hash: actual "integer", expected "long"'),
-    ("provider", "table provider: extra fields: nickname are not in the schema"),
-    ("care_site", "table care_site: missing fields: opened"),
+    ("person", 'table person: column hash is "integer" where the schema wants "long"'),
+    ("provider", "table provider: the schema does not know the columns nickname"),
+    ("care_site", "table care_site: lacks the columns opened"),
 )
+# The given table whose rows a target table is made of, if it is a single one.
+_GIVEN = {
+    "person": "customer", "location": "customer", "visit_occurrence": "orders", "note": "orders", "care_site": "nation",
+    "provider": "supplier",
+}
+
+
+def _schema_columns() -> str:
+    counts = " ".join(f"when '{table}' then (select count(*) from {given})" for table, given in _GIVEN.items())
+    rows = [
+        f"('{table}', {position}, '{name}', '{kind}')"
+        for table, columns in documented_schemas().items()
+        for position, (name, kind) in enumerate(columns)
+    ]
+    return f"""
+select table_name, position::bigint as position, column_name, type, case table_name {counts} end as n_rows
+from (values {", ".join(rows)}) as t(table_name, position, column_name, type)"""
+
+
+_SOURCE_COLUMNS = {
+    "patients": "id birthdate deathdate ssn first last gender address city state lat lon",
+    "encounters": "id patient provider organization start stop encounterClass",
+    "organizations": "id name",
+    "conditions": "start stop encounter patient code description line",
+    "procedures": "date encounter patient code description line",
+    "providers": "id name organization gender",
+}
+
+
+def _fingerprint(table: str, columns: str) -> str:
+    quoted = [f'"{name}"' for name in columns.split()]
+    return f"""
+select '{table}' as table_name, count(*) as n,
+       (sum({_key(table, *quoted)}::hugeint) % 1000000007)::bigint as fingerprint from {table}"""
+
+
+def _fingerprints(columns: dict[str, str]) -> str:
+    return _with(tuple(columns), " union all ".join(_fingerprint(*item) for item in columns.items()))
+
+
 _ORDER_UUID = _uuid("encounter", "o_orderkey")
 _MEN, _WOMEN = ("men", 10, "gender_concept_id = 8507"), ("women", 20, "gender_concept_id = 8532")
 _ROLE = "(case when gender_concept_id is null then 200::bigint else 100::bigint end)"
 _GRANT = _key("care_site_history", _ROLE, "provider_id", "care_site_id")
 
 
+_PROVIDER = "provider_name provider_id provider_source_value npi dea care_site_id is_active gender_concept_id"
+
+
 def oracles() -> dict[str, str]:
     visits = _target("visit_occurrence")
     encounters = _with(("encounters",), "select * from encounters")
@@ -404,6 +462,12 @@ select l_returnflag, l_linestatus, row_number() over (partition by l_returnflag,
         ),
         "csv_roundtrip": encounters,
         "temp_view_roundtrip": encounters,
+        "csv_roundtrip_tables": _fingerprints(_SOURCE_COLUMNS),
+        "temp_view_roundtrip_tables": _fingerprints(_SOURCE_COLUMNS),
+        "supply_cache_roundtrip_tables": _fingerprints(_SOURCE_COLUMNS),
+        "package_csv_roundtrip": _fingerprints({"care_site": "care_site_id care_site_name", "provider": _PROVIDER}),
+        "warehouse_roundtrip_tables": _fingerprints({"care_site": "care_site_id care_site_name", "provider": _PROVIDER}),
+        "target_schema_columns": _schema_columns(),
         "warehouse_roundtrip": visits,
         "supply_cache_roundtrip": row_id["to_costs_by_row_id"],
         "package_roundtrip": _target("note"),
@@ -441,7 +505,8 @@ select l_returnflag, l_linestatus, row_number() over (partition by l_returnflag,
         "readable_persons": _with(
             ("person",),
             """select 'carer' as user, person_id from person where gender_concept_id = 8507
-               union all select 'root' as user, person_id from person""",
+               union all select 'root' as user, person_id from person
+               union all select 'last year' as user, person_id from person where gender_concept_id = 8532""",
         ),
         "group_count": counts_by_type,
         "group_count_sql": counts_by_type,
@@ -463,8 +528,11 @@ select l_returnflag, l_linestatus, row_number() over (partition by l_returnflag,
                                   "procedure_occurrence", "cost")
                 ]
                 + [
-                    """select 'note' as table_name, 'visit_detail_id' as column_name, count(*)::bigint as n from note
-                       having count(*) > 0"""
+                    f"""select '{table}' as table_name, '{column}' as column_name, count(*)::bigint as n from {table}
+                        where {column} is not null having count(*) > 0"""
+                    for table, column in (
+                        ("note", "visit_detail_id"), ("note", "note_event_id"), ("cost", "cost_event_id")
+                    )
                 ]
             ),
             person=persons_known,

@@ -6,6 +6,7 @@ Timestamps leave a query without a time zone, as the comparing engine has them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from hashlib import md5
 from uuid import UUID, uuid4
 
@@ -18,13 +19,18 @@ from carebundle.functions import codes, keys, parse
 from carebundle.operators import access, audit, columns, copies
 from carebundle.plans import concepts, convert
 from carebundle.plans.star import ROW_IDS, Star, uuid_text
-from carebundle.schema import target_schema
+from carebundle.schema import target_schema, target_schemas
 from carebundle.sources import package, storage, supply, tables
 from carebundle.sources.literal import empty_table, literal_frame
 from carebundle.streaming.append import append_converted
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# The source columns that a conversion reads.
+CODES = ("code", "description")
+PERSON = ("id", "gender", "birthdate", "deathdate")
+COST = ("date", "patient", "encounter")
+COST_BY_LINE = (*COST, *ROW_IDS["procedures"])
 
 
 def _zoneless(frame: DataFrame) -> DataFrame:
@@ -50,13 +56,13 @@ def parse_datetime(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("o_orderkey")
     text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm'Z'")
     mixed = F.when(key % 5 == 0, F.substring(text, 1, 10)).when(key % 7 == 0, "soon").when(key % 11 != 0, text)
-    orders = Star(spark, folder).driving_table("orders").select("o_orderkey", mixed.alias("text"))
+    orders = Star(spark, folder).table("orders").select("o_orderkey", mixed.alias("text"))
     return orders.select("o_orderkey", parse.parse_datetime("text").alias("parsed"))
 
 
 @query
 def parse_date(spark: SparkSession, folder: str) -> DataFrame:
-    patients = Star(spark, folder).patients()
+    patients = Star(spark, folder).patients(["id", "birthdate", "deathdate", "lat"])
     return patients.select(
         "id",
         parse.parse_date("birthdate").alias("birth"),
@@ -69,7 +75,7 @@ def parse_date(spark: SparkSession, folder: str) -> DataFrame:
 def parse_day(spark: SparkSession, folder: str) -> DataFrame:
     """Dates from texts with and without a time."""
     text = F.col("date")
-    rows = Star(spark, folder).procedures().select(
+    rows = Star(spark, folder).procedures(["date", "code"]).select(
         F.when(F.col("code") == "P-Brand#7", F.substring(text, 1, 10)).otherwise(text).alias("text")
     )
     return rows.groupBy(parse.parse_day("text").alias("day")).agg(F.count(F.lit(1)).alias("n"))
@@ -81,28 +87,28 @@ def uuid_numeric_id(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("o_orderkey")
     uuid = uuid_text("encounter", key)
     mixed = F.when(key % 13 == 0, F.concat(F.lit("x"), uuid)).when(key % 7 == 0, F.upper(uuid)).otherwise(uuid)
-    orders = Star(spark, folder).driving_table("orders").select("o_orderkey", mixed.alias("uuid"))
+    orders = Star(spark, folder).table("orders").select("o_orderkey", mixed.alias("uuid"))
     return orders.select("o_orderkey", keys.uuid_id("uuid").alias("id"))
 
 
 @query
 def surrogate_key(spark: SparkSession, folder: str) -> DataFrame:
     natural = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    lines = Star(spark, folder).driving_table("lineitem")
+    lines = Star(spark, folder).table("lineitem")
     return lines.select(*natural, keys.surrogate_key("line", natural).alias("line_key"))
 
 
 @query
 def hex_bytes(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("o_orderkey") * 7919 % 1_000_000
-    return Star(spark, folder).driving_table("orders").select("o_orderkey", keys.hex_bytes(number).alias("hex_key"))
+    return Star(spark, folder).table("orders").select("o_orderkey", keys.hex_bytes(number).alias("hex_key"))
 
 
 @query
 def gender_concept(spark: SparkSession, folder: str) -> DataFrame:
     concept = codes.gender_concept("gender")
     return (
-        Star(spark, folder).patients()
+        Star(spark, folder).patients(["gender"])
         .groupBy(
             "gender", concept.alias("concept_id"), codes.gender_source_concept(concept).alias("source_concept_id")
         )
@@ -113,7 +119,7 @@ def gender_concept(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def visit_concept(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        Star(spark, folder).encounters()
+        Star(spark, folder).encounters(["encounterClass"])
         .groupBy("encounterClass", codes.visit_concept("encounterClass").alias("concept_id"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -121,7 +127,7 @@ def visit_concept(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_double(spark: SparkSession, folder: str) -> DataFrame:
-    patients = Star(spark, folder).patients()
+    patients = Star(spark, folder).patients(["id", "lat", "lon"])
     return patients.select("id", parse.parse_double("lat").alias("lat"), parse.parse_double("lon").alias("lon"))
 
 
@@ -130,22 +136,22 @@ def parse_double(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def to_fhir_concepts(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_concepts(Star(spark, folder).conditions(), Star(spark, folder).procedures())
+    return convert.to_concepts(Star(spark, folder).conditions(CODES), Star(spark, folder).procedures(CODES))
 
 
 @query
 def to_persons(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_persons(Star(spark, folder).patients())
+    return convert.to_persons(Star(spark, folder).patients(PERSON))
 
 
 @query
 def to_observations(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_observations(Star(spark, folder).patients())
+    return convert.to_observations(Star(spark, folder).patients(["id", "first", "last", "ssn"]))
 
 
 @query
 def to_locations(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_locations(Star(spark, folder).patients())
+    return convert.to_locations(Star(spark, folder).patients(["id", "address", "city", "state", "lat", "lon"]))
 
 
 @query
@@ -175,7 +181,7 @@ def to_procedure_occurrences(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def to_costs(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_costs(Star(spark, folder).procedures())
+    return convert.to_costs(Star(spark, folder).procedures(COST))
 
 
 @query
@@ -190,7 +196,7 @@ def to_procedure_occurrences_by_row_id(spark: SparkSession, folder: str) -> Data
 
 @query
 def to_costs_by_row_id(spark: SparkSession, folder: str) -> DataFrame:
-    return convert.to_costs(Star(spark, folder).procedures(), ROW_IDS["procedures"])
+    return convert.to_costs(Star(spark, folder).procedures(COST_BY_LINE), ROW_IDS["procedures"])
 
 
 @query
@@ -201,12 +207,15 @@ def to_providers(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def number_copies(spark: SparkSession, folder: str) -> DataFrame:
     """Copies of a few hot rows, cut into small chunks."""
-    lines = Star(spark, folder).driving_table("lineitem").select("l_returnflag", "l_linestatus")
+    lines = Star(spark, folder).table("lineitem").select("l_returnflag", "l_linestatus")
     return copies.number_copies(lines, chunk=1000)
 
 
 def _target(spark: SparkSession, folder: str) -> Bundle:
-    return convert.convert(Star(spark, folder).bundle(), ROW_IDS)
+    """The target tables over a source that is stored once, since some of its tables feed several of them."""
+    source = Star(spark, folder).bundle()
+    cache = supply.SupplyCache(spark, storage.new_folder(spark, "source"))
+    return convert.convert(cache.bundle("source", list(source), lambda: source), ROW_IDS)
 
 
 @query
@@ -219,10 +228,26 @@ def convert_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def add_missing_columns(spark: SparkSession, folder: str) -> DataFrame:
-    persons = Bundle({"person": convert.to_persons(Star(spark, folder).patients())})
+    persons = Bundle({"person": convert.to_persons(Star(spark, folder).patients(PERSON))})
     return persons.add_missing_columns({"person": target_schema("person")})["person"]
 
 
+@query
+def target_schema_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns of the target tables in order, with the rows of the given table that each is made of."""
+    rows = [
+        (table, position, field.name, field.dataType.simpleString())
+        for table, schema in target_schemas().items()
+        for position, field in enumerate(schema.fields)
+    ]
+    schema = T.StructType.fromDDL("table_name string, position bigint, column_name string, type string")
+    star = Star(spark, folder)
+    given = {"person": "customer", "location": "customer", "visit_occurrence": "orders", "note": "orders",
+             "care_site": "nation", "provider": "supplier"}
+    counts = Bundle({table: star.table(name) for table, name in given.items()}).counts()
+    return literal_frame(spark, rows, schema).join(counts.withColumnRenamed("n", "n_rows"), "table_name", "left")
+
+
 @query
 def validate_errors(spark: SparkSession, folder: str) -> DataFrame:
     """The errors of three broken tables, each with the number of rows it concerns."""
@@ -230,7 +255,7 @@ def validate_errors(spark: SparkSession, folder: str) -> DataFrame:
     care_sites = convert.to_care_sites(star.organizations())
     broken = Bundle(
         {
-            "person": convert.to_persons(star.patients()).withColumn("hash", F.lit(123)),
+            "person": convert.to_persons(star.patients(PERSON)).withColumn("hash", F.lit(123)),
             "provider": convert.to_providers(star.providers()).withColumn("nickname", F.lit("")),
             "care_site": care_sites,
         }
@@ -249,13 +274,13 @@ def validate_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def with_hash(spark: SparkSession, folder: str) -> DataFrame:
-    return columns.with_hash(convert.to_persons(Star(spark, folder).patients()))
+    return columns.with_hash(convert.to_persons(Star(spark, folder).patients(PERSON)))
 
 
 @query
 def with_hash_content(spark: SparkSession, folder: str) -> DataFrame:
     """As many different hashes as different rows."""
-    costs = convert.to_costs(Star(spark, folder).procedures(), ROW_IDS["procedures"]).drop("cost_id")
+    costs = convert.to_costs(Star(spark, folder).procedures(COST_BY_LINE), ROW_IDS["procedures"]).drop("cost_id")
     return columns.with_hash(costs, content=True).agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("hash").alias("n_hashes")
     )
@@ -263,7 +288,7 @@ def with_hash_content(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def expand_concept_columns(spark: SparkSession, folder: str) -> DataFrame:
-    return columns.expand_concept_columns(convert.to_persons(Star(spark, folder).patients()))
+    return columns.expand_concept_columns(convert.to_persons(Star(spark, folder).patients(PERSON)))
 
 
 @query
@@ -288,6 +313,22 @@ def coalesce_counts(spark: SparkSession, folder: str) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------------------------------------
 
 
+def _fingerprints(bundle: Bundle) -> DataFrame:
+    """(table_name, n, fingerprint): rows of each table and an order-free sum over hashes of its rows."""
+    parts = []
+    for name, frame in bundle.items():
+        hashes = frame.select(keys.surrogate_key(name, frame.columns).cast("decimal(38,0)").alias("hash"))
+        total = (F.sum("hash") % 1_000_000_007).cast("bigint")
+        parts.append(hashes.agg(F.count(F.lit(1)).alias("n"), total.alias("fingerprint")).withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _staff(spark: SparkSession, folder: str) -> Bundle:
+    star = Star(spark, folder)
+    sites, providers = convert.to_care_sites(star.organizations()), convert.to_providers(star.providers())
+    return Bundle({"care_site": sites, "provider": providers})
+
+
 @query
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = storage.new_folder(spark, "csv")
@@ -295,6 +336,47 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return tables.from_csvs(spark, path)["encounters"]
 
 
+@query
+def csv_roundtrip_tables(spark: SparkSession, folder: str) -> DataFrame:
+    path = storage.new_folder(spark, "csv")
+    tables.to_csvs(Star(spark, folder).bundle(), path)
+    return _fingerprints(tables.from_csvs(spark, path))
+
+
+@query
+def temp_view_roundtrip_tables(spark: SparkSession, folder: str) -> DataFrame:
+    suffix = uuid4().hex
+    source = Star(spark, folder).bundle()
+    tables.create_or_replace_temp_views(source, lambda name: f"{name}_{suffix}")
+    views = [f"{name}_{suffix}" for name in source]
+    return _fingerprints(tables.from_temp_views(spark, views, lambda view: view.removesuffix(f"_{suffix}")))
+
+
+@query
+def warehouse_roundtrip_tables(spark: SparkSession, folder: str) -> DataFrame:
+    suffix = uuid4().hex
+    staff, location = _staff(spark, folder), storage.new_folder(spark, "warehouse")
+    tables.save_to_warehouse(staff, lambda name: f"{name}_{suffix}", location=location)
+    names = [f"{name}_{suffix}" for name in staff]
+    return _fingerprints(tables.from_warehouse(spark, names, lambda name: name.removesuffix(f"_{suffix}")))
+
+
+@query
+def supply_cache_roundtrip_tables(spark: SparkSession, folder: str) -> DataFrame:
+    cache = supply.SupplyCache(spark, storage.new_folder(spark, "cache"))
+    source = Star(spark, folder).bundle()
+    return _fingerprints(cache.bundle("source", list(source), lambda: source))
+
+
+@query
+def package_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """A package of CSV files with a header, read without saying so again."""
+    path = storage.new_folder(spark, "package")
+    staff = _staff(spark, folder)
+    package.write_package(package.describe(staff, "csv"), staff, path, options={"csv": {"header": True}})
+    return _fingerprints(package.read_package(spark, path).bundle)
+
+
 @query
 def temp_view_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     suffix = uuid4().hex
@@ -330,7 +412,7 @@ def supply_cache_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def package_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = storage.new_folder(spark, "package")
     star = Star(spark, folder)
-    bundle = Bundle({"person": convert.to_persons(star.patients()), "note": convert.to_notes(star.encounters())})
+    bundle = Bundle({"person": convert.to_persons(star.patients(PERSON)), "note": convert.to_notes(star.encounters())})
     package.write_package(package.describe(bundle, name="visits"), bundle, path)
     return package.read_package(spark, path).bundle["note"]
 
@@ -369,7 +451,7 @@ def _access_bundle(spark: SparkSession, folder: str) -> Bundle:
     empty = {table: empty_table(spark, table) for table in ("cohort_definition", "cohort", "role", "care_site_history")}
     return Bundle(
         {
-            "person": convert.to_persons(star.patients()),
+            "person": convert.to_persons(star.patients(PERSON)),
             "provider": convert.to_providers(star.providers()),
             "care_site": convert.to_care_sites(star.organizations()),
             **empty,
@@ -433,22 +515,48 @@ def with_root_provider_cohort(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def readable_persons(spark: SparkSession, folder: str) -> DataFrame:
-    """What two users may read: one provider with a grant at a site that owns a cohort, and the root provider.  The
+    """What users may read: one provider with a grant at a site that owns a cohort, the root provider, one whose grant has
+    ended, now and while it lasted, and one who is not active.  A cohort of another domain's owner opens nothing.  The
     tables of the access model are stored first, as they are where access is checked."""
     bundle = _access_bundle(spark, folder)
     men, women = _by_gender(bundle)
     bundle = access.with_root_provider(access.with_cohorts(bundle, [men, women]), "admin")
-    some = bundle["provider"].where(F.col("provider_name") == "Supplier#000000001")
-    grants = _grants(some).withColumn("care_site_id", F.lit(men.care_site_id).cast("bigint"))
+    number = F.col("provider_name")
+    granted = bundle["provider"].where(number.isin([f"Supplier#{n:09d}" for n in (1, 2, 3)]))
+    site = F.when(number == "Supplier#000000002", women.care_site_id).otherwise(men.care_site_id)
+    grants = granted.select(
+        F.lit(access.CARER_ROLE).cast("bigint").alias("role_id"), "provider_id", site.cast("bigint").alias("care_site_id")
+    )
     bundle = access.with_provider_roles(bundle, grants)
+    ended = F.when(F.col("care_site_id") == women.care_site_id, F.lit("2000-12-31").cast("date"))
+    foreign = women.person_ids.sparkSession.range(1).select(
+        F.lit(-7).cast("bigint").alias("cohort_definition_id"),
+        F.lit("Hospital").alias("owner_domain_id"),
+        F.lit(men.care_site_id).cast("bigint").alias("owner_entity_id"),
+    )
+    strangers = women.person_ids.select(F.lit(-7).cast("bigint").alias("cohort_definition_id"), F.col("person_id").alias("subject_id"))
+    bundle = bundle.replace(
+        provider=bundle["provider"].withColumn("is_active", number.isNull() | (number != "Supplier#000000003")),
+        care_site_history=bundle["care_site_history"].withColumn("end_date", ended),
+        cohort_definition=bundle["cohort_definition"].unionByName(foreign, allowMissingColumns=True),
+        cohort=bundle["cohort"].unionByName(strangers, allowMissingColumns=True),
+    )
     model = ("provider", "role", "care_site_history", "cohort_definition", "cohort")
     store = supply.SupplyCache(spark, storage.new_folder(spark, "access"))
     stored = store.bundle("model", model, lambda: Bundle({name: bundle[name] for name in model}))
-    users = [("carer", str(UUID(md5(b"provider|1").hexdigest()))), ("root", "admin")]
-    carer, root = (
-        access.readable_persons(stored, name).select(F.lit(user).alias("user"), "person_id") for user, name in users
-    )
-    return carer.unionByName(root)
+    name = lambda n: str(UUID(md5(f"provider|{n}".encode()).hexdigest()))
+    asked = [
+        ("carer", name(1), None),
+        ("root", "admin", None),
+        ("ended", name(2), None),
+        ("last year", name(2), F.lit("2000-06-30 12:00:00").cast("timestamp")),
+        ("inactive", name(3), None),
+    ]
+    parts = [
+        access.readable_persons(stored, user, at).select(F.lit(label).alias("user"), "person_id")
+        for label, user, at in asked
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- concept queries ---------------------------------------------------------------------------------------
@@ -475,7 +583,7 @@ def preview_limit(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dedupe_codes(spark: SparkSession, folder: str) -> DataFrame:
-    return concepts.one_per_code(Star(spark, folder).conditions(), "code", "description")
+    return concepts.one_per_code(Star(spark, folder).conditions(CODES), "code", "description")
 
 
 # --- audits ------------------------------------------------------------------------------------------------
@@ -485,10 +593,10 @@ def dedupe_codes(spark: SparkSession, folder: str) -> DataFrame:
 def key_collisions(spark: SparkSession, folder: str) -> DataFrame:
     """Persons of unknown gender appear twice, and lose their key in the third copy."""
     star = Star(spark, folder)
-    persons = convert.to_persons(star.patients())
+    persons = convert.to_persons(star.patients(PERSON))
     unknown = persons.where(F.col("gender_concept_id").isNull())
     keyless = unknown.withColumn("person_id", F.lit(None).cast("bigint"))
-    costs = convert.to_costs(star.procedures(), ROW_IDS["procedures"])
+    costs = convert.to_costs(star.procedures(COST_BY_LINE), ROW_IDS["procedures"])
     return audit.key_collisions(Bundle({"person": persons.unionByName(unknown).unionByName(keyless), "cost": costs}))
 
 

@@ -34,7 +34,8 @@ def surrogate_key(table: str, columns: Sequence[Column | str]) -> Column:
     """A positive 63-bit key from the table name and the given columns.
 
     Every value is written with its length in front and null as a lone ``~``, so two different rows never
-    give the same hashed text.
+    give the same hashed text.  Of n rows about n^2 / 2^64 pairs share a key by chance: some 500 of 10^11 rows, 50,000 of
+    10^12.  ``audit.key_collisions`` finds them; nothing repairs them.
     """
     parts = [F.lit(table)]
     for column in columns:

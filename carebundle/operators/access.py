@@ -3,7 +3,8 @@
 A principal is a provider whose ``provider_source_value`` is the user name.  ``care_site_history`` grants a role at a
 care site, and a role with the read right opens all cohorts that the site owns.
 
-New rows are added by name: columns they do not have become null.  ``narrow=True`` keeps only the columns that the
+Each operator is meant to be called once with the same arguments: a second call adds equal rows again.  New rows are
+added by name: columns they do not have become null.  ``narrow=True`` keeps only the columns that the
 operator itself writes.
 """
 
@@ -32,9 +33,6 @@ ROOT_ID = 1
 ROOT_GENDER = 8532
 ALL_COHORT = "ALL"
 
-# A set of bigint keys up to this many rows takes some tens of megabytes per executor.
-BROADCAST_ROWS = 1_000_000
-
 ROLE_GRANT = T.StructType(
     [T.StructField(name, T.LongType()) for name in ("role_id", "provider_id", "care_site_id")]
 )
@@ -72,7 +70,7 @@ def _append(table: DataFrame, rows: DataFrame, narrow: bool) -> DataFrame:
 
 
 def with_cohorts(bundle: Bundle, cohorts: Sequence[CohortSpec], narrow: bool = False) -> Bundle:
-    """Add one definition per cohort and one cohort row per person in it."""
+    """Add one definition per cohort and one cohort row per person in it; a person given twice counts once."""
     if not cohorts:
         return bundle
     spark = bundle["cohort"].sparkSession
@@ -93,7 +91,7 @@ def with_cohorts(bundle: Bundle, cohorts: Sequence[CohortSpec], narrow: bool = F
         )
         for cohort in cohorts
     ]
-    rows = reduce(DataFrame.unionByName, members)
+    rows = reduce(DataFrame.unionByName, members).distinct()
     rows = rows.select(surrogate_key("cohort", rows.columns).alias("cohort_id"), *rows.columns)
     return bundle.replace(
         cohort_definition=_append(bundle["cohort_definition"], definitions, narrow),
@@ -148,26 +146,46 @@ def with_root_provider(bundle: Bundle, username: str = ROOT_NAME, narrow: bool =
     return with_cohorts(bundle, [everyone], narrow)
 
 
-def broadcast_if_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a frame of a few narrow columns for broadcast if it is counted to be small; a larger one is returned as
-    it is and will be shuffled."""
-    return F.broadcast(frame) if frame.count() <= rows else frame
-
-
-def readable_persons(bundle: Bundle, username: str) -> DataFrame:
-    """The distinct ids of the persons a user may read."""
-    providers, history = bundle["provider"], bundle["care_site_history"]
+def _valid(frame: DataFrame, as_of: Column, start: str, end: str) -> DataFrame:
+    """The rows that hold at a time: begun, not ended and not marked as invalid.  Null is open, and so is a column that the
+    table does not have; a date holds for its whole day."""
+    for name, late in ((start, False), (end, True)):
+        if name in frame.columns:
+            at = as_of.cast("date") if isinstance(frame.schema[name].dataType, T.DateType) else as_of
+            frame = frame.where(F.col(name).isNull() | ((F.col(name) >= at) if late else (F.col(name) <= at)))
+    if "invalid_reason" in frame.columns:
+        frame = frame.where(F.coalesce("invalid_reason", F.lit("")) == "")
+    return frame
+
+
+def readable_persons(bundle: Bundle, username: str, as_of: Column | None = None) -> DataFrame:
+    """The distinct ids of the persons a user may read at a time, now if none is given.
+
+    The provider has to be active; provider, grant, role, cohort definition and cohort row have to be valid; grant and
+    definition have to be of the provider domain.  No side is collected or counted: Spark broadcasts what is below the
+    session's limit.  The cohort rows meet the definitions in a semi join of two exchanges, so a cohort that holds
+    every person is split by adaptive execution.
+    """
+    at = F.current_timestamp() if as_of is None else as_of
+    providers = _valid(bundle["provider"], at, "valid_start_datetime", "valid_end_datetime")
+    if "is_active" in providers.columns:
+        providers = providers.where(F.coalesce("is_active", F.lit(True)))
     user = providers.where(F.col("provider_source_value") == username).select(F.col("provider_id").alias("entity_id"))
-    readers = bundle["role"].where("right_read_data_nominative").select("role_id")
-    grants = history.where(F.col("domain_id") == DOMAIN).select("entity_id", "role_id", "care_site_id")
-    granted = grants.join(user, "entity_id", "left_semi").join(readers, "role_id", "left_semi")
+    roles = _valid(bundle["role"], at, "valid_start_date", "valid_end_date")
+    readers = roles.where("right_read_data_nominative").select("role_id")
+    history = _valid(bundle["care_site_history"], at, "start_date", "end_date").where(F.col("domain_id") == DOMAIN)
+    granted = history.select("entity_id", "role_id", "care_site_id")
+    granted = granted.join(user, "entity_id", "left_semi").join(readers, "role_id", "left_semi")
     # A site may have very many grants: they are merged before they meet the cohorts.
     sites = granted.select("care_site_id").distinct()
-    owned = bundle["cohort_definition"].select("cohort_definition_id", F.col("owner_entity_id").alias("care_site_id"))
-    definitions = owned.join(sites, "care_site_id", "left_semi").select("cohort_definition_id").distinct()
+    owned = _valid(bundle["cohort_definition"], at, "valid_start_datetime", "valid_end_datetime")
+    if "owner_domain_id" in owned.columns:
+        owned = owned.where(F.coalesce("owner_domain_id", F.lit(DOMAIN)) == DOMAIN)
+    owned = owned.select("cohort_definition_id", F.col("owner_entity_id").alias("care_site_id"))
+    definitions = owned.join(sites, "care_site_id", "left_semi").select("cohort_definition_id")
+    members = _valid(bundle["cohort"], at, "cohort_start_datetime", "cohort_end_datetime")
     return (
-        bundle["cohort"]
-        .join(broadcast_if_small(definitions), "cohort_definition_id", "left_semi")
+        members.join(definitions, "cohort_definition_id", "left_semi")
         .select(F.col("subject_id").alias("person_id"))
         .distinct()
     )

@@ -21,6 +21,8 @@ _NAMED_REFERENCES = {
     ("visit_occurrence", "preceding_visit_occurrence_id"): ("visit_occurrence", None),
     ("visit_detail", "preceding_visit_detail_id"): ("visit_detail", None),
     ("visit_detail", "visit_detail_parent_id"): ("visit_detail", None),
+    ("cost", "cost_event_id"): ("visit_detail", ("cost_event_field_concept_id", 1147624)),
+    ("note", "note_event_id"): ("visit_detail", ("note_event_field_concept_id", 1147332)),
 }
 
 

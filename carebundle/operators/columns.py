@@ -37,7 +37,7 @@ def add_missing_columns(frame: DataFrame, schema: T.StructType) -> DataFrame:
 
 def with_hash(frame: DataFrame, content: bool = False) -> DataFrame:
     """Add or replace the bigint column ``hash``."""
-    inputs = [_quoted(name) for name in frame.columns if name != "hash"]
+    inputs = [quoted(name) for name in frame.columns if name != "hash"]
     value = row_hash([F.col(name) for name in inputs]) if content else F.lit(MOCK_HASH).cast("bigint")
     return frame.withColumn("hash", value)
 
@@ -60,5 +60,5 @@ def expand_concept_columns(frame: DataFrame) -> DataFrame:
     return frame.select("*", *(_typed_null(n, t) for n, t in siblings.items() if n not in present))
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carebundle.operators.columns import quoted
+
 CHUNK = 65_536
 
 
+def _free(label: str, taken: list[str]) -> str:
+    """A column name that is not taken."""
+    while label.lower() in {name.lower() for name in taken}:
+        label = f"_{label}"
+    return label
+
+
 def number_copies(frame: DataFrame, name: str = "copy", chunk: int = CHUNK) -> DataFrame:
     """Every row with a number 1..n among the n rows equal to it.
 
@@ -16,22 +25,25 @@ def number_copies(frame: DataFrame, name: str = "copy", chunk: int = CHUNK) -> D
     A count above ``chunk`` is first cut into chunks, which are spread over all tasks, so a row that makes up a
     third of the table is written by the whole cluster.
     """
-    columns = [f"`{column}`" for column in frame.columns]
-    counted = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-    few = counted.where(F.col("__n") <= chunk).select(
-        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"))).alias(name)
-    )
+    columns = [quoted(column) for column in frame.columns]
+    # Chunk rows are tiny until they are written out, so adaptive execution would merge them into one task if it were free
+    # to choose: the number of tasks is given.
     tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = F.col("__chunk") * chunk + 1
-    last = F.least((F.col("__chunk") + 1) * chunk, F.col("__n"))
+    total, part = (_free(label, [*frame.columns, name]) for label in ("n", "chunk"))
+    counted = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias(total))
+    few = counted.where(F.col(total) <= chunk).select(
+        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(total))).alias(name)
+    )
+    first = F.col(part) * chunk + 1
+    last = F.least((F.col(part) + 1) * chunk, F.col(total))
     many = (
-        counted.where(F.col("__n") > chunk)
+        counted.where(F.col(total) > chunk)
         .select(
             *columns,
-            "__n",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__n") - 1) / chunk))).alias("__chunk"),
+            total,
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(total) - 1) / chunk))).alias(part),
         )
-        .repartition(tasks, *columns, "__chunk")
+        .repartition(tasks, *columns, part)
         .select(*columns, F.explode(F.sequence(first, last)).alias(name))
     )
     return few.unionByName(many)

@@ -33,6 +33,7 @@ NOTE_EVENT_FIELD = 1147332
 COST_EVENT_FIELD = 1147624
 LANGUAGE = 4180186
 VOCABULARY = "SNOMED"
+# Title and text of the placeholder note.
 NOTE_TITLE = "A simple lorem ipsum"
 NOTE_TEXT = (
     "Lorem ipsum dolor sit amet, consectetur adipiscing elit,\n"
@@ -45,6 +46,7 @@ NAME_OBSERVATIONS = (
     ("ssn", 398093005, 2002861900),
 )
 
+# Columns of the concept table.
 CONCEPT_COLUMNS = (
     "concept_id",
     "concept_code",
@@ -82,8 +84,9 @@ def builtin_concepts(spark) -> DataFrame:
 
 
 def to_concepts(conditions: DataFrame, procedures: DataFrame) -> DataFrame:
-    """One concept per code, and the built-in ones.  Both tables are reduced to their codes before they meet."""
-    pairs = [frame.select("code", "description").distinct() for frame in (conditions, procedures)]
+    """One concept per code, and the built-in ones.  :func:`one_per_code` takes distinct pairs first, partly before the
+    shuffle, so one exchange of pairs serves both tables."""
+    pairs = [frame.select("code", "description") for frame in (conditions, procedures)]
     concepts = one_per_code(pairs[0].unionByName(pairs[1]), "code", "description").select(
         surrogate_key("concept_fhir", ["code"]).alias("concept_id"),
         F.col("code").alias("concept_code"),

@@ -1,10 +1,4 @@
-"""The seventeen target tables, built from naming rules, and the Avro form of a schema.
-
-A target table consists of its own id, its own columns, the three columns of every concept family
-(``<stem>_concept_id``, ``<stem>_source_value``, ``<stem>_source_concept_id``) and the bookkeeping columns of
-the loading process.  The type of a column follows from its name.  Column order is that of the rule; to use
-another order, or other tables, read schema files with :func:`read_avro_schemas`.
-"""
+"""The seventeen target tables in the column order of their contract, and the Avro form of a schema."""
 
 from __future__ import annotations
 
@@ -16,82 +10,176 @@ from pyspark.sql import types as T
 
 SOURCE_TABLES = ("patients", "encounters", "organizations", "conditions", "procedures", "providers")
 
-BOOKKEEPING = (
-    "insert_datetime", "update_datetime", "delete_datetime", "change_datetime", "key", "hash", "row_id",
-)
-
-# Own columns of every table besides the id, the concept families and the bookkeeping.
-_OWN = {
-    "concept_fhir": "concept_code concept_name fhir_concept_code fhir_concept_name fhir_vocabulary_reference "
-    "vocabulary_reference",
-    "person": "birth_datetime death_datetime year_of_birth month_of_birth day_of_birth location_id provider_id "
-    "care_site_id person_source_value",
-    "observation": "person_id provider_id visit_occurrence_id visit_detail_id observation_date observation_datetime "
-    "value_as_string value_as_number value_as_datetime value_as_concept_id value_source_value value_source_as_number "
-    "value_source_as_concept_id observation_event_id obs_event_field_concept_id qualifier_concept_id "
-    "qualifier_source_value",
-    "visit_occurrence": "person_id provider_id care_site_id visit_start_date visit_start_datetime visit_end_date "
-    "visit_end_datetime preceding_visit_occurrence_id visit_occurrence_source_value",
-    "visit_detail": "person_id provider_id care_site_id visit_occurrence_id visit_detail_start_date "
-    "visit_detail_start_datetime visit_detail_end_date visit_detail_end_datetime preceding_visit_detail_id "
-    "visit_detail_parent_id",
-    "note": "person_id provider_id care_site_id visit_occurrence_id visit_detail_id note_date note_datetime note_title "
-    "note_text is_pdf_available note_event_id note_event_field_concept_id encoding_concept_id language_concept_id "
-    "note_source_value",
-    "care_site": "care_site_name care_site_short_name care_site_source_value location_id valid_start_date "
-    "valid_end_date",
-    "condition_occurrence": "person_id provider_id visit_occurrence_id visit_detail_id condition_start_date "
-    "condition_start_datetime condition_end_date condition_end_datetime stop_reason",
-    "procedure_occurrence": "person_id provider_id visit_occurrence_id visit_detail_id procedure_date "
-    "procedure_datetime quantity modifier_concept_id modifier_source_value",
-    "provider": "provider_name firstname lastname email npi dea care_site_id auth_type password is_active birth_date "
-    "year_of_birth creation_datetime modified_datetime last_login_datetime valid_start_datetime valid_end_datetime "
-    "invalid_reason provider_source_value",
-    "cost": "person_id cost_event_id cost_event_field_concept_id cost currency_concept_id incurred_date "
-    "incurred_datetime billed_date paid_date payer_plan_period_id revenue_code_concept_id revenue_code_source_value",
-    "location": "address address_1 address_2 city zip county state country latitude longitude location_source_value",
-    "cohort_definition": "cohort_definition_name cohort_definition_description cohort_definition_syntax "
-    "cohort_initiation_datetime cohort_size owner_domain_id owner_entity_id subject_concept_id "
-    "subject_source_concept_id definition_type_concept_id cohort_definition_source_value valid_start_datetime "
-    "valid_end_datetime invalid_reason",
-    "cohort": "cohort_definition_id subject_id cohort_start_datetime cohort_end_datetime invalid_reason",
-    "role": "name right_read_data_nominative right_read_data_pseudo_anonymised right_write_data right_read_users "
-    "right_write_users valid_start_date valid_end_date invalid_reason",
-    "care_site_history": "care_site_id entity_id domain_id role_id relationship_type_concept_id start_date end_date",
-    "fact_relationship": "domain_concept_id_1 fact_id_1 domain_concept_id_2 fact_id_2 relationship_concept_id",
-}
-
-# Stems of the concept families of every table.
-_FAMILIES = {
-    "person": "gender race ethnicity row_status",
-    "observation": "observation observation_type unit row_status",
-    "visit_occurrence": "visit visit_type admitted_from discharge_to row_status",
-    "visit_detail": "visit_detail visit_detail_type admitted_from discharge_to row_status",
-    "note": "note_class note_type row_status",
-    "care_site": "care_site_type place_of_service",
-    "condition_occurrence": "condition condition_type condition_status row_status",
-    "procedure_occurrence": "procedure procedure_type row_status",
-    "provider": "gender specialty",
-    "cost": "cost cost_type drg row_status",
+# The columns of the target tables in the order of their contract, with their types.
+_COLUMNS = {
+    "concept_fhir": """
+        concept_id bigint, concept_code string, concept_name string, fhir_concept_code string,
+        fhir_concept_name string, fhir_vocabulary_reference string, key string, hash bigint,
+        insert_datetime timestamp, update_datetime timestamp, delete_datetime timestamp, change_datetime timestamp,
+        vocabulary_reference string, row_id bigint
+    """,
+    "person": """
+        person_id bigint, delete_datetime timestamp, gender_source_concept_id bigint, hash bigint,
+        insert_datetime timestamp, key string, birth_datetime timestamp, death_datetime timestamp,
+        update_datetime timestamp, change_datetime timestamp, person_source_value string, location_id bigint,
+        provider_id bigint, care_site_id bigint, year_of_birth bigint, month_of_birth bigint, day_of_birth bigint,
+        race_concept_id bigint, race_source_value string, race_source_concept_id bigint, ethnicity_concept_id bigint,
+        ethnicity_source_value string, ethnicity_source_concept_id bigint, gender_concept_id bigint,
+        gender_source_value string, row_status_concept_id bigint, row_status_source_value string,
+        row_status_source_concept_id bigint, row_id bigint
+    """,
+    "observation": """
+        observation_id bigint, observation_datetime timestamp, update_datetime timestamp, value_as_string string,
+        observation_type_concept_id bigint, hash bigint, key string, obs_event_field_concept_id bigint,
+        observation_source_concept_id bigint, visit_detail_id bigint, visit_occurrence_id bigint,
+        insert_datetime timestamp, delete_datetime timestamp, change_datetime timestamp, person_id bigint,
+        provider_id bigint, observation_date date, observation_concept_id bigint, observation_source_value string,
+        observation_type_source_value string, observation_type_source_concept_id bigint, value_as_number double,
+        value_source_as_number double, value_as_concept_id bigint, value_source_as_concept_id bigint,
+        value_as_datetime timestamp, value_source_value string, qualifier_concept_id bigint,
+        qualifier_source_value string, unit_concept_id bigint, unit_source_value string,
+        unit_source_concept_id bigint, observation_event_id bigint, row_status_concept_id bigint,
+        row_status_source_value string, row_status_source_concept_id bigint, row_id bigint
+    """,
+    "visit_occurrence": """
+        visit_occurrence_id bigint, admitted_from_source_value string, delete_datetime timestamp,
+        discharge_to_source_value string, hash bigint, insert_datetime timestamp, key string, person_id bigint,
+        preceding_visit_occurrence_id bigint, update_datetime timestamp, visit_end_datetime timestamp,
+        visit_source_value string, visit_start_datetime timestamp, visit_type_source_value string,
+        admitted_from_source_concept_id bigint, care_site_id bigint, discharge_to_source_concept_id bigint,
+        provider_id bigint, row_status_source_concept_id bigint, visit_source_concept_id bigint,
+        change_datetime timestamp, visit_occurrence_source_value string, visit_start_date date, visit_end_date date,
+        visit_concept_id bigint, visit_type_concept_id bigint, visit_type_source_concept_id bigint,
+        admitted_from_concept_id bigint, discharge_to_concept_id bigint, row_status_concept_id bigint,
+        row_status_source_value string, row_id bigint
+    """,
+    "visit_detail": """
+        visit_detail_id bigint, admitted_from_source_value string, delete_datetime timestamp,
+        discharge_to_source_value string, hash bigint, insert_datetime timestamp, key string, person_id bigint,
+        preceding_visit_detail_id bigint, update_datetime timestamp, visit_detail_end_datetime timestamp,
+        visit_detail_source_value string, visit_detail_start_datetime timestamp,
+        visit_detail_type_source_value string, visit_occurrence_id bigint, visit_detail_parent_id bigint,
+        admitted_from_source_concept_id bigint, care_site_id bigint, discharge_to_source_concept_id bigint,
+        provider_id bigint, row_status_source_concept_id bigint, visit_detail_source_concept_id bigint,
+        change_datetime timestamp, visit_detail_start_date date, visit_detail_end_date date,
+        visit_detail_concept_id bigint, visit_detail_type_concept_id bigint,
+        visit_detail_type_source_concept_id bigint, admitted_from_concept_id bigint, discharge_to_concept_id bigint,
+        row_status_concept_id bigint, row_status_source_value string, row_id bigint
+    """,
+    "note": """
+        note_id bigint, care_site_id bigint, note_class_concept_id bigint, note_class_source_value string,
+        note_datetime timestamp, note_event_field_concept_id bigint, note_title string, note_type_concept_id bigint,
+        note_type_source_value string, person_id bigint, provider_id bigint, visit_detail_id bigint,
+        visit_occurrence_id bigint, note_text string, delete_datetime timestamp, encoding_concept_id bigint,
+        insert_datetime timestamp, is_pdf_available boolean, language_concept_id bigint, note_event_id bigint,
+        update_datetime timestamp, note_class_source_concept_id bigint, row_status_source_concept_id bigint,
+        row_id bigint, key string, hash bigint, change_datetime timestamp, note_source_value string, note_date date,
+        note_type_source_concept_id bigint, row_status_concept_id bigint, row_status_source_value string
+    """,
+    "care_site": """
+        care_site_id bigint, care_site_name string, care_site_short_name string, care_site_source_value string,
+        place_of_service_concept_id bigint, place_of_service_source_value string, location_id bigint,
+        place_of_service_source_concept_id string, key string, hash bigint, insert_datetime timestamp,
+        update_datetime timestamp, delete_datetime timestamp, change_datetime timestamp, valid_start_date date,
+        valid_end_date date, care_site_type_concept_id bigint, care_site_type_source_value string,
+        care_site_type_source_concept_id bigint, row_id bigint
+    """,
+    "condition_occurrence": """
+        condition_occurrence_id bigint, condition_end_datetime timestamp, condition_start_datetime timestamp,
+        person_id bigint, visit_occurrence_id bigint, condition_source_concept_id bigint,
+        condition_status_source_concept_id bigint, condition_type_source_concept_id bigint, key string, hash bigint,
+        insert_datetime timestamp, update_datetime timestamp, delete_datetime timestamp, change_datetime timestamp,
+        visit_detail_id bigint, provider_id bigint, condition_start_date date, condition_end_date date,
+        condition_concept_id bigint, condition_source_value string, condition_type_concept_id bigint,
+        condition_type_source_value string, condition_status_concept_id bigint, condition_status_source_value string,
+        stop_reason string, row_status_concept_id bigint, row_status_source_value string,
+        row_status_source_concept_id bigint, row_id bigint
+    """,
+    "procedure_occurrence": """
+        procedure_occurrence_id bigint, delete_datetime timestamp, hash bigint, insert_datetime timestamp, key string,
+        person_id bigint, procedure_datetime timestamp, provider_id bigint, update_datetime timestamp,
+        visit_detail_id bigint, visit_occurrence_id bigint, procedure_concept_id bigint,
+        procedure_source_concept_id bigint, change_datetime timestamp, procedure_date date,
+        procedure_source_value string, procedure_type_concept_id bigint, procedure_type_source_value string,
+        procedure_type_source_concept_id bigint, modifier_concept_id bigint, modifier_source_value string,
+        quantity bigint, row_status_concept_id bigint, row_status_source_value string,
+        row_status_source_concept_id bigint, row_id bigint
+    """,
+    "provider": """
+        provider_id bigint, auth_type string, care_site_id bigint, creation_datetime timestamp, birth_date timestamp,
+        dea string, delete_datetime timestamp, email string, firstname string, hash bigint, insert_datetime timestamp,
+        invalid_reason string, is_active boolean, key string, last_login_datetime timestamp, lastname string,
+        modified_datetime timestamp, npi string, password string, provider_name string, provider_source_value string,
+        update_datetime timestamp, valid_end_datetime timestamp, valid_start_datetime timestamp, year_of_birth bigint,
+        gender_source_concept_id bigint, change_datetime timestamp, gender_concept_id bigint,
+        gender_source_value string, specialty_concept_id bigint, specialty_source_value string,
+        specialty_source_concept_id bigint, row_id bigint
+    """,
+    "cost": """
+        cost_id bigint, incurred_datetime date, person_id bigint, drg_source_concept_id bigint,
+        row_status_source_concept_id bigint, key string, hash bigint, insert_datetime timestamp,
+        update_datetime timestamp, delete_datetime timestamp, change_datetime timestamp, cost_event_id bigint,
+        cost_event_field_concept_id bigint, cost_concept_id bigint, cost_source_value string,
+        cost_source_concept_id bigint, cost_type_concept_id bigint, cost_type_source_value string,
+        cost_type_source_concept_id bigint, currency_concept_id bigint, cost double, incurred_date date,
+        billed_date date, paid_date date, revenue_code_concept_id bigint, drg_concept_id bigint,
+        drg_source_value string, revenue_code_source_value string, payer_plan_period_id bigint,
+        row_status_concept_id bigint, row_status_source_value string, row_id bigint
+    """,
+    "location": """
+        location_id bigint, address string, address_1 string, address_2 string, city string, country string,
+        delete_datetime timestamp, insert_datetime timestamp, latitude double, longitude double, state string,
+        update_datetime timestamp, key string, hash bigint, change_datetime timestamp, zip string, county string,
+        location_source_value string, row_id bigint
+    """,
+    "cohort_definition": """
+        cohort_definition_id bigint, owner_entity_id bigint, cohort_definition_description string,
+        cohort_definition_name string, cohort_definition_syntax string, cohort_initiation_datetime timestamp,
+        cohort_size bigint, owner_domain_id string, invalid_reason string, subject_concept_id bigint,
+        valid_end_datetime timestamp, valid_start_datetime timestamp, key string, hash bigint,
+        insert_datetime timestamp, update_datetime timestamp, delete_datetime timestamp, change_datetime timestamp,
+        cohort_definition_source_value string, definition_type_concept_id bigint, subject_source_concept_id bigint,
+        row_id bigint
+    """,
+    "cohort": """
+        cohort_id bigint, delete_datetime timestamp, cohort_end_datetime timestamp, invalid_reason string,
+        cohort_start_datetime timestamp, key string, hash bigint, insert_datetime timestamp,
+        update_datetime timestamp, change_datetime timestamp, cohort_definition_id bigint, subject_id bigint,
+        row_id bigint
+    """,
+    "role": """
+        role_id bigint, delete_datetime timestamp, hash bigint, insert_datetime timestamp, key string, name string,
+        update_datetime timestamp, change_datetime timestamp, right_read_data_nominative boolean,
+        right_read_data_pseudo_anonymised boolean, right_write_data boolean, right_read_users boolean,
+        right_write_users boolean, valid_start_date timestamp, valid_end_date timestamp, invalid_reason string
+    """,
+    "care_site_history": """
+        care_site_history_id bigint, care_site_id bigint, delete_datetime timestamp, end_date date, hash bigint,
+        insert_datetime timestamp, key string, start_date date, update_datetime timestamp, entity_id bigint,
+        change_datetime timestamp, role_id bigint, relationship_type_concept_id bigint, domain_id string,
+        row_id bigint
+    """,
+    "fact_relationship": """
+        hash bigint, delete_datetime timestamp, insert_datetime timestamp, key string, update_datetime timestamp,
+        fact_id_1 bigint, fact_id_2 bigint, domain_concept_id_1 bigint, domain_concept_id_2 bigint,
+        change_datetime timestamp, fact_relationship_id bigint, relationship_concept_id bigint, row_id bigint
+    """,
 }
 
-# Columns whose type the naming rule does not give.
-_LONG = {
-    "hash", "year_of_birth", "month_of_birth", "day_of_birth", "cohort_size", "quantity",
-    "fact_id_1", "fact_id_2", "domain_concept_id_1", "domain_concept_id_2",
-}
-_DOUBLE = {"cost", "latitude", "longitude", "value_as_number", "value_source_as_number"}
-_EXCEPTIONS: dict[tuple[str, str], T.DataType] = {
-    ("care_site", "place_of_service_source_concept_id"): T.StringType(),
-    ("care_site_history", "domain_id"): T.StringType(),
-    ("cohort_definition", "owner_domain_id"): T.StringType(),
-    ("cost", "incurred_datetime"): T.DateType(),
-    ("provider", "birth_date"): T.TimestampType(),
-    ("role", "valid_start_date"): T.TimestampType(),
-    ("role", "valid_end_date"): T.TimestampType(),
+_TYPES = {
+    "bigint": T.LongType(),
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+_FIELDS = {
+    table: {name: _TYPES[kind] for name, kind in (column.split() for column in columns.split(","))}
+    for table, columns in _COLUMNS.items()
 }
 
-TARGET_TABLES = tuple(_OWN)
+TARGET_TABLES = tuple(_FIELDS)
 
 
 def primary_key(table: str) -> str:
@@ -99,30 +187,14 @@ def primary_key(table: str) -> str:
 
 
 def column_type(table: str, column: str) -> T.DataType:
-    """The type of a target column, from its name."""
-    if (table, column) in _EXCEPTIONS:
-        return _EXCEPTIONS[table, column]
-    if column in _DOUBLE:
-        return T.DoubleType()
-    if column in _LONG or column.endswith("_id"):
-        return T.LongType()
-    if column.endswith("_datetime"):
-        return T.TimestampType()
-    if column.endswith("_date"):
-        return T.DateType()
-    if column.startswith(("is_", "right_")):
-        return T.BooleanType()
-    return T.StringType()
+    return _FIELDS[table][column]
 
 
 def target_schema(table: str) -> T.StructType:
-    if table not in _OWN:
+    """The columns of a target table in the order of its contract; all may be null."""
+    if table not in _FIELDS:
         raise KeyError(f"unknown target table {table!r}")
-    names = [primary_key(table), *_OWN[table].split()]
-    for stem in _FAMILIES.get(table, "").split():
-        names += [f"{stem}_concept_id", f"{stem}_source_value", f"{stem}_source_concept_id"]
-    names += [name for name in BOOKKEEPING if (table, name) != ("role", "row_id")]
-    return T.StructType([T.StructField(name, column_type(table, name)) for name in names])
+    return T.StructType([T.StructField(name, kind) for name, kind in _FIELDS[table].items()])
 
 
 def target_schemas() -> dict[str, T.StructType]:

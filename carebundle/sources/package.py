@@ -10,6 +10,7 @@ import json
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, fields, replace
 from typing import Any, NamedTuple
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,7 @@ class Resource:
     format: str | None = None
     mediatype: str | None = None
     encoding: str | None = None
+    dialect: Mapping[str, str] | None = None
     bytes: int | None = None
     hash: str | None = None
     sources: tuple[Source, ...] = ()
@@ -107,7 +109,7 @@ def _build(record: type, values: Mapping[str, Any]):
     known = {}
     for name in (item.name for item in fields(record)):
         value = values.get(name)
-        if value is None:
+        if value is None or name == "dialect" and not value:
             continue
         if name in _NESTED:
             value = tuple(_build(_NESTED[name], item) for item in value)
@@ -134,8 +136,9 @@ def write_package(
 ) -> Descriptor:
     """Write a bundle as a data package and return the descriptor with the files written.
 
-    ``options`` holds writer options per format, such as ``{"csv": {"header": True}}``; pass the same ones to
-    :func:`read_package`.  With ``single_files`` a table that was written as one file is renamed to the path of its
+    ``options`` holds writer options per format, such as ``{"csv": {"header": True}}``; they are kept in the descriptor as
+    the ``dialect`` of each resource, and :func:`read_package` applies them.  A folder that holds a package already is an
+    error.  With ``single_files`` a table that was written as one file is renamed to the path of its
     resource; a table of several files stays a folder and is never squeezed through one task.  Coalesce the
     bundle first to get single files for small tables.
     """
@@ -144,11 +147,13 @@ def write_package(
         raise ValueError("two resources have the same name")
     for resource in descriptor.resources:
         if len(resource.path) != 1:
-            raise ValueError(f"expected one and only one path for resource {resource.name}")
+            raise ValueError(f"resource {resource.name}: give exactly one path to write to")
         if not resource.format:
-            raise ValueError(f"expected a format to be set for resource {resource.name}")
+            raise ValueError(f"resource {resource.name} has no format")
     root = path.rstrip("/")
     spark = SparkSession.active()
+    if storage.exists(spark, f"{root}/{DESCRIPTOR}"):
+        raise FileExistsError(f"{root} already holds a package")
 
     def write(resource: Resource) -> Resource:
         frame = bundle[resource.name]
@@ -169,28 +174,39 @@ def _write_resource(
     target = f"{root}/{relative}"
     if single_files and storage.exists(spark, target):
         raise FileExistsError(f"{target} already exists")
-    folder, mode = (f"{target}_temp", "overwrite") if single_files else (target, "errorifexists")
-    frame.write.format(resource.format).options(**options).mode(mode).save(folder)
-    files = storage.data_files(spark, folder)
-    size = sum(file.bytes for file in files)
-    if single_files and len(files) == 1:
-        storage.rename(spark, f"{folder}/{files[0].path}", target)
-        storage.delete_folder(spark, folder)
-        return replace(resource, path=(relative,), bytes=size)
-    if single_files:
-        storage.rename(spark, folder, target)
-    return replace(resource, path=tuple(f"{relative}/{file.path}" for file in files), bytes=size)
+    if options:
+        resource = replace(resource, dialect={name: _option_text(value) for name, value in options.items()})
+    folder = f"{target}-{uuid4().hex}" if single_files else target
+    try:
+        frame.write.format(resource.format).options(**options).mode("errorifexists").save(folder)
+        files = storage.data_files(spark, folder)
+        size = sum(file.bytes for file in files)
+        if single_files and len(files) == 1:
+            storage.rename(spark, f"{folder}/{files[0].path}", target)
+            return replace(resource, path=(relative,), bytes=size)
+        if single_files:
+            storage.rename(spark, folder, target)
+        return replace(resource, path=tuple(f"{relative}/{file.path}" for file in files), bytes=size)
+    finally:
+        if single_files:
+            storage.delete_folder(spark, folder)
+
+
+def _option_text(value: Any) -> str:
+    return str(value).lower() if isinstance(value, bool) else str(value)
 
 
 def read_package(spark: SparkSession, path: str, options: Options | None = None) -> PackagedBundle:
-    """Read a data package lazily; the sidecar schema of a resource, if any, is the schema of its reader."""
+    """Read a data package lazily; the sidecar schema of a resource, if any, is the schema of its reader, and its dialect
+    holds reader options, which ``options`` overrides."""
     root = path.rstrip("/")
     descriptor = Descriptor.from_json(storage.read_text(spark, f"{root}/{DESCRIPTOR}"))
     frames = {}
     for resource in descriptor.resources:
         if not resource.format:
-            raise ValueError(f"expected a format to be set for resource {resource.name}")
-        reader = spark.read.format(resource.format).options(**(options or {}).get(resource.format, {}))
+            raise ValueError(f"resource {resource.name} has no format")
+        own = {**(resource.dialect or {}), **(options or {}).get(resource.format, {})}
+        reader = spark.read.format(resource.format).options(**own)
         schema = None
         if resource.schema:
             schema = from_avro_json(storage.read_text(spark, f"{root}/{resource.schema}"))

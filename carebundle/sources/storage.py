@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple, TypeVar
@@ -22,15 +21,15 @@ class FileInfo(NamedTuple):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local master without it."""
+    """The folder named by ``spark.checkpoint.dir``, else the session's checkpoint folder.  A local session without either
+    gets one below the folder of its warehouse."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="carebundle-"))
-    return context.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-shared"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -73,16 +72,13 @@ def write_text(spark: SparkSession, location: str, text: str) -> None:
 
 
 def data_files(spark: SparkSession, folder: str) -> list[FileInfo]:
-    """The data files below a folder, relative to it, without markers and hidden files."""
+    """The data files below a folder, relative to it, without markers and hidden files.  Spark lists them, without reading
+    any, and returns all names at once."""
     path, files = _path(spark, folder)
     root = files.getFileStatus(path).getPath().toString()
-    found, entries = [], files.listFiles(path, True)
-    while entries.hasNext():
-        entry = entries.next()
-        relative = entry.getPath().toString()[len(root) + 1 :]
-        if not any(part.startswith(("_", ".")) for part in relative.split("/")):
-            found.append(FileInfo(relative, entry.getLen()))
-    return sorted(found)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    rows = listed.select("path", "length").collect()
+    return sorted(FileInfo(row["path"][len(root) + 1 :], row["length"]) for row in rows)
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
@@ -91,6 +87,7 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
     target_path, _ = _path(spark, target)
     if files.exists(target_path):
         raise FileExistsError(f"{target} already exists")
+    files.mkdirs(target_path.getParent())
     if not files.rename(source_path, target_path):
         raise OSError(f"cannot rename {source} to {target}")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +25,19 @@ class SupplyCache:
         return storage.exists(self.spark, f"{path}/_SUCCESS")
 
     def _write(self, frame: DataFrame, path: str) -> None:
-        frame.write.format(self.data_format).mode("overwrite").save(path)
-        if not self._present(path):
-            storage.write_text(self.spark, f"{path}/_SUCCESS", "")
+        """Write aside, then rename: of two sessions that miss at once, the later one drops its own copy."""
+        aside = f"{path}-{uuid4().hex}"
+        frame.write.format(self.data_format).mode("errorifexists").save(aside)
+        if not self._present(aside):
+            storage.write_text(self.spark, f"{aside}/_SUCCESS", "")
+        try:
+            storage.rename(self.spark, aside, path)
+        except FileExistsError:
+            if self._present(path):
+                storage.delete_folder(self.spark, aside)
+                return
+            storage.delete_folder(self.spark, path)  # left by a write that was cut off
+            storage.rename(self.spark, aside, path)
 
     def _read(self, path: str) -> DataFrame:
         return self.spark.read.format(self.data_format).load(path)

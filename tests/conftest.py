@@ -12,12 +12,13 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = SparkSession.builder.master("local[8]").appName("tests")
     local = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     }
     session = configure(builder, shuffle_partitions=8, **local).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -90,22 +90,45 @@ def hospital(empty, frame):
     return access.with_provider_roles(bundle, grants)
 
 
-@pytest.mark.parametrize("limit", [0, access.BROADCAST_ROWS])
-def test_readable_persons(hospital, monkeypatch, limit):
-    monkeypatch.setattr(access.broadcast_if_small, "__defaults__", (limit,))
-
-    def read(user):
-        return sorted(row.person_id for row in access.readable_persons(hospital, user).collect())
-
-    assert read("ann") == [0, 1, 2, 3, 7, 8, 9]
-    assert read("bob") == [0, 1, 2, 3, 4, 6, 7, 8, 9]
-    assert read("cat") == [] and read("nobody") == []
-
-
-def test_broadcast_only_when_small(spark):
-    small, large = (access.broadcast_if_small(spark.range(n), rows=10) for n in (10, 11))
-    hint = lambda frame: "broadcast" in frame._jdf.queryExecution().logical().toString().lower()
-    assert hint(small) and not hint(large)
+def _read(bundle, user, at=None):
+    return sorted(row.person_id for row in access.readable_persons(bundle, user, at).collect())
+
+
+def test_readable_persons(hospital):
+    assert _read(hospital, "ann") == [0, 1, 2, 3, 7, 8, 9]
+    assert _read(hospital, "bob") == [0, 1, 2, 3, 4, 6, 7, 8, 9]
+    assert _read(hospital, "cat") == [] and _read(hospital, "nobody") == []
+
+
+def test_revoked_access_reads_nothing(hospital):
+    past, day = F.lit("2000-01-01 00:00:00").cast("timestamp"), F.lit("2000-01-01").cast("date")
+    for table, column, value in (
+        ("provider", "is_active", F.lit(False)),
+        ("provider", "valid_end_datetime", past),
+        ("provider", "invalid_reason", F.lit("D")),
+        ("care_site_history", "end_date", day),
+        ("care_site_history", "start_date", F.lit("2999-01-01").cast("date")),
+        ("role", "valid_end_date", past),
+        ("role", "invalid_reason", F.lit("D")),
+        ("cohort_definition", "valid_end_datetime", past),
+        ("cohort_definition", "owner_domain_id", F.lit("Hospital")),
+        ("cohort", "cohort_end_datetime", past),
+        ("cohort", "invalid_reason", F.lit("D")),
+    ):
+        revoked = hospital.replace(**{table: hospital[table].withColumn(column, value)})
+        assert _read(revoked, "ann") == [], (table, column)
+
+
+def test_access_at_a_time(hospital):
+    ended = hospital["care_site_history"].withColumn("end_date", F.lit("2000-06-30").cast("date"))
+    bundle = hospital.replace(care_site_history=ended)
+    at = lambda text: F.lit(text).cast("timestamp")
+    assert _read(bundle, "ann", at("2000-06-30 23:00:00")) and not _read(bundle, "ann", at("2000-07-01 00:00:00"))
+
+
+def test_a_person_given_twice_counts_once(empty, frame):
+    persons = frame([(1,), (1,), (2,)], "p bigint")
+    assert access.with_cohorts(empty, [CohortSpec("twice", 3, persons)])["cohort"].count() == 2
 
 
 def test_grants_from_a_table(hospital):

@@ -49,7 +49,16 @@ def test_nothing_to_audit(frame):
 def test_audits_of_a_converted_bundle(source):
     target = access.with_root_provider(convert(source))
     assert _rows(audit.key_collisions(target)) == set()
-    assert _rows(audit.orphan_keys(target)) == {("note", "visit_detail_id", 2)}
+    assert _rows(audit.orphan_keys(target)) == {
+        ("note", "visit_detail_id", 2), ("note", "note_event_id", 2), ("cost", "cost_event_id", 2)
+    }
+
+
+def test_event_references_depend_on_their_field_concept(frame):
+    columns = "cost_id bigint, cost_event_id bigint, cost_event_field_concept_id bigint"
+    costs = frame([(1, 5, 1147624), (2, 6, 1147624), (3, 6, 99), (4, 6, None)], columns)
+    bundle = Bundle({"cost": costs, "visit_detail": frame([(5,)], "visit_detail_id bigint")})
+    assert _rows(audit.orphan_keys(bundle)) == {("cost", "cost_event_id", 1)}
 
 
 def test_references_are_counted_before_the_join(spark):

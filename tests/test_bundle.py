@@ -86,11 +86,11 @@ def test_validation_errors_in_order(frame):
     table = frame([(1, "x", 2, 3)], "a int, B string, odd int, c int")
     schema = T.StructType().add("a", "long").add("b", "string").add("c", "integer").add("d", "date")
     assert validate_frame(table, schema).errors == (
-        "missing fields: b, d",
-        "extra fields: B, odd are not in the schema",
-        'type mismatch for column a: actual "integer", expected "long"',
+        "lacks the columns b, d",
+        "the schema does not know the columns B, odd",
+        'column a is "integer" where the schema wants "long"',
     )
-    assert validate_frame(table, schema, allow_missing_fields=True).errors[0].startswith("extra")
+    assert validate_frame(table, schema, allow_missing_fields=True).errors[0].startswith("the schema")
 
 
 def test_nullability_is_not_compared(spark):
@@ -102,8 +102,8 @@ def test_bundle_validation(bundle):
     assert bundle.validate(schemas).valid and bundle.checkpoint(schemas) is bundle
     schemas["b"] = T.StructType().add("id", "integer")
     result = bundle.validate(schemas)
-    assert result.errors == ('table b: type mismatch for column id: actual "long", expected "integer"',)
-    with pytest.raises(ValueError, match="Validation errors:\ntable b: "):
+    assert result.errors == ('table b: column id is "long" where the schema wants "integer"',)
+    with pytest.raises(ValueError, match="do not fit their schemas:\ntable b: "):
         bundle.checkpoint(schemas)
 
 

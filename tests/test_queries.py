@@ -11,6 +11,8 @@ from tests.conftest import SMALL
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as driver  # noqa: E402
+from carebundle.checks.oracles import oracles  # noqa: E402
+from carebundle.checks.queries import QUERIES  # noqa: E402
 
 TYPES = {
     "bigint": "BIGINT",
@@ -32,17 +34,18 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(oracles())
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() == 1500
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    result = driver.queries()[name](spark, SMALL)
-    cursor = duck.execute(driver.oracle_sql()[name])
+    result = QUERIES[name](spark, SMALL)
+    cursor = duck.execute(oracles()[name])
     names = [column[0] for column in cursor.description]
     types = {column[0]: str(column[1]) for column in cursor.description}
     assert sorted(result.columns) == sorted(names)

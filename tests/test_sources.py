@@ -145,7 +145,8 @@ def test_package_single_files(spark, bundle, tmp_path):
     one, many = written.resources
     assert one.path == ("df1.csv",) and (tmp_path / "out" / "df1.csv").is_file()
     assert len(many.path) > 1 and (tmp_path / "out" / "df2.csv").is_dir()
-    assert not list((tmp_path / "out").glob("*_temp"))
+    visible = {path.name for path in (tmp_path / "out").iterdir() if not path.name.startswith(".")}
+    assert visible == {"df1.csv", "df2.csv", "df1.schema.json", "df2.schema.json", package.DESCRIPTOR}
     read = package.read_package(spark, path).bundle
     assert {name: _rows(frame) for name, frame in read.items()} == {n: _rows(f) for n, f in mixed.items()}
 
@@ -165,14 +166,33 @@ def test_package_csv_options_keep_empty_text(spark, frame, tmp_path):
     bundle = Bundle({"t": frame([("", "a"), (None, "b")], "x string, y string")})
     options = {"csv": {"header": True, "nullValue": "\\N"}}
     package.write_package(package.describe(bundle, "csv"), bundle, str(tmp_path / "p"), options=options)
-    assert _rows(package.read_package(spark, str(tmp_path / "p"), options).bundle["t"]) == _rows(bundle["t"])
+    for given in (None, options):
+        assert _rows(package.read_package(spark, str(tmp_path / "p"), given).bundle["t"]) == _rows(bundle["t"])
+    other = {"csv": {"header": False}}
+    assert package.read_package(spark, str(tmp_path / "p"), other).bundle["t"].count() > 2
+
+
+def test_single_files_leave_foreign_folders_alone(bundle, tmp_path):
+    foreign = tmp_path / "out" / "df1.parquet_temp"
+    foreign.mkdir(parents=True)
+    (foreign / "mine.txt").write_text("keep")
+    package.write_package(package.describe(bundle), bundle.coalesce(1), str(tmp_path / "out"), single_files=True)
+    assert (foreign / "mine.txt").read_text() == "keep"
+
+
+def test_files_of_partitioned_folders_are_listed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(6).selectExpr("id % 2 as k", "id").write.partitionBy("k").parquet(path)
+    files = storage.data_files(spark, path)
+    assert {file.path.split("/")[0] for file in files} == {"k=0", "k=1"}
+    assert all(file.bytes == (tmp_path / "t" / file.path).stat().st_size for file in files)
 
 
 def test_package_does_not_overwrite(bundle, tmp_path):
     for single in (False, True):
         path = str(tmp_path / f"out{single}")
         package.write_package(package.describe(bundle), bundle.coalesce(1), path, single_files=single)
-        with pytest.raises(Exception, match="(?i)already.exists"):
+        with pytest.raises(Exception, match="(?i)already"):
             package.write_package(package.describe(bundle), bundle.coalesce(1), path, single_files=single)
 
 
@@ -188,15 +208,15 @@ def test_package_checks(spark, bundle, tmp_path):
     path = str(tmp_path / "out")
     for resources, message in (
         ((good,), "df2"),
-        ((good, Resource("df2", ("b", "c"), format="csv")), "one and only one path for resource df2"),
-        ((good, Resource("df2", ("b",))), "format to be set for resource df2"),
+        ((good, Resource("df2", ("b", "c"), format="csv")), "df2: give exactly one path"),
+        ((good, Resource("df2", ("b",))), "df2 has no format"),
         ((good, good, Resource("df2", ("b",), format="csv")), "same name"),
     ):
         with pytest.raises(ValueError, match=message):
             package.write_package(Descriptor(resources), bundle, path)
     (tmp_path / "p").mkdir()
     (tmp_path / "p" / package.DESCRIPTOR).write_text('{"resources": [{"name": "x", "path": "x.csv"}]}')
-    with pytest.raises(ValueError, match="format to be set for resource x"):
+    with pytest.raises(ValueError, match="x has no format"):
         package.read_package(spark, str(tmp_path / "p"))
 
 
@@ -241,6 +261,17 @@ def test_supply_cache_repeats_a_write_that_was_cut_off(spark, bundle, tmp_path):
     assert read["df1"].count() == 2 and read["df2"].count() == 1
 
 
+def test_two_sessions_that_miss_at_once(spark, tmp_path):
+    cache = SupplyCache(spark, str(tmp_path))
+
+    def supply():
+        SupplyCache(spark, str(tmp_path)).table("numbers", lambda: spark.range(3))
+        return spark.range(5)
+
+    assert cache.table("numbers", supply).count() == 3
+    assert [path.name for path in tmp_path.iterdir()] == ["numbers"]
+
+
 def test_supply_cache_wants_all_tables(spark, bundle, tmp_path):
     with pytest.raises(ValueError, match="df3"):
         SupplyCache(spark, str(tmp_path)).bundle("b", ["df1", "df2", "df3"], lambda: bundle)
@@ -263,8 +294,8 @@ def test_shared_folder_is_the_named_one():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.shared_folder(session)
     session.sparkContext.master = "local[2]"
-    storage.shared_folder(session)
-    session.sparkContext.setCheckpointDir.assert_called_once()
+    session.conf.get.side_effect = lambda key, *_: "file:/w/" if key == "spark.sql.warehouse.dir" else None
+    assert storage.shared_folder(session) == "file:/w-shared"
 
 
 def test_text_files(spark, tmp_path):
