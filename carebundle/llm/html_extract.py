@@ -2,9 +2,10 @@
 
 A page is cut into blocks at block-level elements.  The first pass classifies a block by its link density, stop-word
 density and length, and by the elements around it: those that never hold main text (menus, forms, scripts, ...) decide
-against it.  The second pass gives the undecided blocks, which are short or poor in stop words, the label of the
-nearest decided neighbours.  A page with an article (``article``, ``main``, a class such as ``content``) is judged within it: blocks outside are out,
-undecided blocks look for neighbours inside, and without any decided neighbour they belong to the text.
+against it and are no neighbours of others.  The second pass gives the undecided blocks, which are short or poor in stop
+words, the label of the nearest decided neighbours.  A page with an article (``article``, ``main``, a class such as ``content``) is judged within it: blocks outside are out,
+and undecided blocks look for neighbours inside.  An article or page without any good block consists of short or unusual
+text: there all blocks but links belong to the text.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\bhidden\b""")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"\w+")
-GOOD, BAD, OPEN = "good", "bad", "open"
+GOOD, BAD, OPEN, POOR, LINKS = "good", "bad", "open", "poor", "links"
 
 
 @dataclass(frozen=True)
@@ -205,12 +206,11 @@ def blocks_of(html: str) -> list[Block]:
     return found
 
 
-def _first_pass(block: Block, has_article: bool, rules: Rules) -> str:
+def _first_pass(block: Block, rules: Rules) -> str:
+    """The label of a block by itself; POOR is long without stop words, LINKS is mostly links."""
     length = len(block.text)
-    if block.boilerplate or has_article and not block.article:
-        return BAD
     if block.link_chars > rules.link_density * length and not block.heading:
-        return BAD
+        return LINKS
     words = _WORD.findall(block.text.lower())
     density = sum(word in _STOP for word in words) / len(words) if words else 0.0
     if block.article:
@@ -219,48 +219,52 @@ def _first_pass(block: Block, has_article: bool, rules: Rules) -> str:
         return OPEN
     if density >= rules.many_stop_words:
         return GOOD if length >= rules.long_chars else OPEN
-    return OPEN if density >= rules.few_stop_words else BAD
+    return OPEN if density >= rules.few_stop_words else POOR
 
 
-def _second_pass(blocks: list[Block], has_article: bool) -> None:
-    """Undecided blocks take the label of the nearest decided block of their article or page; before the nearest two
-    disagree at equal distance, a heading follows the block behind it and any other block is out."""
+def _second_pass(blocks: list[Block]) -> None:
+    """Undecided blocks of one article or page take the label of the nearest decided block.  Between two that disagree at
+    equal distance a heading follows the block behind it, and any other block belongs to an article and not to a page."""
+    decided = [block.label for block in blocks]
+    if GOOD not in decided:
+        for block in blocks:
+            block.label = BAD if block.label == LINKS else GOOD
+        return
     count = len(blocks)
     previous: list[int | None] = [None] * count
     following: list[int | None] = [None] * count
-    decided = [block.label for block in blocks]
     for order, nearest in ((range(count), previous), (range(count - 1, -1, -1), following)):
-        last: dict[int, int] = {}
+        last = None
         for i in order:
-            place = blocks[i].article
-            nearest[i] = last.get(place)
+            nearest[i] = last
             if decided[i] != OPEN:
-                last[place] = i
+                last = i
     for i, block in enumerate(blocks):
         if decided[i] != OPEN:
             continue
         sides = [(abs(i - j), decided[j]) for j in (previous[i], following[i]) if j is not None]
-        if not sides:
-            block.label = GOOD if has_article or len(block.text) else BAD
-            continue
         least = min(distance for distance, _ in sides)
-        labels = {label for distance, label in sides if distance == least}
-        if len(labels) == 1:
-            block.label = labels.pop()
-        elif block.heading:
-            block.label = decided[following[i]]
+        near = {label == GOOD for distance, label in sides if distance == least}
+        if len(near) == 1:
+            good = near.pop()
         else:
-            block.label = GOOD if block.article else BAD
+            good = decided[following[i]] == GOOD if block.heading else block.article > 0
+        block.label = GOOD if good else BAD
 
 
 def main_text(html: str, rules: Rules = Rules()) -> str:  # noqa: B008
     """The text of the good blocks in page order, joined by one space."""
     blocks = blocks_of(html)
-    has_article = any(block.article and not block.boilerplate for block in blocks)
-    for block in blocks:
-        block.label = _first_pass(block, has_article, rules)
-    _second_pass(blocks, has_article)
-    return " ".join(block.text for block in blocks if block.label == GOOD)
+    candidates = [block for block in blocks if not block.boilerplate]
+    if any(block.article for block in candidates):
+        candidates = [block for block in candidates if block.article]
+    places: dict[int, list[Block]] = {}
+    for block in candidates:
+        block.label = _first_pass(block, rules)
+        places.setdefault(block.article, []).append(block)
+    for place in places.values():
+        _second_pass(place)
+    return " ".join(block.text for block in candidates if block.label == GOOD)
 
 
 def extract(
