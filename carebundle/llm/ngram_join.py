@@ -73,37 +73,62 @@ def _nodes(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([int(mixed(values, 3).sum(dtype=np.uint64)) ^ len(values) for values in sets], np.uint64).view(np.int64)
 
 
-def sketch(documents: DataFrame, settings: Settings, id_column: str, text_column: str) -> DataFrame:
-    """id, text_hash, node (the set's signature), n (its size), head (its first tokens by hash), and the prefixes under the two
-    further orders, shortened to 32 bits."""
+def signatures(documents: DataFrame, settings: Settings, id_column: str, text_column: str) -> DataFrame:
+    """One row per row: id, text_hash, node (the set's signature), n (its size)."""
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, sets in _sets(batch.column(2), settings.width):
+                own = [batch.column(k).slice(low, high - low) for k in (0, 1)]
+                sizes = pa.array([len(values) for values in sets], pa.int32())
+                yield pa.RecordBatch.from_arrays([*own, pa.array(_nodes(sets)), sizes], ["id", "text_hash", "node", "n"])
+
+    text = quoted(text_column)
+    rows = documents.select(quoted(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    kind = documents.schema[id_column].dataType.simpleString()
+    return rows.mapInArrow(signed, f"id {kind}, text_hash bigint, node bigint, n int")
+
+
+def sketches(documents: DataFrame, settings: Settings, text_column: str) -> DataFrame:
+    """One row per set: node, n, head (its first tokens by hash), and the prefixes under the two further orders, shortened
+    to 32 bits.  A task passes a set on once however many copies it reads."""
     percent = settings.percent
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for low, high, sets in _sets(batch.column(2), settings.width):
-                heads = [values[: _head(len(values), percent)] for values in sets]
+            for _, _, sets in _sets(batch.column(0), settings.width):
+                nodes, own = _first_seen(sets, seen)
                 orders = []
                 for seed in (21, 22):
-                    keys = [np.sort(mixed(values, seed))[: _prefix(len(values), percent) if len(values) else 0] for values in sets]
+                    keys = [np.sort(mixed(values, seed))[: _prefix(len(values), percent)] for values in own]
                     orders.append([(key >> np.uint64(33)).astype(np.int32) for key in keys])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(low, high - low),
-                        batch.column(1).slice(low, high - low),
-                        pa.array(_nodes(sets)),
-                        pa.array([len(values) for values in sets], pa.int32()),
-                        _list_array([values.view(np.int64) for values in heads], pa.int64()),
+                        nodes,
+                        pa.array([len(values) for values in own], pa.int32()),
+                        _list_array([values[: _head(len(values), percent)].view(np.int64) for values in own], pa.int64()),
                         *(_list_array(order, pa.int32()) for order in orders),
                     ],
-                    ["id", "text_hash", "node", "n", "head", "second", "third"],
+                    ["node", "n", "head", "second", "third"],
                 )
 
-    text = quoted(text_column)
-    rows = documents.select(quoted(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    kind = documents.schema[id_column].dataType.simpleString()
-    return rows.mapInArrow(
-        sketched, f"id {kind}, text_hash bigint, node bigint, n int, head array<bigint>, second array<int>, third array<int>"
+    found = documents.select(quoted(text_column).alias("text")).mapInArrow(
+        sketched, "node bigint, n int, head array<bigint>, second array<int>, third array<int>"
     )
+    return found.dropDuplicates(["node"])
+
+
+def _first_seen(sets: list[np.ndarray], seen: set[int], wanted: np.ndarray | None = None) -> tuple[pa.Array, list[np.ndarray]]:
+    """The sets that have tokens, may be wanted and were not seen before, with their nodes."""
+    nodes = _nodes(sets)
+    ask = np.ones(len(sets), bool) if wanted is None else _held(wanted, nodes)
+    keep = []
+    for k, node in enumerate(nodes.tolist()):
+        if ask[k] and len(sets[k]) and node not in seen:
+            seen.add(node)
+            keep.append(k)
+    return pa.array(nodes[keep], pa.int64()), [sets[k] for k in keep]
 
 
 def _bitmap(frame: DataFrame, column: str) -> np.ndarray:
@@ -125,17 +150,17 @@ def _held(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def whole_sets(documents: DataFrame, nodes: DataFrame, settings: Settings, text_column: str) -> DataFrame:
-    """(node, tokens) of some nodes, once each, read from the texts again."""
+    """(node, tokens) of some nodes, once each, read from the texts again.  A task passes a set on once however many
+    copies it reads."""
     held = documents.sparkSession.sparkContext.broadcast(_bitmap(nodes, "node"))
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for _, _, sets in _sets(batch.column(0), settings.width):
-                own = _nodes(sets)
-                keep = np.flatnonzero(_held(held.value, own))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[keep]), _list_array([sets[k].view(np.int64) for k in keep], pa.int64())], ["node", "tokens"]
-                )
+                own, tokens = _first_seen(sets, seen, held.value)
+                lists = _list_array([values.view(np.int64) for values in tokens], pa.int64())
+                yield pa.RecordBatch.from_arrays([own, lists], ["node", "tokens"])
 
     found = documents.select(quoted(text_column).alias("text")).mapInArrow(wanted, "node bigint, tokens array<bigint>")
     return stored(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "whole-sets")
@@ -183,7 +208,7 @@ def _placed(lists: DataFrame, column: str, common: np.ndarray, settings: Setting
 
 
 def prefixes(documents: DataFrame, nodes: DataFrame, settings: Settings, text_column: str) -> DataFrame:
-    """(node, n, rank, token): the prefixes under the first order, stored.
+    """(node, n, rank, token): the prefixes under the first order.
 
     The order is the same for all sets, whatever was counted: first the tokens that a bitmap of common ones does not hold,
     then those that it holds, by hash.  Common are tokens of many heads, and tokens of many whole sets among the sets
@@ -195,12 +220,11 @@ def prefixes(documents: DataFrame, nodes: DataFrame, settings: Settings, text_co
     if not dense.isEmpty():
         more = _common_tokens(whole_sets(documents, dense, settings, text_column), "tokens", settings)
         first |= _bitmap(more, "token")
-    placed = stored(_placed(nodes, "head", first, settings), "prefixes")
-    dense = placed.where("rank < 0").select("node", "n")
-    placed = placed.where("rank >= 0")
+    placed = _placed(nodes, "head", first, settings).where("rank >= 0")
+    dense = stored(_placed(nodes, "head", first, settings, only_short=True).select("node"), "short-sets")
     if dense.isEmpty():
         return placed
-    lists = whole_sets(documents, dense.select("node"), settings, text_column)
+    lists = whole_sets(documents, dense, settings, text_column)
     lists = lists.withColumn("n", F.size("tokens"))
     return placed.unionByName(stored(_placed(lists, "tokens", first, settings), "dense-prefixes"))
 
@@ -265,9 +289,8 @@ def similar_components(
     sets, are in one component.  An empty table gives an empty result; other columns are not looked at.
     """
     percent = settings.percent
-    rows = stored(sketch(documents, settings, id_column, text_column), "sketches")
-    nodes = rows.where("n > 0").drop("id", "text_hash").dropDuplicates(["node"])
-    nodes = stored(nodes, "nodes")
+    rows = stored(signatures(documents, settings, id_column, text_column), "signatures")
+    nodes = stored(sketches(documents, settings, text_column), "nodes")
     placed = prefixes(documents, nodes.select("node", "n", "head"), settings, text_column)
     # Tokens of one set only link nothing.
     several = placed.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("token")
