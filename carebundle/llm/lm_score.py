@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from carebundle.llm.common import quoted, slices, stored, text_buffers
 from carebundle.llm.words import mixed, word_hashes
 
-SLICE = 2 << 20
+SLICE = 1 << 19
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 BUCKETS = 24
 # Steps in which ratios are rounded for the weights: quarters of a power of two.

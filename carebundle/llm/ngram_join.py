@@ -25,7 +25,7 @@ from carebundle.llm.common import quoted, slices, stored, text_buffers
 from carebundle.llm.components import components
 from carebundle.llm.words import mixed, shingle_sets, word_hashes
 
-SLICE = 2 << 20
+SLICE = 1 << 19
 FILTER_BITS = 1 << 26
 
 

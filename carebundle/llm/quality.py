@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from carebundle.llm.common import quoted, slices, stored, text_buffers
 from carebundle.llm.words import mixed, word_hashes
 
-SLICE = 2 << 20
+SLICE = 1 << 19
 
 
 @dataclass(frozen=True)

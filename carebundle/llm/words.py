@@ -51,7 +51,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     ends[:-1] &= space[1:]
     ends[inner - 1] = ~space[inner - 1]
     first, last = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    powers, inverses = _powers(max(22, int(len(data)).bit_length()))
+    powers, inverses = _powers(max(20, int(len(data)).bit_length()))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
     hashes = (sums[last] - sums[first]) * inverses[first]
