@@ -31,10 +31,10 @@ from carebundle.llm.common import quoted, slices, text_buffers
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Where this is found, a space may belong to more white space and not to the word behind it.
 _ODD = re.compile(r"\s | \s|\A\s|\s\Z")
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 250_000
 LONG_BYTES = 256
 BLOCK = 1 << 16
-TEXT_BATCH = 8 << 20
+TEXT_BATCH = 2 << 20
 
 
 class BitmapQueue:
