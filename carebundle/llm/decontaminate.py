@@ -2,9 +2,10 @@
 
 Numbers, units and names (capitalised words inside a sentence) become typed placeholders, so a question with other values
 has the template of the original.  Windows of eight words of all texts meet those of the benchmark in a hash join.  A
-window with fewer literal words than placeholders is too general and is compared by its words instead.  Matches on one
-diagonal (the same shift between text and item) that cover enough of an item are candidates, and a candidate counts if
-its slots are consistent: equal values in the item are equal values in the text.
+window with fewer literal words than placeholders is too general and is compared by its words instead.  Matches on
+neighbouring diagonals (shifts between text and item), as words put in or left out make them, count together; if they
+cover enough words of an item they are a candidate, and a candidate counts if the slots inside its matches are
+consistent: equal values in the item are equal values in the text.
 """
 
 from __future__ import annotations
@@ -68,6 +69,16 @@ def window_hashes(words: Column, templates: Column, size: int) -> Column:
     return F.when(F.exists(templates, _is_slot), F.transform(starts, mixed)).otherwise(plain)
 
 
+def _covered(starts: Column, size: Column) -> Column:
+    """The positions inside windows that start at some positions."""
+    return F.array_distinct(F.flatten(F.transform(starts, lambda at: F.sequence(at, at + size - 1))))
+
+
+def _bands(diagonal: Column, width: Column) -> Column:
+    """Two bands of a width that hold a diagonal: diagonals up to half a width apart share one of them."""
+    return F.array(F.floor(diagonal / width) * 2, F.floor((diagonal + F.floor(width / 2)) / width) * 2 + 1)
+
+
 def _with_words(frame: DataFrame, text: str) -> DataFrame:
     return (
         frame.withColumn("tokens", tokens(F.col(text)))
@@ -77,7 +88,7 @@ def _with_words(frame: DataFrame, text: str) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, window: int) -> DataFrame:
-    """The windows of the items: hash, size, item_id, item_at (position from 0), n_windows.  Of items with the same words
+    """The windows of the items: hash, size, item_id, item_at (position from 0), n_words.  Of items with the same words
     the smallest id stands for all; shorter items have one window of all their words."""
     items = benchmark.select(quoted(id_column).alias("item_id"), quoted(text_column).alias("text"))
     items = _with_words(items.where("text is not null"), "text").where(F.size("words") >= MIN_WORDS)
@@ -88,7 +99,7 @@ def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, wi
         hashes = F.when(F.col("size") == size, window_hashes(F.col("words"), F.col("templates"), size)).otherwise(hashes)
     sized = sized.withColumn("hashes", hashes)
     return sized.select(
-        "item_id", "size", "tokens", F.size("hashes").alias("n_windows"), F.posexplode("hashes").alias("item_at", "hash")
+        "item_id", "size", "tokens", F.size("words").alias("n_words"), F.posexplode("hashes").alias("item_at", "hash")
     )
 
 
@@ -103,8 +114,12 @@ def contamination(
     item_text_column: str = "text",
 ) -> DataFrame:
     """One row per row: doc_id, text_hash, contaminated, item_id (of the best covered item, the smallest of equals), coverage (share
-    of the item's windows found on one diagonal, 0 if none) and changed_slots (distinct item values that the text has
-    replaced).
+    of the item's words inside windows found in one region of the text, 0 if none) and changed_slots (distinct item values
+    that the text has replaced).
+
+    Windows count together if their diagonals are at most half an item apart, so as many words may be put in; copies of an
+    item that stand one after the other stay apart.  A part of an item is found from ``min_coverage`` of its words on
+    (rounded down), but only in unbroken runs of ``window`` words.
 
     Null and empty texts are clean; null, empty and two-word items match nothing; an empty benchmark leaves all clean.
     Repeated rows give repeated rows, an empty table an empty one; other columns are not looked at.  Rows with the same id
@@ -124,36 +139,49 @@ def contamination(
         hits = at.join(wanted, "hash", "left_semi")
         found = hits if found is None else found.unionByName(hits)
     # A hash holds the size of its window, so hits of one size never meet items of another.
-    places = items.select("hash", "item_id", "item_at", "n_windows")
+    places = items.select("hash", "item_id", "item_at", "size", "n_words")
     matches = found.join(places, "hash").withColumn("diagonal", F.col("at") - F.col("item_at"))
     key = ["doc_id", "text_hash"]
-    covered = matches.groupBy(*key, "item_id", "diagonal").agg(
-        (F.count_distinct("item_at") / F.first("n_windows")).alias("coverage")
-    )
-    candidates = stored(covered.where(F.col("coverage") >= min_coverage), "contamination-candidates")
+    runs = matches.groupBy(*key, "item_id", "size", "n_words", "diagonal").agg(F.collect_set("item_at").alias("starts"))
+    # A band holds at most as many diagonals as the item has words; the longest runs come first.
+    run = F.struct((-F.size("starts")).alias("rank"), "diagonal", "starts")
+    regions = runs.withColumn("band", F.explode(_bands(F.col("diagonal"), F.col("n_words"))))
+    regions = regions.groupBy(*key, "item_id", "size", "n_words", "band").agg(F.sort_array(F.collect_list(run)).alias("runs"))
+    n_covered = F.size(_covered(F.flatten(F.col("runs.starts")), F.col("size")))
+    covered = regions.withColumn("coverage", n_covered / F.col("n_words"))
+    candidates = stored(covered.where(n_covered >= F.floor(F.col("n_words") * min_coverage)), "contamination-candidates")
     suspects = stored(candidates.select(*key).distinct(), "contamination-suspects")
     again = _with_words(rows.join(suspects, null_safe(rows, suspects, key), "left_semi").dropDuplicates(key), "text")
     own = again.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("tokens").alias("found"))
     asked = items.groupBy("item_id").agg(F.first("tokens").alias("tokens"))
     both = candidates.join(asked, "item_id").join(own, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
+
+    def matched(at: Column) -> Column:
+        """The shift of the longest run that covers a position of the item."""
+        inside = lambda start: (start <= at) & (at < start + F.col("size"))
+        return F.get(F.filter("runs", lambda run: F.exists(run["starts"], inside)), 0)["diagonal"]
+
+    def longer(slot: Column, side: int) -> Column:
+        """Whether the text's value goes on where the item's does not, so its words cannot be compared one by one."""
+        kinds = [template(F.get(name, at + side)) for name, at in (("found", slot["at"] + slot["shift"]), ("tokens", slot["at"]))]
+        return kinds[0].eqNullSafe(slot["kind"]) & ~kinds[1].eqNullSafe(slot["kind"])
+
     slots = F.filter(
-        F.transform(
-            "tokens",
-            lambda token, i: F.struct(
-                literal(token).alias("item"),
-                template(token).alias("kind"),
-                F.get("found", i + F.col("diagonal")).alias("text"),
-            ),
-        ),
-        lambda slot: _is_slot(slot["kind"]) & (template(slot["text"]) == slot["kind"]),
-    )
-    pairs = F.array_distinct(F.transform(slots, lambda s: F.struct(s["item"].alias("item"), literal(s["text"]).alias("text"))))
-    judged = both.select(*key, "item_id", "coverage", pairs.alias("pairs")).withColumn(
-        "consistent", F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
+        F.transform("tokens", lambda token, i: F.struct(i.alias("at"), literal(token).alias("item"), template(token).alias("kind"), matched(i).alias("shift"))),
+        lambda slot: _is_slot(slot["kind"]) & slot["shift"].isNotNull(),
     )
-    judged = judged.where("consistent").withColumn(
-        "changed_slots", F.size(F.filter("pairs", lambda p: p["item"] != p["text"])).cast("bigint")
+    pairs = F.transform(
+        slots,
+        lambda s: F.struct(
+            s["item"].alias("item"), literal(F.get("found", s["at"] + s["shift"])).alias("text"), (longer(s, -1) | longer(s, 1)).alias("longer")
+        ),
     )
+    pairs = F.array_distinct(pairs)
+    judged = both.select(*key, "item_id", "coverage", pairs.alias("pairs"))
+    compared = F.filter("pairs", lambda p: ~p["longer"])
+    changed = F.filter("pairs", lambda p: p["item"] != p["text"])
+    judged = judged.where(F.size(compared) == F.size(F.array_distinct(F.transform(compared, lambda p: p["item"]))))
+    judged = judged.withColumn("changed_slots", F.size(F.array_distinct(F.transform(changed, lambda p: p["item"]))).cast("bigint"))
     best = judged.groupBy(*key).agg(
         F.min(F.struct((-F.col("coverage")).alias("c"), "changed_slots", "item_id")).alias("best")
     )

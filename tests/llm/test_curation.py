@@ -172,6 +172,28 @@ def test_leaks(judge, prose):
     assert rows[4].item_id is None and rows[4].coverage == 0.0
 
 
+def test_leaks_with_edits(judge, prose):
+    """Words put in, left out or replaced, and parts: the runs beside an edit count together."""
+    item = prose(20, 32)
+    words = item.split()
+    edited = [
+        [*words[:16], "zzq", *words[16:]], [*words[:16], "zzq", "qqz", "zqz", *words[16:]], [*words[:16], *words[17:]],
+        [*words[:16], "zzq", *words[17:]], words[:20], words[:16], words[16:], [*words[:10], "zzq", *words[10:20], "zzq", *words[20:]],
+    ]
+    other = QUESTION.replace("with Anna", "with Mary Ann").replace("does Anna", "does Mary Ann").replace("120", "450")
+    texts = [(k, f"{prose(30 + k, 40)} {' '.join(part)} {prose(60 + k, 40)}") for k, part in enumerate(edited)]
+    rows = judge([*texts, (100, other), (101, " ".join(words[:12])), (102, f"{QUESTION} {QUESTION.replace('Anna', 'Bob')}")], [item, QUESTION])
+    assert [k for k in range(len(edited)) if not rows[k].contaminated] == []
+    assert {rows[k].item_id for k in range(len(edited))} == {0} and rows[100].item_id == 1
+    assert not rows[101].contaminated and (rows[102].coverage, rows[102].changed_slots) == (1.0, 0)
+
+
+def test_what_follows_a_part_is_not_looked_at(judge):
+    part = QUESTION[: QUESTION.index("does")]
+    rows = judge([(1, f"{part} it go? No, see Carl at once."), (2, f"{part} he with Bob")], [QUESTION])
+    assert rows[1].contaminated and rows[2].contaminated and rows[2].changed_slots == 0
+
+
 def test_odd_tables(judge, odd):
     assert len(judge(odd, [QUESTION])) == len(odd)
     assert not any(r.contaminated for r in judge(odd, []))
