@@ -1,8 +1,10 @@
 """Benchmark decontamination by template windows and consistent slots; built-in functions only.
 
-Numbers, units and names (capitalised words inside a sentence) become typed placeholders, so a question with other values
-has the template of the original.  Windows of eight words of all texts meet those of the benchmark in a hash join.  A
-window with fewer literal words than placeholders is too general and is compared by its words instead.  Matches on
+Numbers, units and names (capitalised words, wherever they stand) become typed placeholders, so a question with other
+values has the template of the original.  Windows of eight words of all texts meet those of the benchmark in a hash join:
+each by its words in lower case, so neither case nor punctuation matters, and by its template.  A template with fewer
+literal words than placeholders is too general and not used.  Benchmark windows also have the templates that a text with
+other capital letters has.  Matches on
 neighbouring diagonals (shifts between text and item), as words put in or left out make them, count together; if they
 cover enough words of an item they are a candidate, and a candidate counts if the slots inside its matches are
 consistent: equal values in the item are equal values in the text.
@@ -27,14 +29,16 @@ UNITS = (
 )
 NAME, NUMBER, UNIT = "<name>", "<number>", "<unit>"
 _NAME_MARK = "\x01"
-_NAME_AT = r"(?<=[\p{L}\p{N},;:]\s)(?=\p{Lu}\p{Ll})"
+_NAME_AT = r"(?<![\p{L}\p{N}])(?=\p{Lu}\p{Ll})"
+# Inside a sentence, where a capital letter shows a name.
+_SURE_NAME_AT = r"(?<=[\p{L}\p{N},;:]\s)(?=\p{Lu}\p{Ll})"
 _TOKEN = rf"{_NAME_MARK}?[\p{{L}}\p{{N}}]+(?:[.,]\p{{N}}+)*|[%$€£]"
 
 
-def tokens(text: Column) -> Column:
+def tokens(text: Column, name_at: str = _NAME_AT) -> Column:
     """The words, numbers and unit signs of a text; names carry a mark in front."""
     clean = F.translate(F.coalesce(text, F.lit("")), _NAME_MARK, "")
-    return F.regexp_extract_all(F.regexp_replace(clean, _NAME_AT, _NAME_MARK), F.lit(_TOKEN), F.lit(0))
+    return F.regexp_extract_all(F.regexp_replace(clean, name_at, _NAME_MARK), F.lit(_TOKEN), F.lit(0))
 
 
 def literal(token: Column) -> Column:
@@ -69,6 +73,20 @@ def window_hashes(words: Column, templates: Column, size: int) -> Column:
     return F.when(F.exists(templates, _is_slot), F.transform(starts, mixed)).otherwise(plain)
 
 
+def _plain_hashes(words: Column, size: int) -> Column:
+    return window_hashes(words, F.array().cast("array<string>"), size)
+
+
+def text_hashes(words: Column, templates: Column, size: int) -> Column:
+    """Arrays of the one or two hashes of each window: of its words and of its template.  Templates that are too general
+    meet nothing, as the benchmark has none."""
+    both = F.zip_with(
+        _plain_hashes(words, size), _plain_hashes(templates, size), lambda x, y: F.when(x == y, F.array(x)).otherwise(F.array(x, y))
+    )
+    alone = F.transform(_plain_hashes(words, size), lambda x: F.array(x))
+    return F.when(F.exists(templates, _is_slot), both).otherwise(alone)
+
+
 def _covered(starts: Column, size: Column) -> Column:
     """The positions inside windows that start at some positions."""
     return F.array_distinct(F.flatten(F.transform(starts, lambda at: F.sequence(at, at + size - 1))))
@@ -88,19 +106,27 @@ def _with_words(frame: DataFrame, text: str) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, window: int) -> DataFrame:
-    """The windows of the items: hash, size, item_id, item_at (position from 0), n_words.  Of items with the same words
-    the smallest id stands for all; shorter items have one window of all their words."""
+    """The windows of the items: hash, size, item_id, item_at (position from 0), n_words, tokens and names (words that are
+    names for sure).  Of items with the same words the smallest id stands for all; shorter items have one window of all
+    their words.  A window has the hash of its words and those of its templates with all capitalised words as names, with
+    the sure names only, and without names."""
     items = benchmark.select(quoted(id_column).alias("item_id"), quoted(text_column).alias("text"))
     items = _with_words(items.where("text is not null"), "text").where(F.size("words") >= MIN_WORDS)
-    items = items.groupBy("words", "templates", "tokens").agg(F.min("item_id").alias("item_id"))
+    marked = F.filter(tokens(F.col("text"), _SURE_NAME_AT), lambda token: token.startswith(_NAME_MARK))
+    items = items.withColumn("names", F.array_sort(F.array_distinct(F.transform(marked, literal))))
+    items = items.groupBy("words", "templates", "tokens", "names").agg(F.min("item_id").alias("item_id"))
+    unnamed = lambda token: template(F.translate(token, _NAME_MARK, ""))
+    sure = lambda token: F.when(F.array_contains("names", literal(token)), NAME).otherwise(unnamed(token))
+    items = items.withColumn("sure", F.transform("tokens", sure)).withColumn("unnamed", F.transform("tokens", unnamed))
     sized = items.withColumn("size", F.least(F.size("words"), F.lit(window)))
     hashes = F.lit(None)
     for size in range(MIN_WORDS, window + 1):
-        hashes = F.when(F.col("size") == size, window_hashes(F.col("words"), F.col("templates"), size)).otherwise(hashes)
-    sized = sized.withColumn("hashes", hashes)
-    return sized.select(
-        "item_id", "size", "tokens", F.size("words").alias("n_words"), F.posexplode("hashes").alias("item_at", "hash")
-    )
+        # Those of general templates are those of the words.
+        kinds = [window_hashes(F.col("words"), F.col(kind), size) for kind in ("words", "templates", "sure", "unnamed")]
+        each = F.transform(F.arrays_zip(*(kind.alias(f"k{n}") for n, kind in enumerate(kinds))), lambda k: F.array_distinct(F.array(*(k[f"k{n}"] for n in range(4)))))
+        hashes = F.when(F.col("size") == size, each).otherwise(hashes)
+    sized = sized.select("item_id", "size", "tokens", "names", F.size("words").alias("n_words"), F.posexplode(hashes).alias("item_at", "hashes"))
+    return sized.withColumn("hash", F.explode("hashes")).drop("hashes")
 
 
 def contamination(
@@ -134,8 +160,9 @@ def contamination(
     found = None
     for size in sorted(sizes) or [window]:
         at = texts.select(
-            "doc_id", "text_hash", F.posexplode(window_hashes(F.col("words"), F.col("templates"), size)).alias("at", "hash")
+            "doc_id", "text_hash", F.posexplode(text_hashes(F.col("words"), F.col("templates"), size)).alias("at", "hashes")
         )
+        at = at.select("doc_id", "text_hash", "at", F.explode("hashes").alias("hash"))
         hits = at.join(wanted, "hash", "left_semi")
         found = hits if found is None else found.unionByName(hits)
     # A hash holds the size of its window, so hits of one size never meet items of another.
@@ -153,7 +180,7 @@ def contamination(
     suspects = stored(candidates.select(*key).distinct(), "contamination-suspects")
     again = _with_words(rows.join(suspects, null_safe(rows, suspects, key), "left_semi").dropDuplicates(key), "text")
     own = again.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("tokens").alias("found"))
-    asked = items.groupBy("item_id").agg(F.first("tokens").alias("tokens"))
+    asked = items.groupBy("item_id").agg(F.first("tokens").alias("tokens"), F.first("names").alias("names"))
     both = candidates.join(asked, "item_id").join(own, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
 
     def matched(at: Column) -> Column:
@@ -173,12 +200,14 @@ def contamination(
     pairs = F.transform(
         slots,
         lambda s: F.struct(
-            s["item"].alias("item"), literal(F.get("found", s["at"] + s["shift"])).alias("text"), (longer(s, -1) | longer(s, 1)).alias("longer")
+            s["item"].alias("item"), literal(F.get("found", s["at"] + s["shift"])).alias("text"), (longer(s, -1) | longer(s, 1)).alias("longer"),
+            # The first word of a sentence need not be a name.
+            ((s["kind"] != NAME) | F.array_contains("names", s["item"])).alias("sure"),
         ),
     )
     pairs = F.array_distinct(pairs)
     judged = both.select(*key, "item_id", "coverage", pairs.alias("pairs"))
-    compared = F.filter("pairs", lambda p: ~p["longer"])
+    compared = F.filter("pairs", lambda p: p["sure"] & ~p["longer"])
     changed = F.filter("pairs", lambda p: p["item"] != p["text"])
     judged = judged.where(F.size(compared) == F.size(F.array_distinct(F.transform(compared, lambda p: p["item"]))))
     judged = judged.withColumn("changed_slots", F.size(F.array_distinct(F.transform(changed, lambda p: p["item"]))).cast("bigint"))

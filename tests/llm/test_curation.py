@@ -188,6 +188,21 @@ def test_leaks_with_edits(judge, prose):
     assert not rows[101].contaminated and (rows[102].coverage, rows[102].changed_slots) == (1.0, 0)
 
 
+def test_leaks_in_other_case_and_punctuation(judge, prose):
+    item = f"Anna has 3 old apples on the table. Then Carl takes 2 of them away and {prose(70, 6)}. How many do Anna and Carl have now in all?"
+    other = item.replace("Anna", "Paula").replace("Carl", "Eric").replace("3", "17")
+    named = f"Wilma {prose(71, 7)}. Wilma {prose(72, 7)}. Wilma {prose(73, 7)}"  # a name only where sentences begin
+    short = "Who wrote the book about a whale"
+    texts = [
+        item.upper(), item.lower(), item.replace(".", "").replace("?", ""), other, other.replace(".", ""), item.lower().replace("3", "17"),
+        named.replace("Wilma", "Berta"), f"foo {short} bar", short.upper(),
+    ]
+    rows = judge([(k, f"{prose(80 + k, 20)} {text}") for k, text in enumerate(texts)], [item, named, short])
+    assert [rows[k].item_id for k in range(len(texts))] == [0, 0, 0, 0, 0, 0, 1, 2, 2]
+    assert [rows[k].coverage for k in range(len(texts))] == [1.0] * len(texts)
+    assert (rows[2].changed_slots, rows[3].changed_slots, rows[6].changed_slots) == (0, 3, 1)
+
+
 def test_what_follows_a_part_is_not_looked_at(judge):
     part = QUESTION[: QUESTION.index("does")]
     rows = judge([(1, f"{part} it go? No, see Carl at once."), (2, f"{part} he with Bob")], [QUESTION])
