@@ -7,7 +7,8 @@ literal words than placeholders is too general and not used.  Benchmark windows
 other capital letters has.  Matches on
 neighbouring diagonals (shifts between text and item), as words put in or left out make them, count together; if they
 cover enough words of an item they are a candidate, and a candidate counts if the slots inside its matches are
-consistent: equal values in the item are equal values in the text.
+consistent: equal values in the item are equal values in the text.  A candidate most of which stands in the text word for
+word counts in any case.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from carebundle.llm.common import null_safe, quoted, stored
 
 WINDOW = 8
 MIN_COVERAGE = 0.5
+# From this share of an item's words inside windows equal word for word, the slots need not be consistent.
+MIN_LITERAL = 0.7
 # Items with fewer words never match.
 MIN_WORDS = 3
 # Words and signs of units, in lower case.
@@ -106,7 +109,7 @@ def _with_words(frame: DataFrame, text: str) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, window: int) -> DataFrame:
-    """The windows of the items: hash, size, item_id, item_at (position from 0), n_words, tokens and names (words that are
+    """The windows of the items: hash, size, item_id, item_at (position from 0), n_words, literal (by its words), tokens and names (words that are
     names for sure).  Of items with the same words the smallest id stands for all; shorter items have one window of all
     their words.  A window has the hash of its words and those of its templates with all capitalised words as names, with
     the sure names only, and without names."""
@@ -126,7 +129,8 @@ def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, wi
         each = F.transform(F.arrays_zip(*(kind.alias(f"k{n}") for n, kind in enumerate(kinds))), lambda k: F.array_distinct(F.array(*(k[f"k{n}"] for n in range(4)))))
         hashes = F.when(F.col("size") == size, each).otherwise(hashes)
     sized = sized.select("item_id", "size", "tokens", "names", F.size("words").alias("n_words"), F.posexplode(hashes).alias("item_at", "hashes"))
-    return sized.withColumn("hash", F.explode("hashes")).drop("hashes")
+    sized = sized.withColumn("hash", F.explode("hashes")).withColumn("literal", F.col("hash") == F.get("hashes", F.lit(0)))
+    return sized.drop("hashes")
 
 
 def contamination(
@@ -166,16 +170,19 @@ def contamination(
         hits = at.join(wanted, "hash", "left_semi")
         found = hits if found is None else found.unionByName(hits)
     # A hash holds the size of its window, so hits of one size never meet items of another.
-    places = items.select("hash", "item_id", "item_at", "size", "n_words")
+    places = items.select("hash", "item_id", "item_at", "size", "n_words", "literal")
     matches = found.join(places, "hash").withColumn("diagonal", F.col("at") - F.col("item_at"))
     key = ["doc_id", "text_hash"]
-    runs = matches.groupBy(*key, "item_id", "size", "n_words", "diagonal").agg(F.collect_set("item_at").alias("starts"))
+    runs = matches.groupBy(*key, "item_id", "size", "n_words", "diagonal").agg(
+        F.collect_set("item_at").alias("starts"), F.collect_set(F.when(F.col("literal"), F.col("item_at"))).alias("literal_starts")
+    )
     # A band holds at most as many diagonals as the item has words; the longest runs come first.
-    run = F.struct((-F.size("starts")).alias("rank"), "diagonal", "starts")
+    run = F.struct((-F.size("starts")).alias("rank"), "diagonal", "starts", "literal_starts")
     regions = runs.withColumn("band", F.explode(_bands(F.col("diagonal"), F.col("n_words"))))
     regions = regions.groupBy(*key, "item_id", "size", "n_words", "band").agg(F.sort_array(F.collect_list(run)).alias("runs"))
     n_covered = F.size(_covered(F.flatten(F.col("runs.starts")), F.col("size")))
-    covered = regions.withColumn("coverage", n_covered / F.col("n_words"))
+    n_literal = F.size(_covered(F.flatten(F.col("runs.literal_starts")), F.col("size")))
+    covered = regions.withColumn("coverage", n_covered / F.col("n_words")).withColumn("verbatim", n_literal / F.col("n_words"))
     candidates = stored(covered.where(n_covered >= F.floor(F.col("n_words") * min_coverage)), "contamination-candidates")
     suspects = stored(candidates.select(*key).distinct(), "contamination-suspects")
     again = _with_words(rows.join(suspects, null_safe(rows, suspects, key), "left_semi").dropDuplicates(key), "text")
@@ -206,10 +213,11 @@ def contamination(
         ),
     )
     pairs = F.array_distinct(pairs)
-    judged = both.select(*key, "item_id", "coverage", pairs.alias("pairs"))
+    judged = both.select(*key, "item_id", "coverage", "verbatim", pairs.alias("pairs"))
     compared = F.filter("pairs", lambda p: p["sure"] & ~p["longer"])
     changed = F.filter("pairs", lambda p: p["item"] != p["text"])
-    judged = judged.where(F.size(compared) == F.size(F.array_distinct(F.transform(compared, lambda p: p["item"]))))
+    consistent = F.size(compared) == F.size(F.array_distinct(F.transform(compared, lambda p: p["item"])))
+    judged = judged.where(consistent | (F.col("verbatim") >= MIN_LITERAL))
     judged = judged.withColumn("changed_slots", F.size(F.array_distinct(F.transform(changed, lambda p: p["item"]))).cast("bigint"))
     best = judged.groupBy(*key).agg(
         F.min(F.struct((-F.col("coverage")).alias("c"), "changed_slots", "item_id")).alias("best")

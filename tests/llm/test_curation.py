@@ -203,6 +203,16 @@ def test_leaks_in_other_case_and_punctuation(judge, prose):
     assert (rows[2].changed_slots, rows[3].changed_slots, rows[6].changed_slots) == (0, 3, 1)
 
 
+def test_word_for_word_but_one_value(judge, prose):
+    """One of two occurrences of a value is changed, the rest stands word for word."""
+    item = f"{prose(90, 9)} Anna {prose(91, 12)} Anna {prose(92, 9)}"
+    changed = item.replace("Anna", "Bob", 1)
+    other = f"{prose(90, 9)} Bob {prose(93, 12)} Carl {prose(92, 9)}"  # less than most of it
+    rows = judge([(1, f"so {changed} it"), (2, f"so {other} it"), (3, QUESTION.replace("with Anna", "with Bob"))], [item, QUESTION])
+    assert (rows[1].contaminated, rows[1].item_id) == (True, 0)
+    assert not rows[2].contaminated and not rows[3].contaminated
+
+
 def test_what_follows_a_part_is_not_looked_at(judge):
     part = QUESTION[: QUESTION.index("does")]
     rows = judge([(1, f"{part} it go? No, see Carl at once."), (2, f"{part} he with Bob")], [QUESTION])
