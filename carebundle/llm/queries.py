@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carebundle.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, lm_score, ngram_join, quality, token_counts, tool_calls
+from carebundle.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, license_scan, lm_score, ngram_join, periodic_runs, quality, target_sampling, token_counts, tool_calls
 from carebundle.llm.common import table
+from carebundle.llm.oracles import license_scan_sql, target_sampling_sql
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -67,9 +68,22 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents")).drop("places")
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = periodic_runs.with_planted_periods(table(spark, folder, "documents"))
+    return periodic_runs.summary(periodic_runs.periodic_runs(documents))
+
+
+def op13_target_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    return target_sampling.resample_to_target(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_html_extract, op2_exact_dedup, op3_lm_score, op4_ngram_join, op5_tool_calls, op6_token_counts, op7_byte_bpe, op8_language_id, op9_quality_resampling, op10_decontamination)
+    for query in (op1_html_extract, op2_exact_dedup, op3_lm_score, op4_ngram_join, op5_tool_calls, op6_token_counts, op7_byte_bpe, op8_language_id, op9_quality_resampling, op10_decontamination, op11_license_scan, op12_periodic_runs, op13_target_sampling)
 }
 
 SQL: dict[str, str] = {
@@ -82,4 +96,6 @@ SQL: dict[str, str] = {
             select bare, count(*) as group_size, arg_min(doc_id, (-n, doc_id)) as keep_id from rows group by bare)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256
         from rows join best using (bare)""",
+    "op11_license_scan": license_scan_sql(),
+    "op13_target_sampling": target_sampling_sql(),
 }

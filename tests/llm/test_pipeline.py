@@ -44,7 +44,7 @@ def test_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "exact_duplicates", "near_duplicates", "benchmark_decontamination", "byte_level_bpe"
     ]
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 def test_exact_duplicates_against_sql(spark):
