@@ -2,8 +2,12 @@
 
 A text is cut at spaces; each part, with the word mark in front, is a pre-token.  The best segmentation of a pre-token has
 the highest sum of piece scores, and of equal sums the fewest pieces.  Its forward score at a prefix depends on that
-prefix alone, so it is computed once when the prefix enters the trie and every pre-token that begins with it goes on from
-there.  The node where a pre-token ends holds its count.
+prefix alone, so it is computed once and every pre-token that begins with it goes on from there: the different pre-tokens
+of many texts go through the trie in order, branch by branch.  Where a pre-token ends, its count is kept.
+
+A piece that may still go on is followed through a trie of the pieces, so a character costs as many steps as pieces are
+open there, not as the longest piece has characters.  Only the space cuts a text; tabs and line feeds belong to words, as
+the vocabulary has it.
 """
 
 from __future__ import annotations
@@ -18,68 +22,100 @@ from pyspark.sql import DataFrame
 from carebundle.llm.common import quoted, slices, text_buffers
 
 MARK = "▁"
-# Bounds of what a process keeps; neither changes a count.
-TRIE_NODES = 1_000_000
+# Bounds of what a process keeps; none changes a count.
+TRIE_NODES = 300_000
 SHARED_DEPTH = 64
-TEXT_BATCH = 8 << 20
+TEXT_BATCH = 2 << 20
+WORD_BLOCK = 100_000
 
 
 class Trie:
-    """Forward scores of prefixes.  A node is [children, score, tokens]."""
+    """Token counts of pre-tokens, with forward scores computed once for each prefix that pre-tokens share.
+
+    Pre-tokens are put in by their order, which is that of a walk through their trie, so only the branch at hand is held and
+    a prefix is met once for all that begin with it.  A node is (score, tokens, open): the best segmentation up to it, and
+    the pieces that begin somewhere on the branch and may go on, each with the score and tokens before it.  ``counts``
+    are the ends of the pre-tokens.
+    """
 
     def __init__(self, scores: dict[str, float], byte_score: float) -> None:
-        self.scores, self.byte_score = scores, byte_score
-        self.longest = max(map(len, scores), default=1)
+        self.byte_score = byte_score
+        self.pieces: dict = {}
+        for piece, score in scores.items():
+            place = self.pieces
+            for character in piece:
+                place = place.setdefault(character, {})
+            place[""] = score
         self.clear()
 
     def clear(self) -> None:
-        self.root: list = [{}, 0.0, 0]
+        self.branch: list[tuple[float, int, list]] = [(0.0, 0, [])]
+        self.word = ""
         self.size = 1
         self.counts: dict[str, int] = {}
 
-    def _forward(self, text: str, end: int, path: list) -> tuple[float, int]:
-        """Score and tokens of the best segmentation of ``text[:end]``, from those of the shorter prefixes."""
-        character = text[end - 1]
-        scores, best, tokens = self.scores, -math.inf, 0
-        if character not in scores:  # its bytes stand for it
+    def _next(self, node: tuple[float, int, list], character: str) -> tuple[float, int, list]:
+        """The node one character further on: of equal scores the segmentation with the fewest tokens."""
+        score, tokens, begun = node
+        first = self.pieces.get(character)
+        best, count, going = -math.inf, 0, []
+        if first is None or "" not in first:  # its bytes stand for it
             size = len(character.encode("utf-8", "replace"))
-            node = path[end - 1]
-            best, tokens = node[1] + size * self.byte_score, node[2] + size
-        for start in range(max(0, end - self.longest), end):
-            score = scores.get(text[start:end])
-            if score is not None:
-                node = path[start]
-                score += node[1]
-                if score > best or score == best and node[2] + 1 < tokens:
-                    best, tokens = score, node[2] + 1
-        return best, tokens
+            best, count = score + size * self.byte_score, tokens + size
+        for place, before, number in begun:
+            place = place.get(character)
+            if place is not None:
+                going.append((place, before, number))
+                own = place.get("")
+                if own is not None:
+                    own += before
+                    if own > best or own == best and number + 1 < count:
+                        best, count = own, number + 1
+        if first is not None:
+            going.append((first, score, tokens))
+            own = first.get("")
+            if own is not None:
+                own += score
+                if own > best or own == best and tokens + 1 < count:
+                    best, count = own, tokens + 1
+        self.size += 1
+        return best, count, going
 
     def count(self, text: str) -> int:
-        """The number of tokens of a pre-token."""
-        known = self.counts.get(text)
-        if known is not None:
-            return known
-        node, path = self.root, [self.root]
-        for end, character in enumerate(text, 1):
-            following = node[0].get(character) if end <= SHARED_DEPTH else None
-            if following is None:
-                following = [{}, *self._forward(text, end, path)]
-                if end <= SHARED_DEPTH:
-                    node[0][character] = following
-                    self.size += 1
-            path.append(following)
-            node = following
-        if len(text) <= SHARED_DEPTH:
-            self.counts[text] = node[2]
-        return node[2]
-
-    def tokens(self, text: str) -> int:
-        if not text:
-            return 0
-        if self.size > TRIE_NODES:
+        """The number of tokens of a pre-token.  What it shares with the one before is not computed again."""
+        shared, most = 0, min(len(text), len(self.word), SHARED_DEPTH)
+        while shared < most and text[shared] == self.word[shared]:
+            shared += 1
+        branch = self.branch
+        del branch[shared + 1 :]
+        node = branch[shared]
+        for character in text[shared:SHARED_DEPTH]:
+            node = self._next(node, character)
+            branch.append(node)
+        for character in text[SHARED_DEPTH:]:
+            node = self._next(node, character)
+        self.word = text[:SHARED_DEPTH]
+        return node[1]
+
+    def total(self, words: Sequence[str]) -> int:
+        """The number of tokens of all these pre-tokens, block by block."""
+        tokens = 0
+        for at in range(0, len(words), WORD_BLOCK):
+            block = words[at : at + WORD_BLOCK]
+            self.learn(set(block))
+            tokens += sum(map(self.counts.__getitem__, block))
+        return tokens
+
+    def learn(self, words: set[str]) -> None:
+        """Count the pre-tokens that are about to be asked for; each different one is looked at once."""
+        if len(self.counts) > TRIE_NODES:
             self.clear()
-        known, count = self.counts.get, self.count
-        return sum(found if (found := known(part)) is not None else count(part) for part in (MARK + text.replace(" ", f" {MARK}")).split(" "))
+        for word in sorted(words.difference(self.counts)):
+            self.counts[word] = self.count(word)
+
+
+def pretokens(text: str) -> list[str]:
+    return (MARK + text.replace(" ", f" {MARK}")).split(" ") if text else []
 
 
 def zipf_scores(pieces: Sequence[str]) -> list[float]:
@@ -134,11 +170,15 @@ def token_counts(
             column = batch.column(1)
             _, offsets = text_buffers(column)
             for low, high in slices(offsets, TEXT_BATCH):
-                texts = [text or "" for text in column.slice(low, high - low).to_pylist()]
-                counts = [trie.tokens(text) for text in texts]
-                parts = [text.count(" ") + 1 if text else 0 for text in texts]
+                parts = [pretokens(text or "") for text in column.slice(low, high - low).to_pylist()]
+                # The words of all short texts together, those of a long one block by block.
+                trie.learn(set().union(*(words for words in parts if len(words) <= WORD_BLOCK)))
+                known = trie.counts.__getitem__
+                short = [sum(map(known, words)) if len(words) <= WORD_BLOCK else None for words in parts]
+                counts = [trie.total(words) if count is None else count for words, count in zip(parts, short, strict=True)]
+                sizes = [len(words) for words in parts]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(counts, pa.int64()), pa.array(parts, pa.int64())],
+                    [batch.column(0).slice(low, high - low), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())],
                     ["doc_id", "n_tokens", "n_pretokens"],
                 )
 
