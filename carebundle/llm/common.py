@@ -13,10 +13,18 @@ from carebundle.sources.storage import new_folder
 
 # The white space of every contract: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\f\r"
+FILTER_BITS = 1 << 25
+BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
+_ARROW = "spark.sql.execution.arrow"
+
+
+def quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted_name(name))
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
@@ -60,11 +68,71 @@ def slices(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         low = high
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most so many rows and bytes, whatever the texts: a setting of the session, lowered where it
+    is higher, since a batch is held in the JVM and in the Python worker at once."""
+    for name, most in ((f"{_ARROW}.maxRecordsPerBatch", BATCH_ROWS), (f"{_ARROW}.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(name, None)
+        digits = "".join(c for c in now or "" if c.isdigit())
+        if not digits or int(digits) == 0 or int(digits) > most:
+            spark.conf.set(name, str(most))
+
+
+def hash_filter(hashes: DataFrame, column: str) -> Column:
+    """The bits of some hashes as one value of at most 4 MB, whatever their number, which the JVM can look up: see
+    :func:`may_hold`.  Above some ten millions of hashes it lets more and more others through, and what follows it has to
+    do the whole work."""
+    bit = F.pmod(F.col(column), F.lit(FILTER_BITS)) + 1  # the bitmap functions count from 1
+    parts = hashes.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    )
+    # 1024 buckets of 4 KB at most.
+    return parts.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "bits"))).alias("bits")).scalar()
+
+
+def may_hold(bits: Column, value: Column) -> Column:
+    """Whether a hash may be among those of a filter; false says that it is not."""
+    bit = F.pmod(value, F.lit(FILTER_BITS)) + 1
+    place = F.bitmap_bit_position(bit)
+    byte = F.substring(F.element_at(bits, F.bitmap_bucket_number(bit)), (place / 8).cast("int") + 1, F.lit(1))
+    powers = F.array(*(F.lit(1 << k) for k in range(8)))
+    number = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.coalesce(number.bitwiseAND(F.element_at(powers, (place % 8).cast("int") + 1)) != 0, F.lit(False))
+
+
 def without(documents: DataFrame, dropped: DataFrame, keys: Sequence[tuple[Column, str]]) -> DataFrame:
     """The rows of ``documents`` that ``dropped`` does not name: each key is an expression over the documents and the column
-    of ``dropped`` it is compared with, null equal to null.  Columns of any name are kept."""
-    names = dropped.select(*(quoted(name).alias(f"key {i}") for i, (_, name) in enumerate(keys)))
+    of ``dropped`` it is compared with, null equal to null.  Columns of any name are kept.
+
+    Rows whose first key no dropped row can have pass where they are; only the others, whole rows, are shuffled to meet the
+    dropped ones.
+    """
+    dropped = stored(dropped.select(*(quoted(name).alias(f"key {i}") for i, (_, name) in enumerate(keys))), "dropped")
+    bits = hash_filter(dropped.select(F.xxhash64("`key 0`").alias("hash")), "hash")
+    maybe = may_hold(bits, F.xxhash64(keys[0][0]))
+    condition = F.lit(True)
+    for i, (expression, _) in enumerate(keys):
+        condition = condition & expression.eqNullSafe(dropped[f"`key {i}`"])
+    return documents.where(~maybe).unionByName(documents.where(maybe).join(dropped, condition, "left_anti"))
+
+
+def each_once(
+    documents: DataFrame, dropped: DataFrame, repeated: DataFrame, keys: Sequence[tuple[Column, str]]
+) -> DataFrame:
+    """The rows of ``documents`` without those that ``dropped`` names, and of the rows that ``repeated`` names, which ``dropped``
+    does not, one for each key: the first by all its columns.  Keys are as in :func:`without`."""
+    names = [name for _, name in keys]
+    repeated = stored(repeated.select(*map(quoted, names)).distinct(), "repeated")
+    rest = without(documents, dropped.select(*map(quoted, names)).unionByName(repeated), keys)
+    if repeated.isEmpty():
+        return rest
+    marks = repeated.select(*(quoted(name).alias(f"key {i}") for i, name in enumerate(names)))
+    bits = hash_filter(marks.select(F.xxhash64("`key 0`").alias("hash")), "hash")
     condition = F.lit(True)
     for i, (expression, _) in enumerate(keys):
-        condition = condition & expression.eqNullSafe(names[f"`key {i}`"])
-    return documents.join(names, condition, "left_anti")
+        condition = condition & expression.eqNullSafe(marks[f"`key {i}`"])
+    # They meet in a partial aggregate, so a row that makes up a third of the table is a row for each task.
+    row = F.struct(*(documents[quoted_name(name)] for name in documents.columns))
+    again = documents.where(may_hold(bits, F.xxhash64(keys[0][0]))).join(marks, condition, "left_semi")
+    folded = again.groupBy(*(expression.alias(f"key {i}") for i, (expression, _) in enumerate(keys)))
+    return rest.unionByName(folded.agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*"))

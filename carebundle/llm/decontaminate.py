@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import null_safe, quoted, stored
+from carebundle.llm.common import hash_filter, may_hold, null_safe, quoted, stored
 
 WINDOW = 8
 MIN_COVERAGE = 0.5
@@ -185,7 +185,10 @@ def contamination(
     covered = regions.withColumn("coverage", n_covered / F.col("n_words")).withColumn("verbatim", n_literal / F.col("n_words"))
     candidates = stored(covered.where(n_covered >= F.floor(F.col("n_words") * min_coverage)), "contamination-candidates")
     suspects = stored(candidates.select(*key).distinct(), "contamination-suspects")
-    again = _with_words(rows.join(suspects, null_safe(rows, suspects, key), "left_semi").dropDuplicates(key), "text")
+    # Only rows whose id a suspect may have are shuffled with their texts.
+    bits = hash_filter(suspects.select(F.xxhash64("doc_id").alias("hash")), "hash")
+    maybe = rows.where(may_hold(bits, F.xxhash64("doc_id")))
+    again = _with_words(maybe.join(suspects, null_safe(maybe, suspects, key), "left_semi").dropDuplicates(key), "text")
     own = again.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("tokens").alias("found"))
     asked = items.groupBy("item_id").agg(F.first("tokens").alias("tokens"), F.first("names").alias("names"))
     both = candidates.join(asked, "item_id").join(own, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))

@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import SPACES, null_safe, quoted, stored, without
+from carebundle.llm.common import SPACES, bounded_batches, each_once, hash_filter, may_hold, null_safe, quoted, stored
+from carebundle.operators.copies import write_copies
 
 CHUNK_BYTES = 1 << 20
 PRIMES = (2147483647, 2147483629)
@@ -89,6 +90,7 @@ def fingerprints(
 ) -> DataFrame:
     """One row per row: its id, the length of the original in code points and of the normalised text in bytes, SHA-256
     and fingerprint of the latter."""
+    bounded_batches(documents.sparkSession)
     text = quoted(text_column)
     rows = documents.select(
         quoted(id_column).alias("id"),
@@ -135,10 +137,12 @@ def exact_duplicates(
     suspects = stored(
         distinct.join(shared, key).select("id", "text_sha256", *key).distinct(), "suspects"
     )
+    # The texts of all other rows stay where they are: a filter that the JVM looks up by id comes before anything else.
     text = quoted(text_column)
-    again = documents.select(
-        quoted(id_column).alias("id"), F.encode(normalised(text), "utf-8").alias("data")
-    ).withColumn("text_sha256", F.sha2("data", 256))
+    bits = hash_filter(suspects.select(F.xxhash64("id").alias("hash")), "hash")
+    again = documents.select(quoted(id_column).alias("id"), text.alias("text")).where(may_hold(bits, F.xxhash64("id")))
+    again = again.select("id", F.encode(normalised(F.col("text")), "utf-8").alias("data"))
+    again = again.withColumn("text_sha256", F.sha2("data", 256))
     compared = (
         again.join(suspects, null_safe(again, suspects, ["id", "text_sha256"]))
         .select(*key, F.posexplode(chunks(F.col("data"), chunk_bytes)).alias("position", "chunk"))
@@ -156,15 +160,16 @@ def exact_duplicates(
     classes = stored(classes, "classes")
     whole = marked.join(classes, key)
     first = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("n_points") == -F.col("best.n"))
-    return whole.select(
+    whole = whole.select(
         F.col("id").alias("doc_id"),
         F.col("best.id").alias("keep_id"),
         "group_size",
         first.alias("first"),
         "text_sha256",
         "n_points",
-        F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"),
-    ).select(
+        "copies",
+    )
+    return write_copies(stored(whole, "dedup-rows"), "copies", "copy").select(
         "doc_id", "keep_id", "group_size", (F.col("first") & (F.col("copy") == 1)).alias("kept"), "text_sha256", "n_points"
     )
 
@@ -180,15 +185,4 @@ def deduplicated(documents: DataFrame, duplicates: DataFrame, id_column: str = "
     names = [name for _, name in keys]
     kept = duplicates.groupBy(*names).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     kept = stored(kept, "kept-texts")
-    lost = kept.where("not kept or n > 1").select(*names)
-    repeated = kept.where("kept and n > 1").select(*names)
-    single = without(documents, lost, keys)
-    if repeated.isEmpty():
-        return single
-    others = kept.where("not kept or n = 1").select(*names)
-    # Repeated rows meet in a partial aggregate; the first of them stands for all.
-    again = without(documents, others, keys)
-    folded = again.groupBy(*(key.alias(f"key {i}") for i, (key, _) in enumerate(keys))).agg(
-        F.min_by(F.struct(*(quoted(name) for name in documents.columns)), F.lit(0)).alias("row")
-    )
-    return single.unionByName(folded.select("row.*"))
+    return each_once(documents, kept.where("not kept"), kept.where("kept and n > 1"), keys)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import quoted, slices, stored, text_buffers
+from carebundle.llm.common import bounded_batches, quoted, slices, stored, text_buffers
 from carebundle.llm.components import components
 from carebundle.llm.words import mixed, shingle_sets, word_hashes
 
@@ -282,12 +282,14 @@ def similar_components(
     documents: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text"  # noqa: B008
 ) -> DataFrame:
     """One row per row: doc_id, n_shingles (size of the set of distinct shingles), component_id (the smallest id reachable
-    by links, its own included) and text_hash (which tells rows with the same id apart).
+    by links, its own included), text_hash (which tells rows with the same id apart) and component (a name that no two
+    components share, as they may share their smallest id; null for an empty set).
 
     A text with fewer words than a shingle has all its words as one.  Null, empty and blank texts have an empty set, link
     with nothing and are their own component.  Null ids are larger than any other.  Repeated rows, and rows with equal
     sets, are in one component.  An empty table gives an empty result; other columns are not looked at.
     """
+    bounded_batches(documents.sparkSession)
     percent = settings.percent
     rows = stored(signatures(documents, settings, id_column, text_column), "signatures")
     nodes = stored(sketches(documents, settings, text_column), "nodes")
@@ -323,11 +325,12 @@ def similar_components(
     ids = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
     grouped = ids.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = stored(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component-names")
-    by_node = stored(grouped.join(names, "component").select(F.col("node").alias("own"), "component_id"), "node-components")
+    by_node = stored(grouped.join(names, "component").select(F.col("node").alias("own"), "component", "component_id"), "node-components")
     joined = rows.select("id", "text_hash", "node", "n").join(by_node, (F.col("node") == F.col("own")) & (F.col("n") > 0), "left")
     return joined.select(
         F.col("id").alias("doc_id"),
         F.col("n").cast("bigint").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
         "text_hash",
+        "component",
     )

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import quoted, slices, text_buffers
+from carebundle.llm.common import bounded_batches, quoted, slices, text_buffers
 
 LEAST = 12
 SLICE = 1 << 20
@@ -160,6 +160,7 @@ def periodic_runs(
                     ["doc_id", "n_words", "runs", "collapsed"],
                 )
 
+    bounded_batches(documents.sparkSession)
     rows = documents.select(quoted(id_column).alias("doc_id"), quoted(text_column).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(found, f"doc_id {kind}, n_words bigint, runs {_RUNS}, collapsed string")

@@ -5,19 +5,23 @@ before).  The target model counts them in texts labelled good, the raw model in
 is the mean over its features of the log-ratio of their probabilities.  As many texts are taken as pass a cut
 learned from labels; which ones, Gumbel noise on the importances decides, so sampling follows the importance weights
 and stays without replacement.  A low temperature leaves only texts near the cut to chance.
+
+A few toxic words vanish in the mean of a long text, so toxicity is judged by a text's worst window: labels give each hashed
+word the log-ratio of the shares of toxic and of clean texts that have it, as far as the counts are sure of it, and the
+largest sum over a window of words must stay below a cut of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import quoted, slices, stored, text_buffers
+from carebundle.llm.common import bounded_batches, quoted, slices, stored, text_buffers
 from carebundle.llm.words import mixed, word_hashes
 
 SLICE = 1 << 19
@@ -26,7 +30,8 @@ SLICE = 1 << 19
 @dataclass(frozen=True)
 class Settings:
     """``label_rows`` bounds the labelled rows that the target model and the cut are fitted on: of more, those with the
-    smallest hashes of their ids.  ``miss`` is the largest share of good labelled texts that the cut may reject, and a good
+    smallest hashes of their ids.  Counts of words in toxic and clean texts are moved by ``sure`` standard deviations towards no
+    difference before they are compared; ``toxic_window`` words are judged together.  ``miss`` is the largest share of good labelled texts that the cut may reject, and a good
     text that it rejects weighs as ``loss_weight`` bad ones that it lets pass."""
 
     bins: int = 1 << 16
@@ -35,14 +40,20 @@ class Settings:
     temperature: float = 0.01
     miss: float = 0.002
     loss_weight: float = 20.0
+    toxic_window: int = 64
+    sure: float = 2.0
     seed: int = 0
 
 
 @dataclass(frozen=True)
 class Model:
+    """Log-ratios and cuts; a text is good from ``cut`` on and toxic from ``toxic_cut`` on."""
+
     log_ratio: np.ndarray
     cut: float
     settings: Settings
+    toxicity: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    toxic_cut: float = np.inf
 
 
 def _shapes(data: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -83,15 +94,37 @@ def features(data: np.ndarray, offsets: np.ndarray, bins: int) -> tuple[np.ndarr
     return np.concatenate(found), np.concatenate(texts)
 
 
-def _scores(column: pa.Array, log_ratio: np.ndarray) -> list[float | None]:
+def word_bins(data: np.ndarray, offsets: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bins of the words of some texts in order, and the text each belongs to."""
+    hashes, firsts = word_hashes(data, offsets)
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
+    return (mixed(hashes, 1) >> np.uint64(20)).astype(np.int64) % bins, owner
+
+
+def _worst(weights: np.ndarray, owner: np.ndarray, texts: int, window: int) -> np.ndarray:
+    """The largest sum of weights, none negative, over a window of words of each text; 0 without words."""
+    worst = np.zeros(texts)
+    if len(weights):
+        sums = np.concatenate([[0.0], np.cumsum(weights)])
+        last = np.arange(1, len(weights) + 1)
+        first = np.searchsorted(owner, owner)  # of the text
+        np.maximum.at(worst, owner, sums[last] - sums[np.maximum(last - window, first)])
+    return worst
+
+
+def _scores(column: pa.Array, log_ratio: np.ndarray, toxicity: np.ndarray, window: int) -> tuple[list[float | None], list[float]]:
+    """The importance and the toxicity of each text."""
     data, offsets = text_buffers(column)
     means: list[float | None] = []
+    worst: list[float] = []
     for low, high in slices(offsets, SLICE):
         found, texts = features(data, offsets[low : high + 1], len(log_ratio))
         total = np.bincount(texts, log_ratio[found], high - low)
         count = np.bincount(texts, minlength=high - low)
         means += [float(t / n) if n else None for t, n in zip(total, count, strict=True)]
-    return means
+        words, owner = word_bins(data, offsets[low : high + 1], len(toxicity))
+        worst += _worst(toxicity[words], owner, high - low, window).tolist()
+    return means, worst
 
 
 def fit(
@@ -99,54 +132,86 @@ def fit(
     id_column: str = "doc_id", text_column: str = "text",
 ) -> Model:
     """A model from documents and labels (doc_id, quality 1 or 0, toxic).  Good texts that are not toxic are the target.
-    Of contradicting labels of an id the lowest quality counts.  Without good labels nothing is rejected."""
+    Of contradicting labels of an id the lowest quality and the highest toxicity count.  Without good labels nothing is
+    rejected, and without toxic or without clean ones nothing as toxic."""
+    bounded_batches(documents.sparkSession)
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")
     )
     known = stored(known, "labels")
     share = min(1.0, settings.label_rows / max(known.count(), 1))
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    is_toxic = (F.col("toxic") != 0).cast("int")
     sample = known.where(hashed < int(share * (1 << 30))).select(
-        F.col("doc_id").alias("labelled"), F.when(F.col("quality") != 1, 0).when(F.col("toxic") == 0, 1).alias("good")
-    )
-    sample = stored(sample.where("good is not null"), "label-sample")
+        F.col("doc_id").alias("labelled"), F.when((F.col("quality") == 1) & (is_toxic == 0), 1).otherwise(0).alias("good"),
+        F.when(F.col("quality") == 1, is_toxic).alias("toxic"),
+    )
+    sample = stored(sample, "label-sample")
     rows = documents.select(quoted(id_column).alias("id"), quoted(text_column).alias("text"))
-    marked = rows.join(sample, rows["id"] == sample["labelled"], "left").select("text", "good")
+    marked = rows.join(sample, rows["id"] == sample["labelled"], "left").select("text", "good", "toxic")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, settings.bins), np.int64)
+        # Features of all texts and of good ones; clean and toxic texts that have a word; at last how many these are.
+        totals = np.zeros((4, settings.bins + 1), np.int64)
         for batch in batches:
             data, offsets = text_buffers(batch.column(0))
             good = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False) == 1
+            toxic = batch.column(2).fill_null(-1).to_numpy(zero_copy_only=False)
             for low, high in slices(offsets, SLICE):
                 found, texts = features(data, offsets[low : high + 1], settings.bins)
-                totals[0] += np.bincount(found, minlength=settings.bins)
-                totals[1] += np.bincount(found[good[low:high][texts]], minlength=settings.bins)
-        used = np.flatnonzero(totals[0])
+                totals[0, :-1] += np.bincount(found, minlength=settings.bins)
+                totals[1, :-1] += np.bincount(found[good[low:high][texts]], minlength=settings.bins)
+                if (toxic[low:high] >= 0).any():
+                    words, owner = word_bins(data, offsets[low : high + 1], settings.bins)
+                    pairs = np.unique(owner * settings.bins + words)
+                    kind = toxic[low:high][pairs // settings.bins]
+                    for k in (0, 1):
+                        totals[2 + k, :-1] += np.bincount(pairs[kind == k] % settings.bins, minlength=settings.bins)
+                        totals[2 + k, -1] += (toxic[low:high] == k).sum()
+        used = np.flatnonzero(totals.any(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array(totals[0][used]), pa.array(totals[1][used])], ["bin", "raw", "target"]
+            [pa.array(used, pa.int32()), *(pa.array(row[used]) for row in totals)], ["bin", "raw", "target", "clean", "toxic"]
         )
 
-    counts = marked.mapInArrow(counted, "bin int, raw bigint, target bigint").groupBy("bin").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")
-    )
-    found = counts.toPandas()  # at most one row for each bin
-    raw, target = np.zeros(settings.bins), np.zeros(settings.bins)
-    raw[found["bin"]], target[found["bin"]] = found["raw"], found["target"]
+    sums = (F.sum(name).alias(name) for name in ("raw", "target", "clean", "toxic"))
+    counts = marked.mapInArrow(counted, "bin int, raw bigint, target bigint, clean bigint, toxic bigint").groupBy("bin").agg(*sums)
+    found = counts.toPandas()  # at most one row for each bin, and one
+    raw, target, clean, toxic = np.zeros((4, settings.bins + 1))
+    for values, name in ((raw, "raw"), (target, "target"), (clean, "clean"), (toxic, "toxic")):
+        values[found["bin"]] = found[name]
+    toxicity = _toxic_ratio(toxic, clean, settings.sure)
     if not target.sum():
-        return Model(np.zeros(settings.bins), -np.inf, settings)
-    logs = [np.log((counts + settings.smoothing) / (counts + settings.smoothing).sum()) for counts in (target, raw)]
+        return Model(np.zeros(settings.bins), -np.inf, settings, toxicity)
+    logs = [np.log((n[:-1] + settings.smoothing) / (n[:-1] + settings.smoothing).sum()) for n in (target, raw)]
     log_ratio = logs[0] - logs[1]
-    examples = rows.join(sample, rows["id"] == sample["labelled"]).select("text", "good")
+    examples = rows.join(sample, rows["id"] == sample["labelled"]).select("text", "good", "toxic")
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            means, worst = _scores(batch.column(0), log_ratio, toxicity, settings.toxic_window)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_scores(batch.column(0), log_ratio), pa.float64()), batch.column(1)], ["score", "good"]
+                [pa.array(means, pa.float64()), pa.array(worst, pa.float64()), batch.column(1), batch.column(2)],
+                ["score", "worst", "good", "toxic"],
             )
 
-    scored = examples.mapInArrow(judged, "score double, good int").where("score is not null").toPandas()  # bounded
-    return Model(log_ratio, _cut(scored["score"].to_numpy(), scored["good"].to_numpy() == 1, settings), settings)
+    scored = examples.mapInArrow(judged, "score double, worst double, good int, toxic int")
+    scored = scored.where("score is not null").toPandas()  # bounded by the labels
+    # Toxic texts can look as good as others: each cut is learned from what it can tell apart.
+    looks = scored[scored["toxic"].fillna(0) == 0]
+    cut = _cut(looks["score"].to_numpy(), looks["good"].to_numpy() == 1, settings)
+    told = scored[scored["toxic"].notna()]
+    toxic_cut = -_cut(-told["worst"].to_numpy(), told["toxic"].to_numpy() == 0, settings)
+    return Model(log_ratio, cut, settings, toxicity, toxic_cut)
+
+
+def _toxic_ratio(toxic: np.ndarray, clean: np.ndarray, sure: float) -> np.ndarray:
+    """For each bin the log-ratio of the shares of toxic and of clean texts with a word of it, as far as it is surely above
+    0; the last entries are the numbers of texts."""
+    if not toxic[-1] or not clean[-1]:
+        return np.zeros(len(toxic) - 1)
+    at_least = np.maximum(toxic[:-1] - sure * np.sqrt(toxic[:-1]), 0)
+    at_most = clean[:-1] + sure * np.sqrt(clean[:-1])
+    return np.maximum(np.log((at_least + 1) / (toxic[-1] + 2)) - np.log((at_most + 1) / (clean[-1] + 2)), 0) * (at_least > 0)
 
 
 def _cut(scores: np.ndarray, good: np.ndarray, settings: Settings) -> float:
@@ -189,33 +254,39 @@ def _kth_largest(keys: DataFrame, k: int) -> float:
 def resample(
     documents: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row per row: doc_id, importance (mean log-ratio; null without a word), key (importance over temperature plus
-    Gumbel noise of the id and the text), selected.
+    """One row per row: doc_id, importance (mean log-ratio; null without a word), toxicity (of the worst window), key (importance
+    over temperature plus Gumbel noise of the id and the text), selected.
 
-    As many rows are selected as have an importance of at least the cut: those with the largest keys, and of equal keys at
-    the last place all.  Null, empty and blank texts are never selected unless the model rejects nothing.  Repeated
-    rows have equal keys.  An empty table gives an empty result; other columns are not looked at.
+    As many rows are selected as have an importance of at least the cut and are not toxic: of those that are not toxic the
+    ones with the largest keys, and of equal keys at the last place all.  Null, empty and blank texts are never selected
+    unless the model rejects nothing.  Repeated rows have equal keys.  An empty table gives an empty result; other columns
+    are not looked at.
     """
     settings = model.settings
-    held = documents.sparkSession.sparkContext.broadcast(model.log_ratio)  # bounded by the number of bins
+    bounded_batches(documents.sparkSession)
+    held = documents.sparkSession.sparkContext.broadcast((model.log_ratio, model.toxicity))  # bounded by the number of bins
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            means = pa.array(_scores(batch.column(2), held.value), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), means], ["doc_id", "text_hash", "importance"])
+            means, worst = _scores(batch.column(2), *held.value, settings.toxic_window)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(means, pa.float64()), pa.array(worst, pa.float64())],
+                ["doc_id", "text_hash", "importance", "toxicity"],
+            )
 
     rows = documents.select(
         quoted(id_column).alias("doc_id"), F.xxhash64(quoted(text_column)).alias("text_hash"), quoted(text_column).alias("text")
     )
     kind = documents.schema[id_column].dataType.simpleString()
-    scores = rows.mapInArrow(scored, f"doc_id {kind}, text_hash bigint, importance double")
+    scores = rows.mapInArrow(scored, f"doc_id {kind}, text_hash bigint, importance double, toxicity double")
     uniform = (F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(settings.seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     noise = -F.log(-F.log(uniform))
     keyed = stored(scores.withColumn("key", F.col("importance") / settings.temperature + noise), "importances")
+    harmless = F.col("toxicity") < float(model.toxic_cut)
     if model.cut == -np.inf:
-        return keyed.withColumn("selected", F.lit(True))
-    wanted = keyed.where(F.col("importance") >= model.cut).count()
+        return keyed.withColumn("selected", harmless)
+    wanted = keyed.where(harmless & (F.col("importance") >= model.cut)).count()
     if not wanted:
         return keyed.withColumn("selected", F.lit(False))
-    last = _kth_largest(keyed.where("key is not null").select("key"), wanted)
-    return keyed.withColumn("selected", F.coalesce(F.col("key") >= last, F.lit(False)))
+    last = _kth_largest(keyed.where(harmless & F.col("key").isNotNull()).select("key"), wanted)
+    return keyed.withColumn("selected", F.coalesce(harmless & (F.col("key") >= last), F.lit(False)))

@@ -30,7 +30,7 @@ def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.similar_components(table(spark, folder, "documents"), ngram_join.Settings(width=3, percent=90)).drop("text_hash")
+    return ngram_join.similar_components(table(spark, folder, "documents"), ngram_join.Settings(width=3, percent=90)).drop("text_hash", "component")
 
 
 def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import quoted, slices, stored, text_buffers
+from carebundle.llm.common import bounded_batches, quoted, slices, stored, text_buffers
 from carebundle.operators.copies import number_copies
 
 SLICE = 1 << 21
@@ -90,6 +90,7 @@ def bucket_gains(
     documents: DataFrame, target: DataFrame, settings: Settings, text_column: str = "text", target_column: str = "text"
 ) -> np.ndarray:
     """The gain of each bucket, from all documents and all target texts."""
+    bounded_batches(documents.sparkSession)
     buckets, longest = settings.buckets, settings.longest
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,6 +127,7 @@ def scores(
     documents: DataFrame, gains: np.ndarray, settings: Settings, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per row: doc_id, n_words, n_features, weight, score."""
+    bounded_batches(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(gains)  # one number for each bucket
     longest = settings.longest
 

@@ -19,7 +19,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from carebundle.llm.common import quoted, slices, text_buffers
+from carebundle.llm.common import bounded_batches, quoted, slices, text_buffers
 
 MARK = "▁"
 # Bounds of what a process keeps; none changes a count.
@@ -161,6 +161,7 @@ def token_counts(
     Null and the empty text have no tokens.  Repeated rows give repeated rows, an empty table an empty one; other
     columns are not looked at.
     """
+    bounded_batches(documents.sparkSession)
     own_pieces, own_scores = tuple(pieces), tuple(scores)
     lowest = min(own_scores, default=0.0) if byte_score is None else byte_score
 
