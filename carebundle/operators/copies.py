@@ -25,23 +25,32 @@ def number_copies(frame: DataFrame, name: str = "copy", chunk: int = CHUNK) -> D
     A count above ``chunk`` is first cut into chunks, which are spread over all tasks, so a row that makes up a
     third of the table is written by the whole cluster.
     """
-    columns = [quoted(column) for column in frame.columns]
+    total = _free("n", [*frame.columns, name])
+    counted = frame.groupBy(*(quoted(column) for column in frame.columns)).agg(F.count(F.lit(1)).alias(total))
+    return write_copies(counted, total, name, chunk)
+
+
+def write_copies(counted: DataFrame, total: str, name: str = "copy", chunk: int = CHUNK) -> DataFrame:
+    """Each row as many times as its column ``total`` says, numbered from 1; that column goes.
+
+    The rows are read twice, so what is costly to compute should be stored or end in a shuffle.
+    """
+    columns = [quoted(column) for column in counted.columns if column != total]
     # Chunk rows are tiny until they are written out, so adaptive execution would merge them into one task if it were free
     # to choose: the number of tasks is given.
-    tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total, part = (_free(label, [*frame.columns, name]) for label in ("n", "chunk"))
-    counted = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias(total))
-    few = counted.where(F.col(total) <= chunk).select(
-        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(total))).alias(name)
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part, copies = _free("chunk", [*counted.columns, name]), F.col(quoted(total))
+    few = counted.where(copies <= chunk).select(
+        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias(name)
     )
     first = F.col(part) * chunk + 1
-    last = F.least((F.col(part) + 1) * chunk, F.col(total))
+    last = F.least((F.col(part) + 1) * chunk, copies)
     many = (
-        counted.where(F.col(total) > chunk)
+        counted.where(copies > chunk)
         .select(
             *columns,
-            total,
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(total) - 1) / chunk))).alias(part),
+            quoted(total),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / chunk))).alias(part),
         )
         .repartition(tasks, *columns, part)
         .select(*columns, F.explode(F.sequence(first, last)).alias(name))
