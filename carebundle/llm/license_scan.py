@@ -1,11 +1,11 @@
 """Licence scan by a positional index of rare licence words; built-in functions only.
 
-The words of licence templates are counted in all documents.  The index holds, for each template, the places of its rarest
-words that occur at all: a few postings for a template, whatever the corpus.  In a document the index words are looked
-up, each with its own positions; a word at position i that stands at position p of a template votes for the template
+The words of licence templates are counted in all documents.  A text that has a share of a template's words has some of
+any choice of the others and one more, so the index holds just so many of each template's rarest words, with their
+places: a few postings for a template, whatever the corpus.  In a document the index words are looked up, each with its own positions; a word at position i that stands at position p of a template votes for the template
 beginning at i - p.  Where several different words of a template vote for the same beginning, they stand in the document
 as they stand in the template.  Such a place is verified on the words around it: every key phrase of the template has to
-be there, and a share of its words.
+be there, and the share of its words.
 
 Everything happens within a row, in array functions: nothing is shuffled but the counts of template words, so a common
 licence line costs no more than any other.
@@ -14,6 +14,7 @@ licence line costs no more than any other.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 
 from carebundle.llm.common import quoted
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The two characters outside ASCII whose lower case is not.
+_KELVIN, _DOTTED_I, _OTHER = "\u212a", "\u0130", "\u0101"
 
 
 @dataclass(frozen=True)
@@ -106,11 +108,10 @@ BASE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general
 
 @dataclass(frozen=True)
 class Settings:
-    """``rare_words`` of each template are indexed; ``votes`` different ones have to agree on where it begins.  Around that
-    place, up to ``slack`` words further on either side, its phrases and ``coverage`` of its words have to be.  A base
-    phrase without a verified template scores ``base_score``."""
+    """``votes`` different rare words of a template have to agree on where it begins.  Around that place, up to ``slack`` words
+    further on either side, its phrases and ``coverage`` of its words have to be.  A base phrase without a verified
+    template scores ``base_score``."""
 
-    rare_words: int = 6
     votes: int = 2
     slack: int = 8
     coverage: float = 0.7
@@ -125,8 +126,9 @@ def template_words(text: str) -> list[str]:
 
 def words(text: Column) -> Column:
     """The words of a text, with A-Z in lower case; null has none."""
-    lowered = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    plain = F.replace(F.replace(text.cast("string"), F.lit(_KELVIN), F.lit(_OTHER)), F.lit(_DOTTED_I), F.lit(_OTHER))
+    line = F.trim(F.regexp_replace(F.lower(plain), NO_WORD, " "))
+    return F.filter(F.split(F.coalesce(line, F.lit("")), " "), lambda word: word != "")
 
 
 def document_frequencies(documents: DataFrame, templates: tuple[Template, ...], text_column: str = "text") -> dict[str, int]:
@@ -143,18 +145,23 @@ def rare_word_index(
     templates: tuple[Template, ...], frequencies: dict[str, int], settings: Settings
 ) -> dict[str, list[tuple[int, int]]]:
     """Postings (template, position) by word: for each template the words of highest inverse document frequency, of equal
-    ones those that come first.  Words that no document has can be in no match."""
+    ones those that come first, as many as a text with the asked share of the words cannot avoid but for one vote less."""
     postings: dict[str, list[tuple[int, int]]] = {}
     for number, template in enumerate(templates):
         own = template_words(template.text)
-        present = [word for word in dict.fromkeys(own) if frequencies.get(word)]
-        rare = set(sorted(present, key=lambda word: frequencies[word])[: settings.rare_words])
+        rare = set(sorted(dict.fromkeys(own), key=lambda word: frequencies.get(word, 0))[: index_size(own, settings)])
         for position, word in enumerate(own):
-            if word in rare:
+            if word in rare and frequencies.get(word):
                 postings.setdefault(word, []).append((number, position))
     return postings
 
 
+def index_size(own: list[str], settings: Settings) -> int:
+    """How many of a template's words are looked up."""
+    different = len(set(own))
+    return different - math.ceil(settings.coverage * different) + settings.votes
+
+
 def _constant(value: object, kind: str) -> Column:
     """A small constant of any type; the optimizer reads it once."""
     return F.from_json(F.lit(json.dumps(value)), kind)
@@ -201,6 +208,10 @@ def scan(
     wanted = sorted({*index_words, *(phrase[0] for phrase, _ in base)})
 
     rows = documents.select(quoted(id_column).alias("doc_id"), words(quoted(text_column)).alias("words"))
+    # Most texts have none of the words; theirs go no further.
+    some = F.exists("words", lambda word: word.isin(wanted))
+    nothing = F.array().cast("array<string>")
+    rows = rows.select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.when(some, F.col("words")).otherwise(nothing).alias("words"))
     numbered = F.transform("words", lambda word, at: F.struct(word.alias("word"), at.alias("at")))
     rows = rows.withColumn("hits", F.filter(numbered, lambda hit: hit["word"].isin(wanted)))
 
@@ -258,7 +269,7 @@ def scan(
     best = F.coalesce(F.array_max(F.transform("found", lambda place: place["share"])), base_score)
     return rows.select(
         "doc_id",
-        F.size("words").cast("bigint").alias("n_words"),
+        "n_words",
         F.size("base_at").cast("bigint").alias("n_base"),
         F.array_min("base_at").cast("bigint").alias("first_word"),
         F.array_max("base_at").cast("bigint").alias("last_word"),

@@ -19,25 +19,27 @@ def license_scan_sql() -> str:
     template_rows, phrase_rows, meta_rows = [], [], []
     for number, template in enumerate(license_scan.TEMPLATES):
         own = license_scan.template_words(template.text)
-        meta_rows.append(f"({number}, {_text(template.label)}, {len(own)}, {len(set(own))})")
+        looked_up = license_scan.index_size(own, settings)
+        meta_rows.append(f"({number}, {_text(template.label)}, {len(own)}, {len(set(own))}, {looked_up})")
         template_rows += [f"({number}, {place}, {_text(word)})" for place, word in enumerate(own)]
         phrase_rows += [f"({number}, {_text(' ' + phrase + ' ')})" for phrase in template.phrases]
     base_rows = [f"({_text(phrase)}, {len(phrase.split())}, {_text(label)})" for phrase, label in license_scan.BASE_PHRASES]
     return rf"""
         with rows as (select doc_id, {_WORDS} as words from documents),
         template_word(t, p, word) as (values {", ".join(template_rows)}),
-        template(t, label, n, n_distinct) as (values {", ".join(meta_rows)}),
+        template(t, label, n, n_distinct, looked_up) as (values {", ".join(meta_rows)}),
         phrase(t, phrase) as (values {", ".join(phrase_rows)}),
         base(phrase, n, label) as (values {", ".join(base_rows)}),
         word_at as (select doc_id, unnest(words) as word, unnest(range(len(words))) as i from rows),
         named as (select doc_id, word, i from word_at where word in (select word from template_word)),
         frequency as (select word, count(distinct doc_id) as df from named group by word),
         ranked as (
-            select t, word, row_number() over (partition by t order by df, first_p) as rank
-            from (select t, word, min(p) as first_p from template_word group by t, word) join frequency using (word)),
+            select t, word, row_number() over (partition by t order by coalesce(df, 0), first_p) as rank
+            from (select t, word, min(p) as first_p from template_word group by t, word) left join frequency using (word)),
         votes as (
             select doc_id, t, i - p as begins, word
-            from ranked join template_word using (t, word) join named using (word) where rank <= {settings.rare_words}),
+            from ranked join template using (t) join template_word using (t, word) join named using (word)
+            where rank <= looked_up),
         candidate as (
             select doc_id, t, begins from votes group by doc_id, t, begins having count(distinct word) >= {settings.votes}),
         around as (
