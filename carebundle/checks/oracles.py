@@ -371,6 +371,109 @@ _GRANT = _key("care_site_history", _ROLE, "provider_id", "care_site_id")
 _PROVIDER = "provider_name provider_id provider_source_value npi dea care_site_id is_active gender_concept_id"
 
 
+_NEW_ROWS = "timestamp '2021-01-01'"
+_OLD_ROWS = "timestamp '2020-01-01'"
+
+
+def _version(change: str, condition: str, price: str, **stamps: str) -> str:
+    names = ("insert_datetime", "update_datetime", "delete_datetime", "change_datetime")
+    times = ", ".join(f"{stamps.get(name, 'null::timestamp')} as {name}" for name in names)
+    return f"""select o_orderkey, o_orderstatus, {price} as o_totalprice, {times}, '{change}' as change
+               from orders where {condition}"""
+
+
+def _histories() -> dict[str, str]:
+    """Histories, repairs, packages, and access of all users."""
+    kept = "o_orderkey % 10 <> 3 and o_orderkey % 7 <> 5"
+    price = "case when o_orderkey % 5 = 0 then o_totalprice + 1 else o_totalprice end"
+    closed = {"insert_datetime": _OLD_ROWS, "delete_datetime": _NEW_ROWS, "change_datetime": _NEW_ROWS}
+    rejected = {
+        ("patients", "lat", "malformed"): "from customer where c_custkey % 31 = 0",
+        ("encounters", "start", "malformed"): "from orders where day(o_orderdate) = 1",
+        ("encounters", "start", "missing"): "from orders where day(o_orderdate) = 2",
+        ("encounters", "patient", "missing"): "from orders where day(o_orderdate) = 3",
+    }
+    carers = "provider where gender_concept_id is not null"
+    sizes = """n as (select count(*) filter (where gender_concept_id = 8507) as men,
+                            count(*) filter (where gender_concept_id = 8532) as women, count(*) as all_persons from person)"""
+    day = "(date '2019-01-01' + (person_id % 500)::int)::timestamp"
+    return {
+        "csv_headers": _with(
+            ("patients",), "select id, case when gender <> 'M' then ssn end as ssn, gender, birthdate from patients"
+        ),
+        "merge_changes": " union all ".join(
+            [
+                _version("inserted", "o_orderkey % 10 = 3 and o_orderkey % 7 <> 5", price, insert_datetime=_NEW_ROWS, change_datetime=_NEW_ROWS),
+                _version("deleted", "o_orderkey % 10 <> 3 and o_orderkey % 7 = 5", "o_totalprice", **closed),
+                _version("replaced", f"{kept} and o_orderkey % 5 = 0", "o_totalprice", **closed),
+                _version("updated", f"{kept} and o_orderkey % 5 = 0", price,
+                         insert_datetime=_OLD_ROWS, update_datetime=_NEW_ROWS, change_datetime=_NEW_ROWS),
+                _version("unchanged", f"{kept} and o_orderkey % 5 <> 0", "o_totalprice", insert_datetime=_OLD_ROWS, change_datetime=_OLD_ROWS),
+            ]
+        ),
+        "repaired_keys": "select l_orderkey as o_orderkey, count(*) as n_lines, count(*) as n_own from lineitem group by l_orderkey",
+        "rejected_rows": " union all ".join(
+            f"""select '{table}' as table_name, '{column}' as column_name, '{reason}' as reason, count(*) as n {rows}
+                having count(*) > 0""" for (table, column, reason), rows in rejected.items()
+        ),
+        "quarantined_rows": """
+            select 'accepted' as table_name, count(*) as n, count(*) as n_observed from customer where c_custkey % 31 <> 0
+            union all select 'rejected', count(*), count(*) from customer where c_custkey % 31 = 0""",
+        "verified_package": """
+            select state, n_files::bigint as n_files, (select count(*) from orders) as n_rows
+            from (values ('written', 0), ('swapped', 2), ('doubled', 1)) v(state, n_files)""",
+        "versioned_packages": _with(
+            ("person",),
+            """select person_id, gender_concept_id, birth_datetime,
+                      case when gender_concept_id is distinct from 8507 then death_datetime end as death_datetime,
+                      case when gender_concept_id is distinct from 8507 then gender_source_concept_id end as gender_source_concept_id,
+                      case when gender_concept_id is distinct from 8507 then row_status_source_concept_id else -1 end
+                          as row_status_source_concept_id from person""",
+        ),
+        "bucketed_events": _with(
+            ("person", "visit_occurrence", "conditions"),
+            f"""select person_id, count(distinct visit_occurrence_id) as n_visits,
+                       (select count(*) from conditions where {_id("patient")} = p.person_id) as n_conditions,
+                       min(visit_start_datetime) as first_visit
+                from person p left join visit_occurrence using (person_id) group by person_id""",
+        ),
+        "stream_concepts": _target("concept_fhir"),
+        "readable_counts": _with(
+            ("person", "provider"),
+            f"""select 'admin' as username, all_persons as n_persons from n
+                union all select provider_source_value, men + case when gender_concept_id = 8532 then women else 0 end
+                from n, {carers}""",
+            n=sizes.removeprefix("n as (").removesuffix(")"),
+        ),
+        "inherited_access": _with(
+            ("person", "provider"),
+            f"""select 'admin' as username, all_persons as n_persons from n
+                union all select provider_source_value, men + women from n, {carers}""",
+            n=sizes.removeprefix("n as (").removesuffix(")"),
+        ),
+        "site_closure": """
+            with recursive edge(parent, child) as (
+                select n_regionkey::bigint + 1000000, n_nationkey::bigint + 2000000 from nation
+                union select s_nationkey::bigint + 2000000, s_suppkey::bigint + 3000000 from supplier
+                union select s_suppkey::bigint + 3000000, n_regionkey::bigint + 1000000
+                from supplier join nation on s_nationkey = n_nationkey where s_suppkey = 0),
+            path(ancestor, descendant, depth) as (
+                select parent, child, 1 from edge
+                union select ancestor, child, depth + 1 from path join edge on descendant = parent where depth < 8)
+            select ancestor, descendant, min(depth)::int as depth from path group by ancestor, descendant""",
+        "access_periods": _with(
+            ("person", "provider"),
+            f"""select username, readable_from, readable_to, count(*) as n_persons from (
+                    select provider_source_value as username, null::timestamp as readable_from,
+                           {day} + interval 1 microsecond as readable_to
+                    from provider, person
+                    where provider.gender_concept_id is not null and person.gender_concept_id = 8507
+                    union all select 'admin', case when person_id % 2 = 0 then {day} end, null from person)
+                group by all""",
+        ),
+    }
+
+
 def oracles() -> dict[str, str]:
     visits = _target("visit_occurrence")
     encounters = _with(("encounters",), "select * from encounters")
@@ -537,4 +640,4 @@ select l_returnflag, l_linestatus, row_number() over (partition by l_returnflag,
             ),
             person=persons_known,
         ),
-    }
+    } | _histories()

@@ -16,13 +16,14 @@ from pyspark.sql import types as T
 
 from carebundle.bundle import Bundle
 from carebundle.functions import codes, keys, parse
-from carebundle.operators import access, audit, columns, copies
+from carebundle.operators import access, access_all, audit, changes, columns, copies, hierarchy, rejects, rekey
 from carebundle.plans import concepts, convert
 from carebundle.plans.star import ROW_IDS, Star, uuid_text
 from carebundle.schema import target_schema, target_schemas
 from carebundle.sources import package, storage, supply, tables
 from carebundle.sources.literal import empty_table, literal_frame
 from carebundle.streaming.append import append_converted
+from carebundle.streaming.concepts import append_pairs, streamed_concepts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -605,3 +606,212 @@ def orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
     """References that stop leading anywhere when the persons of unknown gender are missing."""
     target = _target(spark, folder)
     return audit.orphan_keys(target.replace(person=target["person"].where(F.col("gender_concept_id").isNotNull())))
+
+
+# --- histories, repairs, verified and resolved packages -----------------------------------------------------
+
+
+def _time(text: str):
+    return F.lit(text).cast("timestamp")
+
+
+@query
+def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Patients in files of one folder whose headers differ: in order, and by a column that half of them lack."""
+    path = storage.new_folder(spark, "csv")
+    patients = Star(spark, folder).patients(["id", "ssn", "gender", "birthdate"])
+    men = patients.where("gender = 'M'").select("birthdate", "gender", "id")
+    patients.where("gender <> 'M'").write.option("header", True).csv(path)
+    men.write.option("header", True).mode("append").csv(path)
+    return tables.read_csv(spark, path).select("id", "ssn", "gender", "birthdate")
+
+
+@query
+def merge_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders that are stored, and a later state of them: some are new, some are gone, some have another price."""
+    order = F.col("o_orderkey")
+    orders = Star(spark, folder).table("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    first = changes.merge_changes(orders.limit(0), orders.where(order % 10 != 3), "o_orderkey", _time("2020-01-01 00:00:00"))
+    first = storage.stored(first.drop("change"), "versions")
+    price = F.when(order % 5 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    later = orders.where(order % 7 != 5).withColumn("o_totalprice", price)
+    return changes.merge_changes(first, later, "o_orderkey", _time("2021-01-01 00:00:00"))
+
+
+@query
+def repaired_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders under keys of 20 bits, of which some collide, and the lines that refer to them, joined by the repaired keys:
+    every order has its own lines and no others."""
+    star, mask = Star(spark, folder), (1 << 20) - 1
+    short = lambda column: keys.surrogate_key("order", [column]).bitwiseAND(F.lit(mask))
+    orders = star.table("orders").select("o_orderkey", short("o_orderkey").alias("order_id"))
+    lines = star.table("lineitem").select("l_orderkey", short("l_orderkey").alias("order_id"))
+    repairs = rekey.key_repairs(orders, "order_id", ["o_orderkey"], bits=20)
+    orders = rekey.with_repaired_keys(orders, "order_id", ["o_orderkey"], repairs)
+    lines = rekey.with_repaired_keys(lines, "order_id", ["l_orderkey"], repairs)
+    joined = lines.groupBy("order_id", "l_orderkey").agg(F.count(F.lit(1)).alias("n")).join(orders, "order_id")
+    own = F.sum(F.when(F.col("l_orderkey") == F.col("o_orderkey"), F.col("n")).otherwise(0))
+    return joined.groupBy("o_orderkey").agg(F.sum("n").alias("n_lines"), own.alias("n_own"))
+
+
+@query
+def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Malformed and missing values of the source: coordinates that are no numbers, starts without a time, lost patients."""
+    star = Star(spark, folder)
+    encounters = star.encounters(["id", "patient", "start", "stop"])
+    start = F.col("start")
+    broken = F.when(start.like("%-01T%"), F.substring(start, 1, 10)).when(~start.like("%-02T%"), start)
+    lost = F.when(~start.like("%-03T%"), F.col("patient"))
+    source = Bundle({"patients": star.patients(), "encounters": encounters.withColumns({"patient": lost, "start": broken})})
+    return rejects.rejected_rows(source)
+
+
+@query
+def quarantined_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Patients written apart in one scan: what was observed meanwhile beside what was written."""
+    split = rejects.quarantine(Star(spark, folder).patients(["id", "birthdate", "lat", "lon"]), rejects.SOURCE_CHECKS["patients"])
+    sizes = Bundle({"accepted": split.accepted, "rejected": split.rejected}).counts()
+    seen = [("accepted", split.rows - sum(split.counts.values())), ("rejected", sum(split.counts.values()))]
+    schema = T.StructType.fromDDL("table_name string, n_observed bigint")
+    return sizes.join(literal_frame(spark, seen, schema), "table_name")
+
+
+@query
+def verified_package(spark: SparkSession, folder: str) -> DataFrame:
+    """A package with digests as it was written, with two files swapped, and with a file put in twice: rows read and files
+    that verification names."""
+    path, star = storage.new_folder(spark, "package"), Star(spark, folder)
+    visits = convert.to_visit_occurrences(star.encounters()).repartition(4, "person_id")
+    bundle = Bundle({"visit": visits, "person": convert.to_persons(star.patients(PERSON))})
+    written = package.write_package(package.describe(bundle, name="visits"), bundle, path, digests=True)
+    found = [("written", len(package.verify_package(spark, path)))]
+    rows = package.read_package(spark, path, verify=True).bundle["visit"]
+    first, second, *_ = (f"{path}/{file}" for file in written.resources[0].path)
+    for source, target in ((first, f"{path}/aside"), (second, first), (f"{path}/aside", second)):
+        storage.rename(spark, source, target)
+    found.append(("swapped", sum(p.problem == "changed" for p in package.verify_package(spark, path))))
+    spark.read.parquet(first).write.mode("append").parquet(first.rsplit("/", 1)[0])
+    named = package.verify_package(spark, path)
+    found.append(("doubled", sum(p.problem == "unexpected" for p in named)))
+    states = literal_frame(spark, found, T.StructType.fromDDL("state string, n_files bigint"))
+    return states.withColumn("n_rows", rows.agg(F.count(F.lit(1))).scalar())
+
+
+@query
+def versioned_packages(spark: SparkSession, folder: str) -> DataFrame:
+    """Persons in two packages of different schemas, read as one: the first has narrower numbers, another name for a column
+    and none for deaths."""
+    star = Star(spark, folder)
+    persons = convert.to_persons(star.patients(PERSON))
+    former = persons.where("gender_concept_id = 8507").select(
+        F.col("birth_datetime").alias("born"), F.col("gender_concept_id").cast("int").alias("gender_concept_id"), "person_id"
+    )
+    paths = [storage.new_folder(spark, "package") for _ in range(2)]
+    for path, frame in zip(paths, (former, persons.where("gender_concept_id is distinct from 8507")), strict=True):
+        bundle = Bundle({"person": frame})
+        package.write_package(package.describe(bundle), bundle, path)
+    defaults = {"person": {"row_status_source_concept_id": -1}}
+    return package.read_packages(spark, paths, defaults=defaults, aliases={"person": {"birth_datetime": ["born"]}})["person"]
+
+
+@query
+def bucketed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Persons with their numbers of visits and conditions, from tables that lie in buckets of persons: nothing is shuffled."""
+    star, suffix = Star(spark, folder), uuid4().hex
+    bundle = Bundle(
+        {
+            "person": convert.to_persons(star.patients(PERSON)),
+            "visit": convert.to_visit_occurrences(star.encounters(["id", "patient", "provider", "organization", "start", "stop", "encounterClass"])),
+            "condition": convert.to_condition_occurrences(star.conditions(), ROW_IDS["conditions"]),
+        }
+    )
+    names = {name: f"{name}_{suffix}" for name in bundle}
+    buckets = {name: (8, ["person_id"]) for name in bundle}
+    tables.save_to_warehouse(bundle, names.__getitem__, location=storage.new_folder(spark, "buckets"), buckets=buckets)
+    read = tables.from_warehouse(spark, names.values(), lambda table: table.removesuffix(f"_{suffix}"))
+    return concepts.events_per_person(read["person"], read["visit"], read["condition"])
+
+
+@query
+def stream_concepts(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes that arrive in three files, one of them before and two after a restart, most of them again and again."""
+    star = Star(spark, folder)
+    pairs = [star.conditions(["code", "description", "line"]), star.procedures(["code", "description", "line"])]
+    number = F.substring("line", 1, 1).cast("int")
+    events = pairs[0].unionByName(pairs[1]).select(
+        "code", "description", (number % 3).alias("file"), F.date_add(F.lit("2020-01-01").cast("date"), number).cast("timestamp").alias("seen")
+    )
+    arrived, out, progress = (storage.new_folder(spark, label) for label in ("arrived", "pairs", "progress"))
+    schema = events.drop("file").schema
+    for files in ((0,), (1, 2)):
+        for file in files:
+            events.where(F.col("file") == file).drop("file").coalesce(1).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(arrived)
+        append_pairs(stream, "seen", "30 days", out, progress).awaitTermination()
+    return streamed_concepts(spark, out)
+
+
+# --- access of all users, within sites, over time -----------------------------------------------------------
+
+
+def _granted(spark: SparkSession, folder: str, site: int = 10) -> Bundle:
+    """Carers of known gender at a site; the cohorts of men and women at sites 10 and 20, and of all at the root site."""
+    bundle = _access_bundle(spark, folder)
+    bundle = access.with_root_provider(access.with_cohorts(bundle, _by_gender(bundle)), "admin")
+    carers = bundle["provider"].where("gender_concept_id is not null and provider_name is not null")
+    roles = [F.lit(number).cast("bigint").alias(name) for number, name in ((access.CARER_ROLE, "role_id"), (site, "care_site_id"))]
+    return access.with_provider_roles(bundle, carers.select(roles[0], "provider_id", roles[1]))
+
+
+@query
+def readable_counts(spark: SparkSession, folder: str) -> DataFrame:
+    bundle = _granted(spark, folder)
+    more = bundle["provider"].where("gender_concept_id = 8532 and provider_name is not null")
+    women = more.select(F.lit(access.CARER_ROLE).cast("bigint").alias("role_id"), "provider_id", F.lit(20).cast("bigint").alias("care_site_id"))
+    return access_all.readable_counts(access.with_provider_roles(bundle, women))
+
+
+def _contained(spark: SparkSession, pairs: list[tuple[int, int]]) -> DataFrame:
+    rows = [(hierarchy.CARE_SITE_DOMAIN, a, hierarchy.CARE_SITE_DOMAIN, b, hierarchy.CONTAINS) for a, b in pairs]
+    names = ("domain_concept_id_1", "fact_id_1", "domain_concept_id_2", "fact_id_2", "relationship_concept_id")
+    return literal_frame(spark, rows, T.StructType([T.StructField(name, T.LongType()) for name in names]))
+
+
+@query
+def inherited_access(spark: SparkSession, folder: str) -> DataFrame:
+    """Grants at a site that contains, over another one, the sites of both cohorts; two sites contain each other."""
+    bundle = Bundle({**_granted(spark, folder, site=5), "fact_relationship": _contained(spark, [(5, 7), (7, 10), (10, 20), (20, 10)])})
+    return access_all.readable_counts(hierarchy.with_inherited_grants(bundle))
+
+
+@query
+def site_closure(spark: SparkSession, folder: str) -> DataFrame:
+    """Regions that contain nations, nations that contain the suppliers' sites, and one supplier that contains its region."""
+    star = Star(spark, folder)
+    edges = [
+        star.table("nation").select((F.col("n_regionkey") + 1_000_000).alias("parent"), (F.col("n_nationkey") + 2_000_000).alias("child")),
+        star.table("supplier").select((F.col("s_nationkey") + 2_000_000).alias("parent"), (F.col("s_suppkey") + 3_000_000).alias("child")),
+    ]
+    back = star.table("supplier").where("s_suppkey = 0").join(star.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    edges.append(back.select((F.col("s_suppkey") + 3_000_000).alias("parent"), (F.col("n_regionkey") + 1_000_000).alias("child")))
+    return hierarchy.closure(reduce(DataFrame.unionByName, edges))
+
+
+@query
+def access_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """The carers' grant ends; women come into the cohort of all at different times, and men leave theirs."""
+    bundle = _granted(spark, folder)
+    until = F.when(F.col("care_site_id") == 10, F.lit("2020-06-30").cast("date"))
+    member, person = bundle["cohort"], F.col("subject_id")
+    day = F.date_add(F.lit("2019-01-01").cast("date"), (F.abs(person) % 500).cast("int")).cast("timestamp")
+    everyone = F.col("cohort_definition_id") == access.CohortSpec("ALL", 1, member).definition_id
+    bundle = bundle.replace(
+        care_site_history=bundle["care_site_history"].withColumn("end_date", until),
+        cohort=member.withColumn("cohort_start_datetime", F.when(everyone & (person % 2 == 0), day)).withColumn(
+            "cohort_end_datetime", F.when(~everyone, day)
+        ),
+    )
+    model = ("provider", "role", "care_site_history", "cohort_definition", "cohort")
+    store = supply.SupplyCache(spark, storage.new_folder(spark, "access"))
+    periods = access_all.access_periods(store.bundle("model", model, lambda: Bundle({name: bundle[name] for name in model})))
+    return periods.groupBy("username", "readable_from", "readable_to").agg(F.count(F.lit(1)).alias("n_persons"))

@@ -30,18 +30,20 @@ def uuid_id(column: Column | str) -> Column:
     )
 
 
+def encoded(columns: Sequence[Column | str]) -> list[Column]:
+    """Texts of values, each with its length in front, and null as a lone ``~``."""
+    texts = [_col(column).cast("string") for column in columns]
+    return [F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")) for text in texts]
+
+
 def surrogate_key(table: str, columns: Sequence[Column | str]) -> Column:
     """A positive 63-bit key from the table name and the given columns.
 
     Every value is written with its length in front and null as a lone ``~``, so two different rows never
     give the same hashed text.  Of n rows about n^2 / 2^64 pairs share a key by chance: some 500 of 10^11 rows, 50,000 of
-    10^12.  ``audit.key_collisions`` finds them; nothing repairs them.
+    10^12.  ``audit.key_collisions`` finds them and ``rekey.key_repairs`` repairs them.
     """
-    parts = [F.lit(table)]
-    for column in columns:
-        text = _col(column).cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
-    digest = F.md5(F.concat_ws("|", *parts))
+    digest = F.md5(F.concat_ws("|", F.lit(table), *encoded(columns)))
     return F.conv(F.substring(digest, 1, 16), 16, -10).cast("bigint").bitwiseAND(F.lit(LONG_MAX))
 
 

@@ -146,7 +146,7 @@ def with_root_provider(bundle: Bundle, username: str = ROOT_NAME, narrow: bool =
     return with_cohorts(bundle, [everyone], narrow)
 
 
-def _valid(frame: DataFrame, as_of: Column, start: str, end: str) -> DataFrame:
+def valid(frame: DataFrame, as_of: Column, start: str, end: str) -> DataFrame:
     """The rows that hold at a time: begun, not ended and not marked as invalid.  Null is open, and so is a column that the
     table does not have; a date holds for its whole day."""
     for name, late in ((start, False), (end, True)):
@@ -167,23 +167,23 @@ def readable_persons(bundle: Bundle, username: str, as_of: Column | None = None)
     every person is split by adaptive execution.
     """
     at = F.current_timestamp() if as_of is None else as_of
-    providers = _valid(bundle["provider"], at, "valid_start_datetime", "valid_end_datetime")
+    providers = valid(bundle["provider"], at, "valid_start_datetime", "valid_end_datetime")
     if "is_active" in providers.columns:
         providers = providers.where(F.coalesce("is_active", F.lit(True)))
     user = providers.where(F.col("provider_source_value") == username).select(F.col("provider_id").alias("entity_id"))
-    roles = _valid(bundle["role"], at, "valid_start_date", "valid_end_date")
+    roles = valid(bundle["role"], at, "valid_start_date", "valid_end_date")
     readers = roles.where("right_read_data_nominative").select("role_id")
-    history = _valid(bundle["care_site_history"], at, "start_date", "end_date").where(F.col("domain_id") == DOMAIN)
+    history = valid(bundle["care_site_history"], at, "start_date", "end_date").where(F.col("domain_id") == DOMAIN)
     granted = history.select("entity_id", "role_id", "care_site_id")
     granted = granted.join(user, "entity_id", "left_semi").join(readers, "role_id", "left_semi")
     # A site may have very many grants: they are merged before they meet the cohorts.
     sites = granted.select("care_site_id").distinct()
-    owned = _valid(bundle["cohort_definition"], at, "valid_start_datetime", "valid_end_datetime")
+    owned = valid(bundle["cohort_definition"], at, "valid_start_datetime", "valid_end_datetime")
     if "owner_domain_id" in owned.columns:
         owned = owned.where(F.coalesce("owner_domain_id", F.lit(DOMAIN)) == DOMAIN)
     owned = owned.select("cohort_definition_id", F.col("owner_entity_id").alias("care_site_id"))
     definitions = owned.join(sites, "care_site_id", "left_semi").select("cohort_definition_id")
-    members = _valid(bundle["cohort"], at, "cohort_start_datetime", "cohort_end_datetime")
+    members = valid(bundle["cohort"], at, "cohort_start_datetime", "cohort_end_datetime")
     return (
         members.join(definitions, "cohort_definition_id", "left_semi")
         .select(F.col("subject_id").alias("person_id"))

@@ -27,3 +27,14 @@ def one_per_code(frame: DataFrame, code: str, description: str) -> DataFrame:
     The distinct pairs come first: they are found by hashing, while the minimum of a text is found by sorting.
     """
     return frame.select(code, description).distinct().groupBy(code).agg(F.min(description).alias(description))
+
+
+def events_per_person(persons: DataFrame, visits: DataFrame, conditions: DataFrame) -> DataFrame:
+    """(person_id, n_visits, n_conditions, first_visit): each event table is grouped by person before it meets the persons, so
+    tables in equal buckets of persons need no shuffle."""
+    visited = visits.groupBy("person_id").agg(F.count(F.lit(1)).alias("n_visits"), F.min("visit_start_datetime").alias("first_visit"))
+    ill = conditions.groupBy("person_id").agg(F.count(F.lit(1)).alias("n_conditions"))
+    counted = persons.select("person_id").join(visited, "person_id", "left").join(ill, "person_id", "left")
+    return counted.select(
+        "person_id", F.coalesce("n_visits", F.lit(0)).alias("n_visits"), F.coalesce("n_conditions", F.lit(0)).alias("n_conditions"), "first_visit"
+    )

@@ -8,7 +8,7 @@ from typing import NamedTuple, TypeVar
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MAX_CONCURRENT_JOBS = 8
 Item = TypeVar("Item")
@@ -37,6 +37,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/carebundle/{label}-{uuid4().hex}"
 
 
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back: what follows neither computes it again nor loses it with an
+    executor."""
+    folder = new_folder(frame.sparkSession, label)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def for_each(spark: SparkSession, action: Callable[[Item], Result], items: Iterable[Item]) -> list[Result]:
     """Run one action per table with a bounded number of jobs at a time; the first error is raised."""
     with ThreadPoolExecutor(MAX_CONCURRENT_JOBS) as pool:
@@ -53,6 +61,12 @@ def exists(spark: SparkSession, location: str) -> bool:
     return files.exists(path)
 
 
+def file_size(spark: SparkSession, location: str) -> int | None:
+    """The bytes of a file; None if there is none."""
+    path, files = _path(spark, location)
+    return files.getFileStatus(path).getLen() if files.exists(path) else None
+
+
 def read_text(spark: SparkSession, location: str) -> str:
     path, files = _path(spark, location)
     stream = files.open(path)
@@ -62,6 +76,20 @@ def read_text(spark: SparkSession, location: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, location: str) -> str | None:
+    """The first line of a text file, compressed or not, without reading on; None for an empty file."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(location))
+    settings = spark._jsc.hadoopConfiguration()
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(path)
+    stream = path.getFileSystem(settings).open(path)
+    try:
+        plain = stream if codec is None else codec.createInputStream(stream)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def write_text(spark: SparkSession, location: str, text: str) -> None:
     path, files = _path(spark, location)
     stream = files.create(path, True)
