@@ -11,6 +11,7 @@ text: there all blocks but links belong to the text.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -40,6 +41,9 @@ NEGATIVE = (
 )
 POSITIVE = "article content main post entry story body text page"
 PLACES = "article content main post entry story"
+# Words beside a negative one that tell how a page is laid out, and words that make an article no main text.
+LAYOUT = "no has with without"
+NO_ARTICLE = "comment comments reply replies respond teaser promo promotion sponsored advert advertisement advertising related"
 # Frequent function words of some languages.
 STOP_WORDS = {
     "en": "a an and are as at be but by for from had has have he her his i if in is it its more not of on one or our she so"
@@ -60,15 +64,14 @@ STOP_WORDS = {
 
 _set = lambda words: frozenset(words.split())
 _SKIPPED, _BOILER, _BLOCKS, _HEADINGS, _VOID = map(_set, (SKIPPED, BOILERPLATE, BLOCKS, HEADINGS, VOID))
-_NEGATIVE, _POSITIVE, _PLACES = _set(NEGATIVE), _set(POSITIVE), _set(PLACES)
+_NEGATIVE, _POSITIVE, _PLACES, _LAYOUT, _NO_ARTICLE = map(_set, (NEGATIVE, POSITIVE, PLACES, LAYOUT, NO_ARTICLE))
 _STOP = frozenset(word for words in STOP_WORDS.values() for word in words.split())
-_RAW = "script|style|noscript|template|textarea|title|iframe|svg|math"
-_MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<!/)>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\bhidden\b""")
+# Elements whose content is not markup.
+RAW = "script style noscript template textarea title iframe svg math"
+_ENDS = {name: re.compile(rf"</{name}\s*+>", re.IGNORECASE) for name in RAW.split()}
+_TAG = re.compile(r"</?+([a-zA-Z][^\s/>]*+)")
+_QUOTE_OR_END = re.compile("[>\"']")
+_ATTRIBUTE = re.compile(r"""(?<![a-zA-Z-])(?:([a-zA-Z-]++)\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]++)|hidden\b)""")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"\w+")
 GOOD, BAD, OPEN, POOR, LINKS = "good", "bad", "open", "poor", "links"
@@ -83,6 +86,7 @@ class Rules:
     many_stop_words: float = 0.25
     short_chars: int = 70
     long_chars: int = 100
+    list_of_links: int = 3
 
 
 @dataclass
@@ -96,9 +100,12 @@ class Block:
 
 
 def _negative(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is named or marked as something that is not main text."""
-    if not attributes or tag in ("html", "body", "main", "article") or "=" not in attributes and "hidden" not in attributes:
+    """Whether an element is named or marked as something that is not main text.  A negative word counts whatever stands
+    beside it, unless the name tells of a layout with or without such a part; an article is out only as a comment or
+    teaser of another."""
+    if not attributes or tag in ("html", "body", "main") or "=" not in attributes and "hidden" not in attributes:
         return False
+    negative = _NO_ARTICLE if tag == "article" else _NEGATIVE
     for match in _ATTRIBUTE.finditer(attributes):
         if not match[1]:
             return True
@@ -110,9 +117,8 @@ def _negative(tag: str, attributes: str, in_article: bool) -> bool:
         if name in ("class", "id", "role"):
             for item in value.split():
                 parts = {part.lower() for part in _NAME_PARTS.findall(item)}
-                if parts & _NEGATIVE and not parts & _POSITIVE and not (in_article and parts == {"header"}):
-                    return True
-                if parts & {"comment", "comments"}:
+                own_header = in_article and "header" in parts and parts <= _POSITIVE | {"header"}
+                if parts & negative and not parts & _LAYOUT and not own_header:
                     return True
     return False
 
@@ -125,11 +131,60 @@ def _positive(tag: str, attributes: str) -> bool:
         return False
     return any(
         match[1] and match[1].lower() in ("class", "id", "role") and
-        any({part.lower() for part in _NAME_PARTS.findall(item)} & _PLACES for item in match[2].strip("\"'").split())
+        any(_names_a_place({part.lower() for part in _NAME_PARTS.findall(item)}) for item in match[2].strip("\"'").split())
         for match in _ATTRIBUTE.finditer(attributes)
     )
 
 
+def _names_a_place(parts: set[str]) -> bool:
+    return bool(parts & _PLACES) and not (parts & _NEGATIVE and not parts & _LAYOUT)
+
+
+def _markup(html: str) -> Iterator[tuple[int, int, bool, str, str, bool]]:
+    """Tags, comments and declarations in order: where each begins and ends, whether it closes an element, name, attributes, and
+    whether it is a whole element without markup inside.  Comments and declarations have no name.  One pass: what is
+    known to follow no more is not looked for again."""
+    at, last = 0, html.rfind(">")
+    gone = {"-->": False, '"': False, "'": False}
+
+    def after(mark: str, start: int) -> int:
+        found = -1 if gone[mark] else html.find(mark, start)
+        gone[mark] |= found < 0
+        return found
+
+    while (start := html.find("<", at)) >= 0:
+        if html.startswith("<!--", start):
+            end = after("-->", start + 4)
+            at = len(html) if end < 0 else end + 3
+            yield start, at, False, "", "", False
+            continue
+        if start > last:  # nothing more can end
+            return
+        if html.startswith(("<!", "<?"), start):
+            at = html.index(">", start) + 1
+            yield start, at, False, "", "", False
+            continue
+        tag = _TAG.match(html, start)
+        if not tag:
+            at = start + 1
+            continue
+        end, place = -1, tag.end()
+        while end < 0 and (mark := _QUOTE_OR_END.search(html, place)):
+            if mark[0] == ">":
+                end = mark.start()
+            elif (place := after(mark[0], mark.end()) + 1) == 0:
+                break
+        if end < 0:  # a quotation mark without its other half
+            end = html.index(">", tag.end())
+        name, closing = tag[1].lower(), html[start + 1] == "/"
+        attributes, at = html[tag.end() : end], end + 1
+        whole = name in _ENDS and not closing and html[end - 1] != "/"
+        if whole:
+            close = _ENDS[name].search(html, at)
+            at = close.end() if close else len(html)
+        yield start, at, closing, name, attributes, whole
+
+
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page that hold text, in page order."""
     found: list[Block] = []
@@ -152,16 +207,28 @@ def blocks_of(html: str) -> list[Block]:
             if links:
                 linked.append(text)
 
+    def leave(tag: str) -> None:
+        """Close the innermost open element of a name and all within it."""
+        nonlocal boilerplate, article
+        while open_elements:
+            name, boilerplate, article = open_elements.pop()
+            opened[name] -= 1
+            if name == tag:
+                break
+
+    def enter(tag: str) -> None:
+        open_elements.append((tag, boilerplate, article))
+        opened[tag] += 1
+
     at = 0
-    for match in _MARKUP.finditer(html):
-        take(html[at : match.start()])
-        at = match.end()
-        tag = (match[3] or match[6] or "").lower()
-        if not tag:
-            if match[1] and match[1].lower() in ("textarea", "iframe"):
+    opened: Counter[str] = Counter()
+    for start, end, closing, tag, attributes, whole in _markup(html):
+        take(html[at:start])
+        at = end
+        if not tag or whole:
+            if tag in ("textarea", "iframe"):
                 close()
             continue
-        closing, attributes = match[2] or match[5], match[4] or match[7] or ""
         if tag == "br":
             take(" ")
         if tag == "a":
@@ -169,33 +236,27 @@ def blocks_of(html: str) -> list[Block]:
         if tag not in _BLOCKS and tag not in _BOILER and tag not in _SKIPPED:
             if not closing and tag not in _VOID and _negative(tag, attributes, article > 0):
                 close()
-                open_elements.append((tag, boilerplate, article))
+                enter(tag)
                 boilerplate = True
-            elif closing and any(name == tag for name, _, _ in open_elements[-3:]):
+            elif closing and opened[tag]:
                 close()
-                while open_elements:
-                    name, boilerplate, article = open_elements.pop()
-                    if name == tag:
-                        break
+                leave(tag)
             continue
         close()
         heading = tag in _HEADINGS and not closing
         if tag in ("p", "hr", "input", "embed"):
             if not closing and tag == "p" and not boilerplate and _negative(tag, attributes, article > 0):
-                open_elements.append((tag, boilerplate, article))
+                enter(tag)
                 boilerplate = True
             elif tag == "p" and open_elements and open_elements[-1][0] == "p":
-                _, boilerplate, article = open_elements.pop()
+                leave(tag)
             continue
         if closing:
-            if any(name == tag for name, _, _ in open_elements):
-                while open_elements:
-                    name, boilerplate, article = open_elements.pop()
-                    if name == tag:
-                        break
+            if opened[tag]:
+                leave(tag)
             links = 0
         elif tag not in ("html", "body"):
-            open_elements.append((tag, boilerplate, article))
+            enter(tag)
             if not boilerplate and not article and _positive(tag, attributes):
                 articles += 1
                 article = articles
@@ -206,8 +267,10 @@ def blocks_of(html: str) -> list[Block]:
     return found
 
 
-def _first_pass(block: Block, rules: Rules) -> str:
-    """The label of a block by itself; POOR is long without stop words, LINKS is mostly links."""
+def _first_pass(block: Block, rules: Rules, common: frozenset[str] = frozenset()) -> str:
+    """The label of a block by itself; POOR is long without stop words, LINKS is mostly links.  ``common`` are the short words
+    that are frequent on the page: where they are dense, or the script is none that the lists know, a block without
+    known stop words is in another language and undecided."""
     length = len(block.text)
     if block.link_chars > rules.link_density * length and not block.heading:
         return LINKS
@@ -219,7 +282,30 @@ def _first_pass(block: Block, rules: Rules) -> str:
         return OPEN
     if density >= rules.many_stop_words:
         return GOOD if length >= rules.long_chars else OPEN
-    return OPEN if density >= rules.few_stop_words else POOR
+    if density >= rules.few_stop_words:
+        return OPEN
+    foreign = sum(word[0] > "\u024f" for word in words) * 2 > len(words)
+    return OPEN if foreign or sum(word in common for word in words) >= rules.many_stop_words * len(words) > 0 else POOR
+
+
+def _common_words(blocks: list[Block], rules: Rules) -> frozenset[str]:
+    """Short words that stand in many of the long blocks: function words, whatever the language."""
+    long_blocks = [block for block in blocks if len(block.text) >= rules.short_chars and block.link_chars * 2 <= len(block.text)]
+    counts = Counter(word for block in long_blocks for word in {w for w in _WORD.findall(block.text.lower()) if len(w) <= 4 and w.isalpha()})
+    return frozenset(word for word, n in counts.items() if n >= max(2, 0.3 * len(long_blocks)))
+
+
+def _lone_links(blocks: list[Block], rules: Rules) -> None:
+    """Inside an article one or two blocks of links in a row may be text; more are a list of links."""
+    first = 0
+    while first < len(blocks):
+        last = first
+        while last < len(blocks) and blocks[last].label == LINKS:
+            last += 1
+        if last - first < rules.list_of_links:
+            for block in blocks[first:last]:
+                block.label = OPEN
+        first = max(last, first + 1)
 
 
 def _second_pass(blocks: list[Block]) -> None:
@@ -259,10 +345,13 @@ def main_text(html: str, rules: Rules = Rules()) -> str:  # noqa: B008
     if any(block.article for block in candidates):
         candidates = [block for block in candidates if block.article]
     places: dict[int, list[Block]] = {}
+    common = _common_words(candidates, rules)
     for block in candidates:
-        block.label = _first_pass(block, rules)
+        block.label = _first_pass(block, rules, common)
         places.setdefault(block.article, []).append(block)
-    for place in places.values():
+    for article, place in places.items():
+        if article:
+            _lone_links(place, rules)
         _second_pass(place)
     return " ".join(block.text for block in candidates if block.label == GOOD)
 

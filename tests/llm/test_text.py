@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -184,3 +185,77 @@ def test_weights_make_a_distribution():
     cells = np.unique(rng.integers(0, lm_score.BUCKETS * top, 500))
     weights = lm_score.learn_weights(cells, rng.integers(1, 9, len(cells)).astype(float), lm_score.Corpus(1000, 100), 20)
     assert np.allclose(weights.sum(axis=1), 1) and (weights >= 0).all() and weights[0, 0] == 0
+
+
+# --- pages: names, lone links, other languages, unclosed elements, hostile markup ------------------------------
+
+_LONG = "This is the text of the page that is long enough to be seen as a block of prose by all of the rules of the first pass"
+_RUSSIAN = [f"Это не то что было в городе {k}, и на реке она не была, а он и не знал что с ней будет потом и где она" for k in range(4)]
+
+
+def _text(html):
+    return html_extract.main_text(html)
+
+
+@pytest.mark.parametrize("name", ["sidebar-content", "related-content", "footer-text", "ad-text", "comment-body", "main-nav"])
+def test_negative_words_are_not_forgiven(name):
+    assert _text(f"<body><p>{_LONG}.</p><div class='{name}'><p>{_LONG} again</p></div></body>") == f"{_LONG}."
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "content-with-sidebar", "has-sidebar page", "post-content"])
+def test_words_of_layout_are_not_negative(name):
+    assert _text(f"<body><div class='{name}'><p>{_LONG}.</p></div></body>") == f"{_LONG}."
+
+
+def test_headers_within_articles():
+    assert _text(f"<article><div class='post-header'><h1>Title</h1></div><p>{_LONG}.</p></article>") == f"Title {_LONG}."
+    assert _text(f"<div class='page-header'>{_LONG} no</div><article><p>{_LONG}.</p></article>") == f"{_LONG}."
+
+
+def test_articles_that_are_comments():
+    assert _text(f"<article><p>{_LONG}.</p></article><article class='comment'><p>{_LONG} no</p></article>") == f"{_LONG}."
+
+
+def test_other_languages_beside_a_known_one():
+    paragraphs = "".join(f"<p>{text}</p>" for text in _RUSSIAN)
+    assert _text(f"<body>{paragraphs}<blockquote>{_LONG}, he said.</blockquote></body>") == " ".join([*_RUSSIAN, f"{_LONG}, he said."])
+    polish = [f"Nie wiem jak to jest, że w mieście {k} nie ma nic, co by się do nas na co dzień tak nie odezwało jak to" for k in range(3)]
+    assert _text("<body>" + "".join(f"<p>{p}</p>" for p in polish) + f"<p>{_LONG}, he said.</p></body>").startswith(polish[0])
+
+
+def test_lone_links_within_articles():
+    assert _text("<article><ul><li>One</li><li><a href='x'>Two</a></li></ul></article>") == "One Two"
+    assert _text(f"<article><p>{_LONG}.</p><p><a href='x'>A paragraph that is a link</a></p><p>{_LONG}!</p></article>") == f"{_LONG}. A paragraph that is a link {_LONG}!"
+    links = "".join(f"<li><a href='{k}'>Link {k}</a></li>" for k in range(4))
+    assert _text(f"<article><p>{_LONG}.</p><ul>{links}</ul><p>{_LONG}!</p></article>") == f"{_LONG}. {_LONG}!"
+
+
+def test_many_unclosed_elements():
+    assert _text(f"<span class='ad'><i><b><u><s><em>advert</span><p>{_LONG}.</p>") == f"{_LONG}."
+    assert _text(f"<div class='ad'><div><div><div><div>advert</div></div></div></div></div><p>{_LONG}.</p>") == f"{_LONG}."
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<script " * 130_000, '<a "x ' * 170_000, "<a " + "x" * 1_000_000 + ">t", "<!--" * 250_000, "<p>" + "</p " * 250_000,
+     "<div>" * 200_000 + "</span>" * 100_000, "<svg>" + "</svg " * 170_000, "<a '" * 250_000 + ">", "<" * 1_000_000 + ">"],
+    ids=range(9),
+)
+def test_hostile_markup_takes_linear_time(html):
+    began = time.process_time()
+    _text(html)
+    assert time.process_time() - began < 3
+
+
+def test_a_very_long_page():
+    html = "<article>" + f"<p>{_LONG} &amp; more</p>\n" * 150_000 + "</article>"
+    assert len(html) > 19_000_000
+    assert _text(html) == " ".join([f"{_LONG} & more"] * 150_000)
+
+
+def test_broken_markup():
+    assert _text(f"<p title=it's>{_LONG}</p>") == _LONG
+    assert _text(f'<p title="a>b">{_LONG}</p>') == _LONG
+    assert _text(f"<p>{_LONG} 1 < 2 and 3</p>") == f"{_LONG} 1 < 2 and 3"
+    assert _text(f"<p>{_LONG}</p><script>if (a < b) document.write('<p>no</p>')</SCRIPT ><!-- <p>no</p> --><p>{_LONG}!") == f"{_LONG} {_LONG}!"
+    assert _text(f"<p>{_LONG}</p><script>var x") == _LONG
