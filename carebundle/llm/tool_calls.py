@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carebundle.llm.common import null_safe, stored, table
+from carebundle.operators.copies import write_copies
 from carebundle.sources.literal import literal_frame
 
 CALL_COLUMNS = "conv_id bigint, position bigint, call_id string, name string, arguments string, depends_on array<string>"
@@ -134,7 +135,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
     extra = numbered.join(again.select(*key), null_safe(numbered, again, key), "left_semi").groupBy(*numbered.columns).agg(F.count(F.lit(1)).alias("n"))
     firsts = again.select(*numbered.columns).withColumn("own", F.lit(1))
     extra = extra.join(firsts, null_safe(extra, firsts, numbered.columns), "left").select(*[extra[c] for c in numbered.columns], (F.col("n") - F.coalesce("own", F.lit(0))).alias("n"))
-    extra = extra.where("n > 0").select(*numbered.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("n")).drop("n")
+    extra = write_copies(stored(extra.where("n > 0"), "repeated-calls"), "n", "copy").drop("copy")
     extra = extra.unionByName(numbered.where("call_id is null"))
     levels = call_levels(unique)
     answers = first_of_each(results, ["content"]).select(
@@ -169,6 +170,34 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
     )
 
 
+def unlinked_results(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """The results that no row of :func:`link_tool_calls` has: conv_id, position, call_id, repeated, content.  A result of an
+    answered call after the first is ``repeated``; the others have no call, or a null identifier.  One row per row."""
+    key, row = ["conv_id", "call_id"], ["conv_id", "position", "call_id", "content"]
+    counted = results.groupBy(*row).agg(F.count(F.lit(1)).alias("n"))
+    firsts = first_of_each(results, ["content"]).select(*row, F.lit(1).alias("own"))
+    known = calls.where("call_id is not null").select(*key).distinct().withColumn("known", F.lit(True))
+    own = counted.join(firsts, null_safe(counted, firsts, row), "left").select(*(counted[name] for name in row), "n", "own")
+    rows = own.join(known, null_safe(own, known, key), "left").select(*(own[name] for name in row), "n", "own", "known")
+    repeated = F.coalesce("known", F.lit(False))
+    left = F.col("n") - F.when(repeated, F.coalesce("own", F.lit(0))).otherwise(0)
+    rows = stored(rows.select(*row, repeated.alias("repeated"), left.alias("n")).where("n > 0"), "unlinked-results")
+    return write_copies(rows, "n", "copy").select("conv_id", "position", "call_id", "repeated", "content")
+
+
+def transcript(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
+    """The rows of :func:`link_tool_calls`, ``kind`` call, and those of :func:`unlinked_results`, ``kind`` result: nothing that was
+    said is lost.  A result of its own has its position, no name, level and errors, and as json its identifier and
+    content."""
+    linked = link_tool_calls(calls, results, schemas).withColumn("kind", F.lit("call"))
+    json = F.concat(
+        F.lit('{"id":'), json_text(F.col("call_id")),
+        F.lit(',"result":'), F.coalesce(canonical(F.col("content")), json_text(F.col("content"))), F.lit("}"),
+    )
+    alone = unlinked_results(calls, results).select("conv_id", "position", "call_id", "repeated", json.alias("json"), F.lit("result").alias("kind"))
+    return linked.unionByName(alone, allowMissingColumns=True)
+
+
 # --- The conversations table -------------------------------------------------------------------------------------
 
 # The tools as which the turns of a plain conversation are seen.
@@ -216,6 +245,6 @@ def calls_of_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def format_conversations(spark: SparkSession, folder: str) -> DataFrame:
-    """The linked calls of the conversations table of a folder."""
+    """The linked calls of the conversations table of a folder, and the results without one."""
     calls, results = calls_of_conversations(table(spark, folder, "conversations"))
-    return link_tool_calls(calls, results, turn_tools(spark))
+    return transcript(calls, results, turn_tools(spark))

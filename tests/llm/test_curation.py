@@ -1,5 +1,6 @@
 import json
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -88,6 +89,25 @@ def test_turns_as_calls(spark):
     assert set(found) == {(1, "1:0"), (1, "1:1"), (2, "t1"), (None, "0")}
 
 
+def test_no_result_is_lost(spark):
+    calls = spark.createDataFrame([(1, 0, "c1", "add", "{}", None), (1, 4, "c2", "add", "{}", None), (None, 0, "c1", "add", "{}", None)], tool_calls.CALL_COLUMNS)
+    rows = [
+        (1, 1, "c1", "a"), (1, 1, "c1", "a"), (1, 2, "c1", "b"), (1, 1, "c9", '{"y":1, "x":2}'), (1, 3, None, "n"),
+        (2, 1, "c1", "c"), (2, 1, "c1", "c"), (None, 1, "c1", "d"), (None, 1, "c1", None), (1, 5, "c2", None),
+    ]
+    results = spark.createDataFrame(rows, tool_calls.RESULT_COLUMNS)
+    alone = Counter((r.conv_id, r.position, r.call_id, r.content, r.repeated) for r in tool_calls.unlinked_results(calls, results).collect())
+    assert alone == Counter([
+        (1, 1, "c1", "a", True), (1, 2, "c1", "b", True), (1, 1, "c9", '{"y":1, "x":2}', False), (1, 3, None, "n", False),
+        (2, 1, "c1", "c", False), (2, 1, "c1", "c", False), (None, 1, "c1", "d", True),
+    ])
+    found = tool_calls.transcript(calls, results, spark.createDataFrame([], "name string, parameter string, type string, required boolean")).collect()
+    assert Counter(r.kind for r in found) == {"call": 3, "result": 7}
+    assert sum(r.kind == "result" or r.answered for r in found) == len(rows)
+    assert {r.json for r in found if r.call_id == "c9"} == {'{"id":"c9","result":{"x":2,"y":1}}'}
+    assert tool_calls.unlinked_results(calls, results.limit(0)).count() == 0
+
+
 def test_built_in_functions_only(spark):
     turns = spark.createDataFrame([(1, 0, "user", "x")], "conv_id bigint, turn bigint, role string, text string")
     calls, results = tool_calls.calls_of_conversations(turns)
