@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import quoted, slices, text_buffers
+from carebundle.llm.common import quoted, slices, text_buffers, thrifty
 
 # White space of the pattern in the sense of Unicode, which `regex` alone would widen by \x1c-\x1f.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -301,7 +301,7 @@ def encode(
     rows = documents.select(quoted(id_column).alias("doc_id"), quoted(text_column).alias("text"))
     kind = documents.schema[id_column].dataType.simpleString()
     schema = f"doc_id {kind}, ids binary" + ", decoded binary" * decode
-    return rows.mapInArrow(_coder(read_ranks(ranks_path), pattern, decode), schema)
+    return rows.mapInArrow(thrifty(_coder(read_ranks(ranks_path), pattern, decode)), schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id") -> DataFrame:
@@ -317,7 +317,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_column: str = "
 
     kind = encoded.schema[id_column].dataType.simpleString()
     rows = encoded.select(quoted(id_column).alias("doc_id"), F.col("ids"))
-    return rows.mapInArrow(decoded, f"doc_id {kind}, decoded binary")
+    return rows.mapInArrow(thrifty(decoded), f"doc_id {kind}, decoded binary")
 
 
 def digests(coded: DataFrame) -> DataFrame:

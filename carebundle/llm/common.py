@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +79,22 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
+def thrifty(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function over Arrow batches that gives freed memory back to the system when its task ends: Python workers live on
+    beside those of later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+            if trim:
+                trim(0)
+
+    return run
+
+
 def hash_filter(hashes: DataFrame, column: str) -> Column:
     """The bits of some hashes as one value of at most 4 MB, whatever their number, which the JVM can look up: see
     :func:`may_hold`.  Above some ten millions of hashes it lets more and more others through, and what follows it has to

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import SPACES, bounded_batches, each_once, hash_filter, may_hold, null_safe, quoted, stored
+from carebundle.llm.common import bounded_batches, each_once, hash_filter, may_hold, null_safe, quoted, SPACES, stored, thrifty
 from carebundle.operators.copies import write_copies
 
 CHUNK_BYTES = 1 << 20
@@ -105,7 +105,7 @@ def fingerprints(
     )
     kind = documents.schema[id_column].dataType.simpleString()
     schema = f"id {kind}, n_points bigint, n_bytes bigint, text_sha256 string, parts {_PARTS}"
-    parts = rows.mapInArrow(_chunk_hasher(chunk_bytes, primes), schema)
+    parts = rows.mapInArrow(thrifty(_chunk_hasher(chunk_bytes, primes)), schema)
     whole = parts.withColumn("fp", combined(F.col("parts"), primes))
     return whole.select(
         "id", "n_points", "n_bytes", "text_sha256", F.col("fp.h1").alias("fp1"), F.col("fp.h2").alias("fp2")

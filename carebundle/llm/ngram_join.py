@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import bounded_batches, quoted, slices, stored, text_buffers
+from carebundle.llm.common import bounded_batches, hash_filter, may_hold, quoted, slices, stored, text_buffers, thrifty
 from carebundle.llm.components import components
 from carebundle.llm.words import mixed, shingle_sets, word_hashes
 
@@ -86,7 +86,7 @@ def signatures(documents: DataFrame, settings: Settings, id_column: str, text_co
     text = quoted(text_column)
     rows = documents.select(quoted(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     kind = documents.schema[id_column].dataType.simpleString()
-    return rows.mapInArrow(signed, f"id {kind}, text_hash bigint, node bigint, n int")
+    return rows.mapInArrow(thrifty(signed), f"id {kind}, text_hash bigint, node bigint, n int")
 
 
 def sketches(documents: DataFrame, settings: Settings, text_column: str) -> DataFrame:
@@ -114,7 +114,7 @@ def sketches(documents: DataFrame, settings: Settings, text_column: str) -> Data
                 )
 
     found = documents.select(quoted(text_column).alias("text")).mapInArrow(
-        sketched, "node bigint, n int, head array<bigint>, second array<int>, third array<int>"
+        thrifty(sketched), "node bigint, n int, head array<bigint>, second array<int>, third array<int>"
     )
     return found.dropDuplicates(["node"])
 
@@ -162,7 +162,7 @@ def whole_sets(documents: DataFrame, nodes: DataFrame, settings: Settings, text_
                 lists = _list_array([values.view(np.int64) for values in tokens], pa.int64())
                 yield pa.RecordBatch.from_arrays([own, lists], ["node", "tokens"])
 
-    found = documents.select(quoted(text_column).alias("text")).mapInArrow(wanted, "node bigint, tokens array<bigint>")
+    found = documents.select(quoted(text_column).alias("text")).mapInArrow(thrifty(wanted), "node bigint, tokens array<bigint>")
     return stored(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "whole-sets")
 
 
@@ -204,7 +204,7 @@ def _placed(lists: DataFrame, column: str, common: np.ndarray, settings: Setting
                 ["node", "n", "rank", "token"],
             )
 
-    return lists.select("node", "n", column).mapInArrow(placed, "node bigint, n int, rank int, token bigint")
+    return lists.select("node", "n", column).mapInArrow(thrifty(placed), "node bigint, n int, rank int, token bigint")
 
 
 def prefixes(documents: DataFrame, nodes: DataFrame, settings: Settings, text_column: str) -> DataFrame:
@@ -229,18 +229,6 @@ def prefixes(documents: DataFrame, nodes: DataFrame, settings: Settings, text_co
     return placed.unionByName(stored(_placed(lists, "tokens", first, settings), "dense-prefixes"))
 
 
-def _maybe_shared(placed: DataFrame, shared: DataFrame) -> DataFrame:
-    """The rows whose token may be among the shared ones; few others pass."""
-    held = placed.sparkSession.sparkContext.broadcast(_bitmap(shared, "token"))
-
-    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens = batch.column(3).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(_held(held.value, tokens), pa.bool_()))
-
-    return placed.select("node", "n", "rank", "token").mapInArrow(passed, "node bigint, n int, rank int, token bigint")
-
-
 def _possible(a: str, b: str, percent: int) -> Column:
     """Whether two sets, known by size and rank of a common token, can still be linked by it: their sizes are close, and
     what stands from the token on in each suffices."""
@@ -275,7 +263,7 @@ def _links(documents: DataFrame, pairs: DataFrame, nodes: DataFrame, settings: S
     # Each leader's set meets those of all its sets: the side with the leaders is the one with the fewer rows.
     first = met.join(lists.select(F.col("node").alias("a"), F.col("tokens").alias("own")), "a")
     rows = first.join(lists.select(F.col("node").alias("b"), F.col("tokens").alias("other")), "b")
-    return stored(rows.select("a", "b", "own", "other").mapInArrow(verified, "a bigint, b bigint"), "links")
+    return stored(rows.select("a", "b", "own", "other").mapInArrow(thrifty(verified), "a bigint, b bigint"), "links")
 
 
 def similar_components(
@@ -297,7 +285,10 @@ def similar_components(
     # Tokens of one set only link nothing.
     several = placed.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("token")
     several = stored(several, "shared-tokens")
-    rows_of = stored(_maybe_shared(placed, several).join(several, "token", "left_semi"), "shared-prefixes")
+    # A filter that the JVM looks up lets few rows of other tokens through.
+    bits = hash_filter(several, "token")
+    maybe = placed.select("node", "n", "rank", "token").where(may_hold(bits, F.col("token")))
+    rows_of = stored(maybe.join(several, "token", "left_semi"), "shared-prefixes")
     best = F.min(F.struct("rank", "node", "n")).alias("leader")
     leaders = stored(rows_of.groupBy("token").agg(best), "leaders")
     shared = rows_of.join(leaders, "token")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import bounded_batches, quoted, slices, stored, text_buffers
+from carebundle.llm.common import bounded_batches, quoted, slices, stored, text_buffers, thrifty
 from carebundle.llm.words import mixed, word_hashes
 
 SLICE = 1 << 19
@@ -174,7 +174,7 @@ def fit(
         )
 
     sums = (F.sum(name).alias(name) for name in ("raw", "target", "clean", "toxic"))
-    counts = marked.mapInArrow(counted, "bin int, raw bigint, target bigint, clean bigint, toxic bigint").groupBy("bin").agg(*sums)
+    counts = marked.mapInArrow(thrifty(counted), "bin int, raw bigint, target bigint, clean bigint, toxic bigint").groupBy("bin").agg(*sums)
     found = counts.toPandas()  # at most one row for each bin, and one
     raw, target, clean, toxic = np.zeros((4, settings.bins + 1))
     for values, name in ((raw, "raw"), (target, "target"), (clean, "clean"), (toxic, "toxic")):
@@ -194,7 +194,7 @@ def fit(
                 ["score", "worst", "good", "toxic"],
             )
 
-    scored = examples.mapInArrow(judged, "score double, worst double, good int, toxic int")
+    scored = examples.mapInArrow(thrifty(judged), "score double, worst double, good int, toxic int")
     scored = scored.where("score is not null").toPandas()  # bounded by the labels
     # Toxic texts can look as good as others: each cut is learned from what it can tell apart.
     looks = scored[scored["toxic"].fillna(0) == 0]
@@ -278,7 +278,7 @@ def resample(
         quoted(id_column).alias("doc_id"), F.xxhash64(quoted(text_column)).alias("text_hash"), quoted(text_column).alias("text")
     )
     kind = documents.schema[id_column].dataType.simpleString()
-    scores = rows.mapInArrow(scored, f"doc_id {kind}, text_hash bigint, importance double, toxicity double")
+    scores = rows.mapInArrow(thrifty(scored), f"doc_id {kind}, text_hash bigint, importance double, toxicity double")
     uniform = (F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(settings.seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     noise = -F.log(-F.log(uniform))
     keyed = stored(scores.withColumn("key", F.col("importance") / settings.temperature + noise), "importances")
