@@ -13,6 +13,31 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def similar_components_sql(width: int, percent: int) -> str:
+    """Shingles that two documents share, links among them, and the smallest document that links lead to."""
+    shingle = " || ' ' || ".join(f"words[i + {k}]" for k in range(width))
+    return rf"""
+        with recursive rows as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^ 	-]+') as words from documents),
+        sets as (
+            select doc_id, list_distinct(case when len(words) >= {width}
+                then list_transform(range(1, len(words) - {width - 2}), lambda i: {shingle})
+                when len(words) > 0 then [array_to_string(words, ' ')] else [] end) as shingles from rows),
+        shingle as (select doc_id, unnest(shingles) as shingle from sets),
+        shared as (
+            select a.doc_id as a, b.doc_id as b, count(*) as n
+            from shingle a join shingle b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+        link as (
+            select a, b from shared join sets x on a = x.doc_id join sets y on b = y.doc_id
+            where 100 * n >= {percent} * (len(x.shingles) + len(y.shingles) - n)),
+        edge as (select a, b from link union all select b, a from link),
+        reached as (select doc_id as a, doc_id as b from sets union select r.a, s.b from reached r join edge s on r.b = s.a)
+        select doc_id, len(shingles)::bigint as n_shingles, component_id
+        from sets join (select a as doc_id, min(b) as component_id from reached group by a) using (doc_id)"""
+
+
 def license_scan_sql() -> str:
     """Joins of words with the templates: rare words by document counts, votes for beginnings, phrases and words around."""
     settings = license_scan.Settings()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from carebundle.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, license_scan, lm_score, ngram_join, periodic_runs, quality, target_sampling, token_counts, tool_calls
 from carebundle.llm.common import table
-from carebundle.llm.oracles import license_scan_sql, target_sampling_sql
+from carebundle.llm.oracles import license_scan_sql, similar_components_sql, target_sampling_sql
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -51,7 +51,7 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    held_out = language_id.fold(F.col("doc_id"), 4) == 2
+    held_out = F.coalesce(language_id.fold(F.col("doc_id"), 4) == 2, F.lit(True))  # nothing is learned from a null id
     labelled = documents.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
     model = language_id.train(labelled.select(F.col("doc_id").alias("id"), "text", "lang"))
     predicted = language_id.predict(documents, model)
@@ -96,6 +96,7 @@ SQL: dict[str, str] = {
             select bare, count(*) as group_size, arg_min(doc_id, (-n, doc_id)) as keep_id from rows group by bare)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256
         from rows join best using (bare)""",
+    "op4_ngram_join": similar_components_sql(3, 90),
     "op11_license_scan": license_scan_sql(),
     "op13_target_sampling": target_sampling_sql(),
 }

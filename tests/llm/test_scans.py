@@ -234,7 +234,7 @@ def test_no_python_in_the_licence_scan(documents):
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
 
 
-@pytest.mark.parametrize("name", ["op11_license_scan", "op13_target_sampling"])
+@pytest.mark.parametrize("name", ["op4_ngram_join", "op11_license_scan", "op13_target_sampling"])
 def test_against_sql(spark, name):
     connection = duckdb.connect()
     for table in ("documents", "benchmark"):

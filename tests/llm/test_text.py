@@ -259,3 +259,85 @@ def test_broken_markup():
     assert _text(f"<p>{_LONG} 1 < 2 and 3</p>") == f"{_LONG} 1 < 2 and 3"
     assert _text(f"<p>{_LONG}</p><script>if (a < b) document.write('<p>no</p>')</SCRIPT ><!-- <p>no</p> --><p>{_LONG}!") == f"{_LONG} {_LONG}!"
     assert _text(f"<p>{_LONG}</p><script>var x") == _LONG
+
+
+# --- language model, against a plain version ------------------------------------------------------------------
+
+
+def _plain_model(rows, settings):
+    """Scores of (text, training, fold) by plain counts, expectation-maximisation and mixtures."""
+    spaced = re.compile(r"[^\x20\x09-\x0D]+")
+    texts = [[*spaced.findall((text or "").translate(LOWER)), None] for text, _, _ in rows]  # None is the end
+
+    def counted(wanted):
+        ones, twos = Counter(), Counter()
+        for words, row in zip(texts, rows, strict=True):
+            if wanted(row):
+                ones.update(words)
+                twos.update(zip(["<start>", *words], words))
+        ones["<start>"] = ones[None]  # every text has one start and one end
+        return ones, twos
+
+    ones, twos = counted(lambda row: row[1])
+    n, types = sum(c for w, c in ones.items() if w != "<start>"), sum(1 for w, c in ones.items() if c and w != "<start>")
+    held_ones, held_twos = counted(lambda row: row[2])
+    n_held = sum(c for w, c in held_ones.items() if w != "<start>")
+    bucket = lambda c: min(c.bit_length(), lm_score.BUCKETS - 1)
+    rounded = lambda x: 2.0 ** (-min(round(-4 * math.log2(x)), lm_score.MOST - 1) / 4) if x > 0 else 0.0
+    cells = Counter()
+    for words, row in zip(texts, rows, strict=True):
+        if row[2]:
+            for before, word in zip(["<start>", *words], words):
+                context = ones[before] - held_ones[before]
+                second = (twos[before, word] - held_twos[before, word]) / max(context, 1)
+                first = (ones[word] - held_ones[word]) / max(n - n_held, 1)
+                cells[bucket(context), rounded(second), rounded(first)] += 1
+    weights = [[1 / 3] * 3 for _ in range(lm_score.BUCKETS)]
+    for _ in range(settings.iterations):
+        totals = [[1e-3] * 3 for _ in range(lm_score.BUCKETS)]
+        for (b, second, first), count in cells.items():
+            joint = [w * p for w, p in zip(weights[b], (second, first, 1 / (types + 1)), strict=True)]
+            for k in range(3):
+                totals[b][k] += count * joint[k] / sum(joint)
+        weights = [[x / sum(row) for x in row] for row in totals]
+    weights[0] = [0, *(x / sum(weights[0][1:]) for x in weights[0][1:])]
+    scores = []
+    for words in texts:
+        score = 0.0
+        for before, word in zip(["<start>", *words], words):
+            w = weights[bucket(ones[before])]
+            score += math.log10(w[0] * twos[before, word] / max(ones[before], 1) + w[1] * ones[word] / n + w[2] / (types + 1))
+        scores.append(score)
+    return scores
+
+
+def test_model_scores_against_a_plain_version(documents, prose):
+    rows = [(k, prose(k % 70, 20 + k % 50)) for k in range(300)] + [(400, None), (401, ""), (402, "Only UNSEEN wörds ß")]
+    table = documents(rows)
+    settings = lm_score.Settings(held_out_batches=4)
+    training = F.col("doc_id") % 5 != 1
+    found = {r.doc_id: r.score for r in lm_score.lm_scores(table, training, settings).collect()}
+    batches = 4  # the fewest there are, as the texts are short
+    batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
+    folds = {r.doc_id: (r.t, r.t and r.b == 0) for r in table.select("doc_id", training.alias("t"), batch.alias("b")).collect()}
+    plain = _plain_model([(text, *folds[i]) for i, text in rows], settings)
+    for (i, _), score in zip(rows, plain, strict=True):
+        assert math.isclose(found[i], score, rel_tol=1e-6), (i, found[i], score)
+
+
+def test_language_of_a_null_id_is_held_out(spark, tmp_path, prose):
+    rows = [(k, prose(k, 30, lang), lang) for k in range(80) for lang in ("en", "fr")] + [(None, prose(1, 30), "en"), (None, None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    from carebundle.llm import queries
+
+    found = queries.op8_language_id(spark, str(tmp_path)).collect()
+    assert {r.held_out for r in found if r.doc_id is None} == {True} and len(found) == len(rows)
+    assert {r.held_out for r in found} == {True, False}
+
+
+def test_languages_that_tie(spark, documents):
+    """Two languages learned from the same texts: every prediction is one of them, and always the same one."""
+    rows = [(k, "aba cada aba", lang) for k in range(20) for lang in ("xx", "yy")]
+    model = language_id.train(spark.createDataFrame(rows, "id bigint, text string, lang string"))
+    found = language_id.predict(documents([(k, "aba cada") for k in range(30)]), model).collect()
+    assert len({(r.lang_pred, r.score) for r in found}) == 1 and found[0].lang_pred in ("xx", "yy")
