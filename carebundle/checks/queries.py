@@ -212,16 +212,33 @@ def number_copies(spark: SparkSession, folder: str) -> DataFrame:
     return copies.number_copies(lines, chunk=1000)
 
 
-def _target(spark: SparkSession, folder: str) -> Bundle:
-    """The target tables over a source that is stored once, since some of its tables feed several of them."""
-    source = Star(spark, folder).bundle()
+# What counting rows, and what comparing ids, reads of each source table; all of a table that is not named.
+COUNTED = {"patients": ["first"], "encounters": [], "conditions": list(CODES), "procedures": list(CODES)}
+COMPARED = {
+    "patients": ["id", "first", "gender"],
+    "encounters": ["id", "patient", "provider", "organization"],
+    "conditions": ["encounter", "patient"],
+    "procedures": ["encounter", "patient"],
+}
+
+
+def _target(spark: SparkSession, folder: str, read: dict[str, list[str]]) -> Bundle:
+    """The target tables over a source that is stored once, since some of its tables feed several of them.  Columns that
+    nobody is going to read are null there, so no join is made and nothing is stored for them."""
+    star = Star(spark, folder)
+    source = {}
+    for name, whole in star.bundle().items():
+        columns = [column for column in whole.columns if column in read.get(name, whole.columns)]
+        frame = getattr(star, name)(columns) if name in read else whole
+        nulls = {column: F.lit(None).cast("string") for column in whole.columns if column not in columns}
+        source[name] = frame.withColumns(nulls).select(whole.columns)
     cache = supply.SupplyCache(spark, storage.new_folder(spark, "source"))
-    return convert.convert(cache.bundle("source", list(source), lambda: source), ROW_IDS)
+    return convert.convert(cache.bundle("source", list(source), lambda: Bundle(source)), ROW_IDS)
 
 
 @query
 def convert_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return _target(spark, folder).counts()
+    return _target(spark, folder, COUNTED).counts()
 
 
 # --- bundle operators --------------------------------------------------------------------------------------
@@ -604,7 +621,7 @@ def key_collisions(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
     """References that stop leading anywhere when the persons of unknown gender are missing."""
-    target = _target(spark, folder)
+    target = _target(spark, folder, COMPARED)
     return audit.orphan_keys(target.replace(person=target["person"].where(F.col("gender_concept_id").isNotNull())))
 
 
