@@ -56,8 +56,8 @@ class Model:
     toxic_cut: float = np.inf
 
 
-def _shapes(data: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """A small number for the look of each word."""
+def _shapes(data: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """A small number for the look of each word; ``same`` tells which words stand in the text of the word before."""
     upper = np.concatenate([[0], np.cumsum((data - np.uint8(65)) < 26)])
     lower = np.concatenate([[0], np.cumsum((data - np.uint8(97)) < 26)])
     sign = np.concatenate([[0], np.cumsum((data > 32) & (data < 127) & ~(((data | 32) - np.uint8(97)) < 26) & ~((data - np.uint8(48)) < 10))])
@@ -65,7 +65,7 @@ def _shapes(data: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.nd
     final = data[last - 1]
     ending = np.where((final == 46) | (final == 44), 1, np.where((final > 32) & (final < 48) | (final > 90) & (final < 97) | (final == 63) | (final == 64) | (final == 124), 2, 0))
     repeated = np.zeros(len(hashes), np.int64)
-    repeated[1:] = hashes[1:] == hashes[:-1]
+    repeated[1:] = (hashes[1:] == hashes[:-1]) & same
     shouting = (n_upper >= 2) & (n_lower == 0)
     return (((ending * 2 + shouting) * 2 + repeated) * 4 + np.minimum(n_sign, 3)) * 3 + np.minimum((last - first) // 8, 2)
 
@@ -84,7 +84,7 @@ def features(data: np.ndarray, offsets: np.ndarray, bins: int) -> tuple[np.ndarr
     last = np.flatnonzero(~space & (behind | edges[1:])) + 1
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
     same = owner[1:] == owner[:-1]
-    shapes = mixed(_shapes(own, first, last, hashes).astype(np.uint64), 7)
+    shapes = mixed(_shapes(own, first, last, hashes, same).astype(np.uint64), 7)
     found, texts = [], []
     for kind, codes in enumerate((hashes, shapes)):
         pairs = mixed(codes[:-1] * np.uint64(31) + codes[1:], 11 + kind)[same]
