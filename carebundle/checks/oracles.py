@@ -613,7 +613,7 @@ select l_returnflag, l_linestatus, row_number() over (partition by l_returnflag,
         ),
         "group_count": counts_by_type,
         "group_count_sql": counts_by_type,
-        "preview_limit": "select count(*) as n from (select p_brand from part limit 10)",
+        "preview_limit": "select count(*) as n, count(*) as n_known, count(*) as n_different from (select p_brand from part limit 10)",
         "dedupe_codes": _with(("conditions",), "select code, min(description) as description from conditions group by code"),
         "key_collisions": _with(
             ("person",),

@@ -594,9 +594,12 @@ def group_count_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def preview_limit(spark: SparkSession, folder: str) -> DataFrame:
-    """A preview holds ten rows; which ones is up to the scan."""
-    preview = concepts.preview(tables.read_concepts(spark, f"{folder}/part.parquet"), "p_brand")
-    return preview.agg(F.count(F.lit(1)).alias("n"))
+    """A preview holds ten rows, each one of the table's; which ones is up to the scan."""
+    table = tables.read_concepts(spark, f"{folder}/part.parquet")
+    preview = concepts.preview(table, "p_partkey", "p_brand")
+    known = preview.join(table.select("p_partkey", "p_brand"), ["p_partkey", "p_brand"], "left_semi")
+    counted = known.agg(F.count(F.lit(1)).alias("n_known"), F.countDistinct("p_partkey").alias("n_different"))
+    return counted.withColumn("n", preview.agg(F.count(F.lit(1))).scalar())
 
 
 @query

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carebundle.bundle import Bundle
 from carebundle.functions.keys import row_hash
 from carebundle.operators.columns import add_missing_columns, quoted
+from carebundle.schema import primary_key
 
 STAMPS = ("insert_datetime", "update_datetime", "delete_datetime", "change_datetime")
 INSERTED, UPDATED, DELETED, UNCHANGED = "inserted", "updated", "deleted", "unchanged"
@@ -77,6 +79,20 @@ def merge_changes(
     return merged.unionByName(past.select(*map(quoted, [*columns, *STAMPS]), F.lit(PAST).alias("change")))
 
 
+def merge_bundle(versions: Bundle, incoming: Bundle, at: Column, complete: bool = True) -> Bundle:
+    """The versions of all tables after an incoming bundle, each merged by the key of its schema.  A table that has no versions
+    yet begins with the incoming rows; one that does not come in stays as it is.  A table without its key column is an
+    error, before anything runs."""
+    keyless = [name for name, frame in incoming.items() if primary_key(name) not in frame.columns]
+    if keyless:
+        raise ValueError(f"tables without their key: {', '.join(keyless)}")
+    merged = {
+        name: merge_changes(versions[name] if name in versions else frame.limit(0), frame, primary_key(name), at, complete)
+        for name, frame in incoming.items()
+    }
+    return Bundle({**versions, **merged})
+
+
 def current_rows(versions: DataFrame) -> DataFrame:
     """The rows of the open versions, without stamps and change."""
     rows = versions.where(F.col("delete_datetime").isNull())

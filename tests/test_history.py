@@ -94,6 +94,20 @@ def test_changes_shuffle_each_side_once(spark):
     assert plan.count("Exchange") == 2 and plan.count("SortMergeJoin") == 1
 
 
+def test_changes_of_a_whole_bundle(spark, source):
+    target = convert.convert(source, {"conditions": ["code", "start"], "procedures": ["date"]})
+    tables = Bundle({name: target[name] for name in ("person", "provider", "care_site", "visit_occurrence")})
+    first = changes.merge_bundle(Bundle({}), tables, _time(2001))
+    assert {r.change for frame in first.values() for r in frame.collect()} == {"inserted"}
+    stored = Bundle({name: frame.drop("change") for name, frame in first.items()})
+    person = tables["person"].withColumn("gender_concept_id", F.lit(8507).cast("bigint"))
+    later = changes.merge_bundle(stored, Bundle({"person": person, "provider": tables["provider"].limit(0)}), _time(2002))
+    assert Counter(r.change for r in later["person"].collect()) == {"replaced": 2, "updated": 2, "unchanged": 1}
+    assert {r.change for r in later["provider"].collect()} == {"deleted"} and "change" not in later["care_site"].columns
+    with pytest.raises(ValueError, match="person"):
+        changes.merge_bundle(stored, Bundle({"person": person.drop("person_id")}), _time(2003))
+
+
 # --- repaired keys -------------------------------------------------------------------------------------------
 
 
