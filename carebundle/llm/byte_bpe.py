@@ -74,6 +74,14 @@ class BitmapQueue:
         return self.buckets.pop(rank)
 
 
+def cuts_at_spaces(pattern: str) -> bool:
+    """Whether a space between two characters that are no white space always begins a match of a pattern: each of its
+    alternatives has a space at most in front, as one that may be left out, or is white space only.  Patterns of any other
+    form count as not having this property."""
+    own = re.compile(r"(?: \?)?(?:'\w+|\\p\{\w+\}\+|\[\^\\s(?:\\p\{\w+\})*\]\+)")
+    return all(part in (r"\s+(?!\S)", r"\s+") or own.fullmatch(part) for part in pattern.split("|"))
+
+
 class Encoder:
     """Encodes and decodes by the ranks of tokens; keeps the ids of words it has met, up to a bound."""
 
@@ -85,6 +93,7 @@ class Encoder:
             self.tokens[rank] = token
         explicit = pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]")
         self.pattern = regex.compile(explicit)
+        self.by_words = cuts_at_spaces(pattern)
         self.byte_ids = np.array([ranks[bytes([byte])] for byte in range(256)], np.int64)
         pairs = {}
         for token, rank in ranks.items():
@@ -226,11 +235,12 @@ class Encoder:
         """The ids of each text, little-endian 32-bit.
 
         Before a space with no white space on either side always begins a pre-token, so what lies between such spaces is
-        looked up as one word.  Texts with other spaces are cut by the pattern alone."""
+        looked up as one word.  Texts with other spaces, and those of a pattern for which this may not be so, are cut by the
+        pattern alone."""
         if len(self.words) + len(self.pieces) > CACHE_ENTRIES:
             self.words.clear()
             self.pieces.clear()
-        plain = [None if _ODD.search(text) else text.split(" ") for text in texts]
+        plain = [None if not self.by_words or _ODD.search(text) else text.split(" ") for text in texts]
         unknown: set[str] = set()
         for words in plain:
             if words is not None:

@@ -22,7 +22,7 @@ WINDOW = 8
 MIN_COVERAGE = 0.5
 # From this share of an item's words inside windows equal word for word, the slots need not be consistent.
 MIN_LITERAL = 0.7
-# Items with fewer words never match.
+# Items with fewer words match whole texts only.
 MIN_WORDS = 3
 # Words and signs of units, in lower case.
 UNITS = (
@@ -133,6 +133,13 @@ def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, wi
     return sized.drop("hashes")
 
 
+def short_items(benchmark: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(words, item_id) of the items that are too short for windows; of items with the same words the smallest id."""
+    items = benchmark.select(quoted(id_column).alias("item_id"), quoted(text_column).alias("text"))
+    items = _with_words(items.where("text is not null"), "text").where(F.size("words").between(1, MIN_WORDS - 1))
+    return items.groupBy("words").agg(F.min("item_id").alias("item_id"))
+
+
 def contamination(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -151,7 +158,8 @@ def contamination(
     item that stand one after the other stay apart.  A part of an item is found from ``min_coverage`` of its words on
     (rounded down), but only in unbroken runs of ``window`` words.
 
-    Null and empty texts are clean; null, empty and two-word items match nothing; an empty benchmark leaves all clean.
+    Items of one or two words match texts that consist of these words.  Null and empty texts are clean; null and empty items
+    match nothing; an empty benchmark leaves all clean.
     Repeated rows give repeated rows, an empty table an empty one; other columns are not looked at.  Rows with the same id
     and text share their result, and of rows with the same id and different texts each has its own.
     """
@@ -222,6 +230,11 @@ def contamination(
     consistent = F.size(compared) == F.size(F.array_distinct(F.transform(compared, lambda p: p["item"])))
     judged = judged.where(consistent | (F.col("verbatim") >= MIN_LITERAL))
     judged = judged.withColumn("changed_slots", F.size(F.array_distinct(F.transform(changed, lambda p: p["item"]))).cast("bigint"))
+    judged = judged.select(*key, "item_id", "coverage", "changed_slots")
+    short = stored(short_items(benchmark, item_column, item_text_column), "short-items")
+    if not short.isEmpty():
+        whole = texts.where(F.size("words").between(1, MIN_WORDS - 1)).select(*key, "words").join(short, "words")
+        judged = judged.unionByName(whole.select(*key, "item_id", F.lit(1.0).alias("coverage"), F.lit(0).cast("bigint").alias("changed_slots")))
     best = judged.groupBy(*key).agg(
         F.min(F.struct((-F.col("coverage")).alias("c"), "changed_slots", "item_id")).alias("best")
     )

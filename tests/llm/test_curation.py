@@ -239,6 +239,13 @@ def test_what_follows_a_part_is_not_looked_at(judge):
     assert rows[1].contaminated and rows[2].contaminated and rows[2].changed_slots == 0
 
 
+def test_items_of_one_or_two_words(judge):
+    texts = [(1, "Two WORDS!"), (2, "two words more"), (3, "  single "), (4, "two"), (5, None), (6, "so two words")]
+    rows = judge(texts, ["two words", "Single", "", "?!", "two words"])
+    assert {i: r.item_id for i, r in rows.items() if r.contaminated} == {1: 0, 3: 1}
+    assert (rows[1].coverage, rows[1].changed_slots) == (1.0, 0)
+
+
 def test_odd_tables(judge, odd):
     assert len(judge(odd, [QUESTION])) == len(odd)
     assert not any(r.contaminated for r in judge(odd, []))

@@ -1,3 +1,4 @@
+import base64
 import math
 import random
 import re
@@ -341,3 +342,16 @@ def test_languages_that_tie(spark, documents):
     model = language_id.train(spark.createDataFrame(rows, "id bigint, text string, lang string"))
     found = language_id.predict(documents([(k, "aba cada") for k in range(30)]), model).collect()
     assert len({(r.lang_pred, r.score) for r in found}) == 1 and found[0].lang_pred in ("xx", "yy")
+
+
+# --- other patterns of pre-tokens ----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("pattern", [public_tokenizers.PATTERN, r"(?s).{1,7}", r"\S+ \S+|\s+|\S+", r"\p{L}+ ?|[^\p{L}]+"])
+def test_patterns_that_do_not_cut_at_spaces(documents, prose, pattern):
+    ranks = byte_bpe.read_ranks(RANKS)
+    assert byte_bpe.cuts_at_spaces(pattern) == (pattern == public_tokenizers.PATTERN)
+    own = byte_bpe.Encoder({base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines())}, pattern)
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=own.ranks, special_tokens={})
+    texts = [prose(1, 60), "a b  c\n d", " lead and trail ", "it's we'll x1 2y"]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode(texts)] == [library.encode_ordinary(text) for text in texts]
