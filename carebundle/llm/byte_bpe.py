@@ -34,7 +34,7 @@ _ODD = re.compile(r"\s | \s|\A\s|\s\Z")
 CACHE_ENTRIES = 250_000
 LONG_BYTES = 256
 BLOCK = 1 << 16
-TEXT_BATCH = 2 << 20
+TEXT_BATCH = 1 << 20
 
 
 class BitmapQueue:
