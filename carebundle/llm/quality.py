@@ -7,8 +7,9 @@ learned from labels; which ones, Gumbel noise on the importances decides, so sam
 and stays without replacement.  A low temperature leaves only texts near the cut to chance.
 
 A few toxic words vanish in the mean of a long text, so toxicity is judged by a text's worst window: labels give each hashed
-word the log-ratio of the shares of toxic and of clean texts that have it, as far as the counts are sure of it, and the
-largest sum over a window of words must stay below a cut of its own.
+word, and each beginning of words, as words are inflected, the log-ratio of its frequencies in toxic and in clean texts, as
+far as the counts are sure of it.  A word weighs as its worst feature, and the largest sum over a window of words must stay
+below a cut of its own.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from carebundle.llm.common import bounded_batches, quoted, slices, stored, text_
 from carebundle.llm.words import mixed, word_hashes
 
 SLICE = 1 << 19
+# Bytes of the beginnings of words that count for toxicity beside the words themselves; at most eight.
+BEGINNINGS = (5, 7)
+KINDS = 1 + len(BEGINNINGS)
 
 
 @dataclass(frozen=True)
@@ -52,7 +56,7 @@ class Model:
     log_ratio: np.ndarray
     cut: float
     settings: Settings
-    toxicity: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    toxicity: np.ndarray = field(default_factory=lambda: np.zeros(KINDS))
     toxic_cut: float = np.inf
 
 
@@ -70,18 +74,22 @@ def _shapes(data: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.nd
     return (((ending * 2 + shouting) * 2 + repeated) * 4 + np.minimum(n_sign, 3)) * 3 + np.minimum((last - first) // 8, 2)
 
 
-def features(data: np.ndarray, offsets: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bins of all features of some texts, and the text each belongs to."""
-    hashes, firsts = word_hashes(data, offsets)
-    if not len(hashes):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of some texts, and where their words begin and end in them."""
     own = data[offsets[0] : offsets[-1]]
     space = (own == 32) | ((own - np.uint8(9)) < 5)
     edges = np.zeros(len(own) + 1, bool)
     edges[offsets - offsets[0]] = True
     before, behind = np.concatenate([[True], space[:-1]]), np.concatenate([space[1:], [True]])
-    first = np.flatnonzero(~space & (before | edges[:-1]))
-    last = np.flatnonzero(~space & (behind | edges[1:])) + 1
+    return own, np.flatnonzero(~space & (before | edges[:-1])), np.flatnonzero(~space & (behind | edges[1:])) + 1
+
+
+def features(data: np.ndarray, offsets: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bins of all features of some texts, and the text each belongs to."""
+    hashes, firsts = word_hashes(data, offsets)
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    own, first, last = _word_places(data, offsets)
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
     same = owner[1:] == owner[:-1]
     shapes = mixed(_shapes(own, first, last, hashes, same).astype(np.uint64), 7)
@@ -94,11 +102,32 @@ def features(data: np.ndarray, offsets: np.ndarray, bins: int) -> tuple[np.ndarr
     return np.concatenate(found), np.concatenate(texts)
 
 
-def word_bins(data: np.ndarray, offsets: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bins of the words of some texts in order, and the text each belongs to."""
+def word_slots(data: np.ndarray, offsets: np.ndarray, bins: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each word of some texts in order, in lower case, its own slot and those of its beginnings, -1 where it is shorter;
+    and the text each belongs to.  Slots of different kinds are apart."""
     hashes, firsts = word_hashes(data, offsets)
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
-    return (mixed(hashes, 1) >> np.uint64(20)).astype(np.int64) % bins, owner
+    slots = [(mixed(hashes, 1) >> np.uint64(20)).astype(np.int64) % bins]
+    if not len(hashes):
+        return slots * (1 + len(BEGINNINGS)), owner
+    own, first, last = _word_places(data, offsets)
+    lower = own | (((own - np.uint8(65)) < 26).astype(np.uint8) << np.uint8(5))
+    padded = np.concatenate([lower, np.zeros(8, np.uint8)])
+    for kind, size in enumerate(BEGINNINGS, 1):
+        packed = np.zeros(len(first), np.uint64)
+        for k in range(size):
+            packed = packed << np.uint64(8) | padded[first + k]
+        codes = (mixed(packed, 40 + size) >> np.uint64(20)).astype(np.int64) % bins + kind * bins
+        slots.append(np.where(last - first >= size, codes, -1))
+    return slots, owner
+
+
+def _weights(slots: list[np.ndarray], toxicity: np.ndarray) -> np.ndarray:
+    """The weight of each word: that of its worst feature."""
+    worst = np.zeros(len(slots[0]))
+    for kind in slots:
+        worst = np.maximum(worst, np.where(kind >= 0, toxicity[kind], 0.0))
+    return worst
 
 
 def _worst(weights: np.ndarray, owner: np.ndarray, texts: int, window: int) -> np.ndarray:
@@ -122,8 +151,8 @@ def _scores(column: pa.Array, log_ratio: np.ndarray, toxicity: np.ndarray, windo
         total = np.bincount(texts, log_ratio[found], high - low)
         count = np.bincount(texts, minlength=high - low)
         means += [float(t / n) if n else None for t, n in zip(total, count, strict=True)]
-        words, owner = word_bins(data, offsets[low : high + 1], len(toxicity))
-        worst += _worst(toxicity[words], owner, high - low, window).tolist()
+        words, owner = word_slots(data, offsets[low : high + 1], len(toxicity) // KINDS)
+        worst += _worst(_weights(words, toxicity), owner, high - low, window).tolist()
     return means, worst
 
 
@@ -151,23 +180,22 @@ def fit(
     marked = rows.join(sample, rows["id"] == sample["labelled"], "left").select("text", "good", "toxic")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Features of all texts and of good ones; clean and toxic texts that have a word; at last how many these are.
-        totals = np.zeros((4, settings.bins + 1), np.int64)
+        # Features of all texts and of good ones in the first slots; words and beginnings in clean and toxic texts.
+        totals = np.zeros((4, KINDS * settings.bins), np.int64)
         for batch in batches:
             data, offsets = text_buffers(batch.column(0))
             good = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False) == 1
             toxic = batch.column(2).fill_null(-1).to_numpy(zero_copy_only=False)
             for low, high in slices(offsets, SLICE):
                 found, texts = features(data, offsets[low : high + 1], settings.bins)
-                totals[0, :-1] += np.bincount(found, minlength=settings.bins)
-                totals[1, :-1] += np.bincount(found[good[low:high][texts]], minlength=settings.bins)
+                totals[0, : settings.bins] += np.bincount(found, minlength=settings.bins)
+                totals[1, : settings.bins] += np.bincount(found[good[low:high][texts]], minlength=settings.bins)
                 if (toxic[low:high] >= 0).any():
-                    words, owner = word_bins(data, offsets[low : high + 1], settings.bins)
-                    pairs = np.unique(owner * settings.bins + words)
-                    kind = toxic[low:high][pairs // settings.bins]
-                    for k in (0, 1):
-                        totals[2 + k, :-1] += np.bincount(pairs[kind == k] % settings.bins, minlength=settings.bins)
-                        totals[2 + k, -1] += (toxic[low:high] == k).sum()
+                    words, owner = word_slots(data, offsets[low : high + 1], settings.bins)
+                    kind = toxic[low:high][owner]
+                    for slots in words:
+                        for k in (0, 1):
+                            totals[2 + k] += np.bincount(slots[(kind == k) & (slots >= 0)], minlength=totals.shape[1])
         used = np.flatnonzero(totals.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int32()), *(pa.array(row[used]) for row in totals)], ["bin", "raw", "target", "clean", "toxic"]
@@ -175,14 +203,14 @@ def fit(
 
     sums = (F.sum(name).alias(name) for name in ("raw", "target", "clean", "toxic"))
     counts = marked.mapInArrow(thrifty(counted), "bin int, raw bigint, target bigint, clean bigint, toxic bigint").groupBy("bin").agg(*sums)
-    found = counts.toPandas()  # at most one row for each bin, and one
-    raw, target, clean, toxic = np.zeros((4, settings.bins + 1))
+    found = counts.toPandas()  # at most one row for each bin of each kind
+    raw, target, clean, toxic = np.zeros((4, KINDS * settings.bins))
     for values, name in ((raw, "raw"), (target, "target"), (clean, "clean"), (toxic, "toxic")):
         values[found["bin"]] = found[name]
     toxicity = _toxic_ratio(toxic, clean, settings.sure)
     if not target.sum():
         return Model(np.zeros(settings.bins), -np.inf, settings, toxicity)
-    logs = [np.log((n[:-1] + settings.smoothing) / (n[:-1] + settings.smoothing).sum()) for n in (target, raw)]
+    logs = [np.log((n[: settings.bins] + settings.smoothing) / (n[: settings.bins] + settings.smoothing).sum()) for n in (target, raw)]
     log_ratio = logs[0] - logs[1]
     examples = rows.join(sample, rows["id"] == sample["labelled"]).select("text", "good", "toxic")
 
@@ -205,13 +233,14 @@ def fit(
 
 
 def _toxic_ratio(toxic: np.ndarray, clean: np.ndarray, sure: float) -> np.ndarray:
-    """For each bin the log-ratio of the shares of toxic and of clean texts with a word of it, as far as it is surely above
-    0; the last entries are the numbers of texts."""
-    if not toxic[-1] or not clean[-1]:
-        return np.zeros(len(toxic) - 1)
-    at_least = np.maximum(toxic[:-1] - sure * np.sqrt(toxic[:-1]), 0)
-    at_most = clean[:-1] + sure * np.sqrt(clean[:-1])
-    return np.maximum(np.log((at_least + 1) / (toxic[-1] + 2)) - np.log((at_most + 1) / (clean[-1] + 2)), 0) * (at_least > 0)
+    """For each slot the log-ratio of its frequencies in toxic and in clean texts, as far as it is surely above 0."""
+    toxic, clean = toxic.reshape(KINDS, -1), clean.reshape(KINDS, -1)
+    if not toxic.any() or not clean.any():
+        return np.zeros(toxic.size)
+    at_least, at_most = np.maximum(toxic - sure * np.sqrt(toxic), 0), clean + sure * np.sqrt(clean)
+    sizes = [counts.sum(axis=1, keepdims=True) + counts.shape[1] for counts in (toxic, clean)]
+    ratio = np.log((at_least + 1) / sizes[0]) - np.log((at_most + 1) / sizes[1])
+    return np.where(at_least > 0, np.maximum(ratio, 0), 0.0).ravel()
 
 
 def _cut(scores: np.ndarray, good: np.ndarray, settings: Settings) -> float:
