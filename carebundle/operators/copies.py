@@ -31,7 +31,7 @@ def number_copies(frame: DataFrame, name: str = "copy", chunk: int = CHUNK) -> D
 
 
 def write_copies(counted: DataFrame, total: str, name: str = "copy", chunk: int = CHUNK) -> DataFrame:
-    """Each row as many times as its column ``total`` says, numbered from 1; that column goes.
+    """Each row as many times as its column ``total`` says, numbered from 1; that column goes.  Null and less than 1 is never.
 
     The rows are read twice, so what is costly to compute should be stored or end in a shuffle.
     """
@@ -40,7 +40,7 @@ def write_copies(counted: DataFrame, total: str, name: str = "copy", chunk: int
     # to choose: the number of tasks is given.
     tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part, copies = _free("chunk", [*counted.columns, name]), F.col(quoted(total))
-    few = counted.where(copies <= chunk).select(
+    few = counted.where((copies >= 1) & (copies <= chunk)).select(
         *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias(name)
     )
     first = F.col(part) * chunk + 1
