@@ -15,7 +15,7 @@ from carebundle.bundle import Bundle
 from carebundle.functions import keys, parse
 from carebundle.operators.columns import quoted
 from carebundle.sources.literal import literal_frame
-from carebundle.sources.storage import new_folder
+from carebundle.sources.storage import for_each, new_folder
 
 MALFORMED, MISSING = "malformed", "missing"
 REJECTIONS = "rejections"
@@ -137,3 +137,19 @@ def quarantine(frame: DataFrame, checks: Checks, path: str | None = None) -> Qua
         {pair: found[label] for pair, label in labels.items() if found[label]},
         found["rows"],
     )
+
+
+def quarantine_bundle(
+    bundle: Bundle, checks: Mapping[str, Checks] | None = None, path: str | None = None
+) -> tuple[Bundle, dict[str, Quarantine]]:
+    """The bundle with only the rows in order of the tables that have checks, and what was found in each of these.  A bounded
+    number of tables is written at a time, each in one pass; the others stay as they are."""
+    checks = SOURCE_CHECKS if checks is None else checks
+    names = [name for name in bundle if name in checks]
+    if not names:
+        return bundle, {}
+    spark = bundle[names[0]].sparkSession
+    root = (path or new_folder(spark, "quarantine")).rstrip("/")
+    split = for_each(spark, lambda name: quarantine(bundle[name], checks[name], f"{root}/{name}"), names)
+    found = dict(zip(names, split, strict=True))
+    return bundle.replace(**{name: own.accepted for name, own in found.items()}), found

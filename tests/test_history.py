@@ -164,6 +164,15 @@ def test_quarantine(spark, source, tmp_path):
     assert (empty.rows, empty.counts, empty.accepted.count(), empty.rejected.count()) == (0, {}, 0, 0)
 
 
+def test_quarantine_of_a_bundle(source):
+    clean, found = rejects.quarantine_bundle(source)
+    assert set(found) == set(rejects.SOURCE_CHECKS) and clean["patients"].count() == 2
+    assert {name: own.rejected.count() for name, own in found.items() if own.counts} == {"patients": 1, "encounters": 1}
+    assert rejects.rejected_rows(clean).count() == 0
+    assert convert.convert(clean)["visit_occurrence"].count() == 1
+    assert rejects.quarantine_bundle(source, {}) == (source, {})
+
+
 def test_required_columns(spark):
     frame = spark.createDataFrame([(None, "1"), ("x", None), ("2", "b")], "a string, b string")
     checks = rejects.Checks({"a": lambda c: c.try_cast("int"), "absent": lambda c: c}, ["a", "b"])
