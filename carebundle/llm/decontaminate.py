@@ -62,32 +62,42 @@ def _is_slot(word: Column) -> Column:
     return word.startswith("<")
 
 
-def window_hashes(words: Column, templates: Column, size: int) -> Column:
-    """The hashes of all windows of a size: of templates where at least half of the window is literal."""
+def codes(words: Column) -> Column:
+    """A hash of each word: windows then hash eight numbers and not eight texts."""
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
+def _starts(words: Column, size: int) -> Column:
+    """Where the windows of a size begin, from 1."""
     count = F.size(words) - size + 1
-    starts = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+    return F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+
+
+def _plain_hashes(numbers: Column, size: int) -> Column:
+    """The hashes of all windows of a size, from the codes of the words."""
+    return F.transform(_starts(numbers, size), lambda i: F.xxhash64(F.lit(size), F.slice(numbers, i, size)))
+
+
+def window_hashes(words: Column, templates: Column, size: int) -> Column:
+    """The hashes of all windows of a size: of templates where at least half of the window is literal.  For the short texts
+    of a benchmark: the codes of a window are made where it is."""
 
     def mixed(i: Column) -> Column:
         own = F.slice(templates, i, size)
         general = F.size(F.filter(own, _is_slot)) * 2 > size
-        return F.xxhash64(F.lit(size), F.when(general, F.slice(words, i, size)).otherwise(own))
-
-    plain = F.transform(starts, lambda i: F.xxhash64(F.lit(size), F.slice(words, i, size)))
-    return F.when(F.exists(templates, _is_slot), F.transform(starts, mixed)).otherwise(plain)
+        return F.xxhash64(F.lit(size), codes(F.when(general, F.slice(words, i, size)).otherwise(own)))
 
+    return F.transform(_starts(words, size), mixed)
 
-def _plain_hashes(words: Column, size: int) -> Column:
-    return window_hashes(words, F.array().cast("array<string>"), size)
 
-
-def text_hashes(words: Column, templates: Column, size: int) -> Column:
-    """Arrays of the one or two hashes of each window: of its words and of its template.  Templates that are too general
-    meet nothing, as the benchmark has none."""
+def text_hashes(word_codes: Column, template_codes: Column, slots: Column, size: int) -> Column:
+    """Arrays of the one or two hashes of each window: of its words and, in a text with slots, of its template.  Templates that
+    are too general meet nothing, as the benchmark has none."""
     both = F.zip_with(
-        _plain_hashes(words, size), _plain_hashes(templates, size), lambda x, y: F.when(x == y, F.array(x)).otherwise(F.array(x, y))
+        _plain_hashes(word_codes, size), _plain_hashes(template_codes, size), lambda x, y: F.when(x == y, F.array(x)).otherwise(F.array(x, y))
     )
-    alone = F.transform(_plain_hashes(words, size), lambda x: F.array(x))
-    return F.when(F.exists(templates, _is_slot), both).otherwise(alone)
+    alone = F.transform(_plain_hashes(word_codes, size), lambda x: F.array(x))
+    return F.when(slots, both).otherwise(alone)
 
 
 def _covered(starts: Column, size: Column) -> Column:
@@ -169,11 +179,13 @@ def contamination(
     sizes = [row["size"] for row in items.select("size").distinct().collect()]  # at most `window` numbers
     wanted = stored(items.select("hash").distinct(), "benchmark-hashes")
     texts = _with_words(rows, "text")
+    coded = texts.select(
+        "doc_id", "text_hash", F.exists("templates", _is_slot).alias("slots"), codes(F.col("words")).alias("word_codes"), codes(F.col("templates")).alias("template_codes")
+    )
     found = None
     for size in sorted(sizes) or [window]:
-        at = texts.select(
-            "doc_id", "text_hash", F.posexplode(text_hashes(F.col("words"), F.col("templates"), size)).alias("at", "hashes")
-        )
+        hashes = text_hashes(F.col("word_codes"), F.col("template_codes"), F.col("slots"), size)
+        at = coded.select("doc_id", "text_hash", F.posexplode(hashes).alias("at", "hashes"))
         at = at.select("doc_id", "text_hash", "at", F.explode("hashes").alias("hash"))
         hits = at.join(wanted, "hash", "left_semi")
         found = hits if found is None else found.unionByName(hits)
