@@ -34,7 +34,7 @@ _ODD = re.compile(r"\s | \s|\A\s|\s\Z")
 CACHE_ENTRIES = 250_000
 LONG_BYTES = 256
 BLOCK = 1 << 16
-TEXT_BATCH = 1 << 20
+TEXT_BATCH = 2 << 20
 
 
 class BitmapQueue:
@@ -282,13 +282,13 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-def _coder(raw: bytes, pattern: str, decode: bool):
+def _coder(raw: bytes, pattern: str, decode: bool, batch_bytes: int):
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(raw, pattern)
         for batch in batches:
             column = batch.column(1)
             _, offsets = text_buffers(column)
-            for low, high in slices(offsets, TEXT_BATCH):
+            for low, high in slices(offsets, batch_bytes):
                 ids = own.encode([text or "" for text in column.slice(low, high - low).to_pylist()])
                 columns = [batch.column(0).slice(low, high - low), pa.array(ids, pa.binary())]
                 if decode:
@@ -300,18 +300,19 @@ def _coder(raw: bytes, pattern: str, decode: bool):
 
 def encode(
     documents: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text",
-    decode: bool = False,
+    decode: bool = False, batch_bytes: int = TEXT_BATCH,
 ) -> DataFrame:
     """One row per row: its id, ``ids`` (the token ids as little-endian unsigned 32-bit integers) and, with ``decode``,
     ``decoded`` (the bytes those ids stand for).
 
-    Every match of the pattern is encoded by itself, without special tokens.  Null and the empty text have no ids.
+    Every match of the pattern is encoded by itself, without special tokens.  About ``batch_bytes`` of texts are encoded
+    together: more take less time, fewer less memory.  Null and the empty text have no ids.
     Repeated rows give repeated rows, an empty table an empty one; other columns are not looked at.
     """
     rows = documents.select(quoted(id_column).alias("doc_id"), quoted(text_column).alias("text"))
     kind = documents.schema[id_column].dataType.simpleString()
     schema = f"doc_id {kind}, ids binary" + ", decoded binary" * decode
-    return rows.mapInArrow(thrifty(_coder(read_ranks(ranks_path), pattern, decode)), schema)
+    return rows.mapInArrow(thrifty(_coder(read_ranks(ranks_path), pattern, decode, batch_bytes)), schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id") -> DataFrame:

@@ -65,7 +65,8 @@ def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """A row of token counts and digests for each row; null counts as empty and has no tokens, texts of any length are encoded
     whole, repeated rows give repeated rows and null ids stay null.  Other columns are not looked at; an empty table gives
     an empty one."""
-    coded = byte_bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, decode=True)
+    # The heap of the stages before is still taken, so fewer texts are encoded together.
+    coded = byte_bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, decode=True, batch_bytes=1 << 20)
     return byte_bpe.digests(coded)
 
 
