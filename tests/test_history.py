@@ -321,6 +321,17 @@ def test_access_periods_at_every_time(spark):
     assert all(x[1] < y[0] for spans in apart.values() for x, y in zip(sorted(spans), sorted(spans)[1:]))
 
 
+def test_users_with_the_same_rights_share_their_periods(spark):
+    """Users 1 and 2 read two cohorts at the same times, user 3 a day longer."""
+    everyone = [(p, None, DAY(9)) for p in (1, 2, 3)]
+    grants = [(user, 10, DAY(0).date(), DAY(5 if user < 3 else 6).date()) for user in (1, 2, 3)]
+    bundle = _access_bundle(spark, {1: (10, everyone), 2: (10, everyone[:1])}, grants)
+    users, periods = access_all.shared_access_periods(bundle)
+    rights = {r.username: r.rights for r in users.collect()}
+    assert rights["u1"] == rights["u2"] != rights["u3"] and len(rights) == 3
+    assert periods.count() == 2 * 3 and access_all.access_periods(bundle).count() == 3 * 3
+
+
 # --- buckets -------------------------------------------------------------------------------------------------
 
 
