@@ -128,6 +128,23 @@ def test_repaired_keys(spark, bits):
     assert {tuple(r) for r in rekey.key_repairs(keyed, "key", ["n"], bits).collect()} == {tuple(r) for r in repairs.collect()}
 
 
+def test_more_rows_than_keys(spark):
+    """100 rows under 64 keys of 6 bits: new keys have more bits; the rows that keep theirs do not change."""
+    keyed = spark.range(100).select(F.col("id").alias("n"), surrogate_key("t", ["id"]).bitwiseAND(F.lit(63)).alias("key"))
+    repairs = rekey.key_repairs(keyed, "key", ["n"], 6)
+    fixed = rekey.with_repaired_keys(keyed, "key", ["n"], repairs).collect()
+    assert len(fixed) == len({r.key for r in fixed}) == 100 and all(0 <= r.key < 1 << 10 for r in fixed)
+    assert repairs.count() == 100 - keyed.select("key").distinct().count()
+    assert {tuple(r) for r in rekey.key_repairs(keyed, "key", ["n"], 6).collect()} == {tuple(r) for r in repairs.collect()}
+
+
+def test_as_many_rows_as_keys(spark):
+    """Every key of 6 bits is needed, and the last free ones are handed out in order."""
+    keyed = spark.range(64).select(F.col("id").alias("n"), surrogate_key("t", ["id"]).bitwiseAND(F.lit(63)).alias("key"))
+    fixed = rekey.with_repaired_keys(keyed, "key", ["n"], rekey.key_repairs(keyed, "key", ["n"], 6)).collect()
+    assert sorted(r.key for r in fixed) == list(range(64))
+
+
 def test_no_keys_to_repair(spark):
     empty = spark.createDataFrame([], "n bigint, key bigint")
     repairs = rekey.key_repairs(empty, "key", ["n"])
