@@ -65,12 +65,12 @@ def _references(name: str, columns: list[str], by_key: dict[str, str]) -> list[t
     return found
 
 
-def _known_keys(name: str, frame: DataFrame) -> DataFrame:
-    """(target, key) of a table, neither ever null: a missing key belongs to no target.  The join would otherwise put
-    a null filter on the key into the scan, and compute a derived key once more for it."""
+def _known_keys(number: int, name: str, frame: DataFrame) -> DataFrame:
+    """(target, key) of a table with a number, neither ever null: a missing key belongs to no target.  The join would otherwise
+    put a null filter on the key into the scan, and compute a derived key once more for it."""
     key = F.col("key")
     return frame.select(F.col(primary_key(name)).cast("bigint").alias("key")).select(
-        F.when(key.isNull(), "").otherwise(name).alias("target"), F.coalesce(key, F.lit(0)).alias("key")
+        F.when(key.isNull(), -1).otherwise(number).alias("target"), F.coalesce(key, F.lit(0)).alias("key")
     )
 
 
@@ -81,25 +81,22 @@ def orphan_keys(bundle: Bundle) -> DataFrame:
     compared, so a person with a third of all visits is one row in the join.
     """
     by_key = {primary_key(name): name for name, frame in bundle.items() if primary_key(name) in frame.columns}
-    used, targets = [], set()
+    used, references = [], []
     for name, frame in bundle.items():
-        references = _references(name, frame.columns, by_key)
-        if references:
-            items = ", ".join(f"'{column}', '{target}', cast({key} as bigint)" for column, target, key in references)
-            stacked = frame.selectExpr(f"stack({len(references)}, {items}) as (column_name, target, key)")
-            used.append(stacked.where("key is not null").select(F.lit(name).alias("table_name"), "*"))
-            targets.update(target for _, target, _ in references)
+        own = _references(name, frame.columns, by_key)
+        if own:
+            items = ", ".join(f"{len(references) + n}, cast({key} as bigint)" for n, (_, _, key) in enumerate(own))
+            used.append(frame.selectExpr(f"stack({len(own)}, {items}) as (reference, key)").where("key is not null"))
+            references += [(name, column, target) for column, target, _ in own]
     if not used:
         return _no_rows(bundle, "table_name string, column_name string, n bigint")
-    known = [_known_keys(name, bundle[name]) for name in bundle if name in targets]
-    counted = (
-        reduce(DataFrame.unionByName, used)
-        .groupBy("table_name", "column_name", "target", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    targets = [name for name in bundle if name in {target for _, _, target in references}]
+    known = [_known_keys(targets.index(name), name, bundle[name]) for name in targets]
+    # Numbers stand for the names until few rows are left.
+    to_target = F.array(*(F.lit(targets.index(target)) for _, _, target in references))
+    counted = reduce(DataFrame.unionByName, used).groupBy("reference", "key").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.withColumn("target", F.get(to_target, F.col("reference")))
     keys = reduce(DataFrame.unionByName, known).distinct()
-    return (
-        counted.join(keys, ["target", "key"], "left_anti")
-        .groupBy("table_name", "column_name")
-        .agg(F.sum("n").alias("n"))
-    )
+    orphans = counted.join(keys, ["target", "key"], "left_anti").groupBy("reference").agg(F.sum("n").alias("n"))
+    names = [F.get(F.array(*(F.lit(row[at]) for row in references)), F.col("reference")) for at in (0, 1)]
+    return orphans.select(names[0].alias("table_name"), names[1].alias("column_name"), "n")

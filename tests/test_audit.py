@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from carebundle.bundle import Bundle
 from carebundle.operators import access, audit
 from carebundle.plans.convert import convert
@@ -68,3 +70,13 @@ def test_references_are_counted_before_the_join(spark):
     assert _rows(orphans) == {("visit_occurrence", "person_id", 1000)}
     plan = orphans._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "partial_count(1)" in plan and "Cartesian" not in plan
+
+
+def test_names_are_not_shuffled(spark):
+    """References are counted and compared by numbers; the names are put to the few rows that come out."""
+    person = spark.range(3).select(F.col("id").alias("person_id"))
+    visit = spark.range(6).select(F.col("id").alias("visit_occurrence_id"), (F.col("id") % 4).alias("person_id"))
+    orphans = audit.orphan_keys(Bundle({"person": person, "visit_occurrence": visit}))
+    plan = orphans._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(reference" in plan and "Exchange hashpartitioning(table_name" not in plan
+    assert _rows(orphans) == {("visit_occurrence", "person_id", 1)}
