@@ -1,3 +1,6 @@
+from pathlib import Path
+
+from carebundle.checks.queries import QUERIES
 from carebundle.plans import convert
 from carebundle.streaming.append import append_converted, stream_csvs
 
@@ -24,3 +27,11 @@ def test_row_ids_let_events_stream(spark, source, tmp_path):
     stream = stream_csvs(spark, folder, costs.columns)
     append_converted(stream, lambda f: convert.to_costs(f, ["code"]), out, progress).awaitTermination()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_no_task_writes_a_whole_delivery(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"), "carebundle")
+    before = set(shared.glob("arrived-*"))
+    assert QUERIES["stream_concepts"](spark, "/root/testdata/sf0.01").count() == 60
+    (arrived,) = set(shared.glob("arrived-*")) - before
+    assert len(list(arrived.glob("*.parquet"))) >= 2 * 3
