@@ -40,21 +40,27 @@ _TOKEN = rf"{_NAME_MARK}?[\p{{L}}\p{{N}}]+(?:[.,]\p{{N}}+)*|[%$€£]"
 
 def tokens(text: Column, name_at: str = _NAME_AT) -> Column:
     """The words, numbers and unit signs of a text; names carry a mark in front."""
-    clean = F.translate(F.coalesce(text, F.lit("")), _NAME_MARK, "")
+    clean = F.replace(F.coalesce(text, F.lit("")), F.lit(_NAME_MARK), F.lit(""))
     return F.regexp_extract_all(F.regexp_replace(clean, name_at, _NAME_MARK), F.lit(_TOKEN), F.lit(0))
 
 
+def _unmarked(token: Column) -> Column:
+    """A token without its mark, which only stands in front; ``translate`` would look up each letter."""
+    return F.ltrim(token, F.lit(_NAME_MARK))
+
+
 def literal(token: Column) -> Column:
-    return F.lower(F.translate(token, _NAME_MARK, ""))
+    return F.lower(_unmarked(token))
 
 
-def template(token: Column) -> Column:
-    """The placeholder of a token, or its lower case."""
+def template(token: Column, word: Column | None = None) -> Column:
+    """The placeholder of a token, or its lower case, which may be given."""
+    word = F.lower(token) if word is None else word
     return (
         F.when(token.startswith(_NAME_MARK), NAME)
         .when((token >= "0") & (token < ":"), NUMBER)
-        .when(F.lower(token).isin(UNITS.split()), UNIT)
-        .otherwise(F.lower(token))
+        .when(word.isin(UNITS.split()), UNIT)
+        .otherwise(word)
     )
 
 
@@ -114,7 +120,7 @@ def _with_words(frame: DataFrame, text: str) -> DataFrame:
     return (
         frame.withColumn("tokens", tokens(F.col(text)))
         .withColumn("words", F.transform("tokens", literal))
-        .withColumn("templates", F.transform("tokens", template))
+        .withColumn("templates", F.zip_with("tokens", "words", template))
     )
 
 
@@ -128,7 +134,7 @@ def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, wi
     marked = F.filter(tokens(F.col("text"), _SURE_NAME_AT), lambda token: token.startswith(_NAME_MARK))
     items = items.withColumn("names", F.array_sort(F.array_distinct(F.transform(marked, literal))))
     items = items.groupBy("words", "templates", "tokens", "names").agg(F.min("item_id").alias("item_id"))
-    unnamed = lambda token: template(F.translate(token, _NAME_MARK, ""))
+    unnamed = lambda token: template(_unmarked(token))
     sure = lambda token: F.when(F.array_contains("names", literal(token)), NAME).otherwise(unnamed(token))
     items = items.withColumn("sure", F.transform("tokens", sure)).withColumn("unnamed", F.transform("tokens", unnamed))
     sized = items.withColumn("size", F.least(F.size("words"), F.lit(window)))

@@ -12,7 +12,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from carebundle.llm import license_scan, periodic_runs, queries, target_sampling
+from carebundle.llm import decontaminate, license_scan, periodic_runs, queries, target_sampling
 from tests.conftest import SMALL
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -244,3 +244,13 @@ def test_against_sql(spark, name):
     result = queries.QUERIES[name](spark, SMALL)
     assert sorted(result.columns) == sorted(names)
     assert sorted(map(repr, cursor.fetchall())) == sorted(repr(tuple(r[n] for n in names)) for r in result.collect())
+
+
+def test_marks_are_taken_off_without_looking_up_letters(spark):
+    """A mark in the text itself is no name's; no text goes through ``translate``, which looks up each of its letters."""
+    frame = spark.createDataFrame([("Ann \x01paid 3 km to Bob",)], "text string")
+    words = decontaminate._with_words(frame, "text")
+    row = words.first()
+    assert row.words == ["ann", "paid", "3", "km", "to", "bob"]
+    assert row.templates == ["<name>", "paid", "<number>", "<unit>", "to", "<name>"]
+    assert "translate" not in words._jdf.queryExecution().executedPlan().toString().lower()
