@@ -3,7 +3,8 @@
 Two sets with a Jaccard similarity of at least t share a token among the first ``n - ceil(t n) + 1`` of each, under any
 order of all tokens.  The first order puts rare tokens, by their hashes, before those that many sets have, so that a passage
 or line which very many documents share is in almost no prefix.  Sets that meet there are candidates only if their
-prefixes under two further, independent orders meet as well; what is left is verified on the whole sets.
+prefixes under two further, independent orders meet as well, and if a bitmap of the parities of all their tokens does not
+show more differences than a link allows; what is left is verified on the whole sets.
 
 A token with many sets is not expanded into all its pairs.  Each set is compared with the leader of the token, the set
 with the fewest tokens before it; what the leader links is one component.  Then only pairs of different components are
@@ -27,6 +28,7 @@ from carebundle.llm.words import mixed, shingle_sets, word_hashes
 
 SLICE = 1 << 19
 FILTER_BITS = 1 << 26
+LEAST_MARKS = 64
 
 
 @dataclass(frozen=True)
@@ -89,9 +91,28 @@ def signatures(documents: DataFrame, settings: Settings, id_column: str, text_co
     return rows.mapInArrow(thrifty(signed), f"id {kind}, text_hash bigint, node bigint, n int")
 
 
+def _marks(values: np.ndarray) -> bytes:
+    """A bitmap of as many bits as the set has tokens or up to twice as many, a power of two: each token turns one bit over.
+    Two sets differ in at least as many tokens as their bitmaps, folded to one length, in bits."""
+    bits = max(LEAST_MARKS, 1 << (len(values) - 1).bit_length())
+    places = mixed(values, 23) & np.uint64(bits - 1)
+    marks = np.zeros(bits >> 3, np.uint8)
+    np.bitwise_xor.at(marks, (places >> np.uint64(3)).astype(np.int64), np.uint8(1) << (places & np.uint64(7)).astype(np.uint8))
+    return marks.tobytes()
+
+
+def _differences(x: bytes, y: bytes) -> int:
+    """The least number of tokens that two sets with these marks differ in."""
+    one, other = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(other) > len(one):
+        half = len(other) >> 1
+        other = other[:half] ^ other[half:]
+    return int(np.bitwise_count(one ^ other).sum())
+
+
 def sketches(documents: DataFrame, settings: Settings, text_column: str) -> DataFrame:
-    """One row per set: node, n, head (its first tokens by hash), and the prefixes under the two further orders, shortened
-    to 32 bits.  A task passes a set on once however many copies it reads."""
+    """One row per set: node, n, head (its first tokens by hash), the prefixes under the two further orders, shortened to
+    32 bits, and its marks.  A task passes a set on once however many copies it reads."""
     percent = settings.percent
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,12 +130,13 @@ def sketches(documents: DataFrame, settings: Settings, text_column: str) -> Data
                         pa.array([len(values) for values in own], pa.int32()),
                         _list_array([values[: _head(len(values), percent)].view(np.int64) for values in own], pa.int64()),
                         *(_list_array(order, pa.int32()) for order in orders),
+                        pa.array([_marks(values) for values in own], pa.binary()),
                     ],
-                    ["node", "n", "head", "second", "third"],
+                    ["node", "n", "head", "second", "third", "marks"],
                 )
 
     found = documents.select(quoted(text_column).alias("text")).mapInArrow(
-        thrifty(sketched), "node bigint, n int, head array<bigint>, second array<int>, third array<int>"
+        thrifty(sketched), "node bigint, n int, head array<bigint>, second array<int>, third array<int>, marks binary"
     )
     return found.dropDuplicates(["node"])
 
@@ -238,12 +260,23 @@ def _possible(a: str, b: str, percent: int) -> Column:
 
 
 def _links(documents: DataFrame, pairs: DataFrame, nodes: DataFrame, settings: Settings, text_column: str) -> DataFrame:
-    """The pairs (a, b) that are links: both further orders first, then the whole sets."""
-    orders = nodes.select("node", "second", "third")
-    left = orders.select(F.col("node").alias("a"), F.col("second").alias("a2"), F.col("third").alias("a3"))
-    right = orders.select(F.col("node").alias("b"), F.col("second").alias("b2"), F.col("third").alias("b3"))
+    """The pairs (a, b) that are links: both further orders and the marks first, then the whole sets."""
+    # A filter that the JVM looks up lets few rows of sets without pairs through.
+    bits = hash_filter(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), "node")
+    orders = nodes.select("node", "n", "second", "third", "marks").where(may_hold(bits, F.col("node")))
+    left = orders.toDF("a", "a_n", "a2", "a3", "a_marks")
+    right = orders.toDF("b", "b_n", "b2", "b3", "b_marks")
     met = pairs.join(left, "a").join(right, "b").where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
-    met = stored(met.select("a", "b"), "candidate-pairs")
+    allowed = F.col("a_n") + F.col("b_n") - 2 * least_overlap(F.col("a_n"), F.col("b_n"), settings.percent)
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most, x, y = (batch.column(k) for k in ("most", "a_marks", "b_marks"))
+            keep = [_differences(x[row].as_py(), y[row].as_py()) <= most[row].as_py() for row in range(batch.num_rows)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    near = met.select("a", "b", allowed.alias("most"), "a_marks", "b_marks").mapInArrow(thrifty(close), "a bigint, b bigint")
+    met = stored(near, "candidate-pairs")
     needed = stored(met.select(F.col("a").alias("node")).union(met.select("b")).distinct(), "candidate-nodes")
     if needed.isEmpty():
         return met

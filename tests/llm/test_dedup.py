@@ -129,6 +129,34 @@ def test_similar_components(documents, corpus, odd, settings):
     )
 
 
+def test_whole_sets_of_unlike_texts_are_not_read(documents, prose, monkeypatch):
+    """Texts a little below the threshold share tokens of all prefixes; their marks tell them apart before their sets are moved."""
+    rng, base = random.Random(8), prose(800, 300)
+    rows = [(0, base), (1, _edited(base, 2, rng)), *((10 + k, _edited(base, 10, rng)) for k in range(12))]
+    read, whole_sets = [], ngram_join.whole_sets
+
+    def watched(documents, nodes, *rest):
+        read.append(nodes.count())
+        return whole_sets(documents, nodes, *rest)
+
+    monkeypatch.setattr(ngram_join, "whole_sets", watched)
+    found = ngram_join.similar_components(documents(rows), ngram_join.Settings(3, 90)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: 0 if i == 1 else i for i, _ in rows}
+    assert sum(read) == 2
+
+
+@pytest.mark.parametrize("size", [1, 2, 63, 64, 65, 500, 20_000])
+def test_marks_never_show_more_differences_than_there_are(size):
+    rng = np.random.default_rng(size)
+    for changed, added in [(0.0, 0.0), (0.05, 0.0), (0.1, 0.2), (0.5, 0.1), (1.0, 3.0)]:
+        x = np.unique(rng.integers(0, 1 << 63, size, np.uint64))
+        fresh = rng.integers(0, 1 << 63, int(size * (changed + added)), np.uint64)
+        y = np.unique(np.concatenate([x[int(size * changed) :], fresh]))
+        shown = ngram_join._differences(ngram_join._marks(x), ngram_join._marks(y))
+        assert shown <= len(np.setxor1d(x, y))
+        assert shown == ngram_join._differences(ngram_join._marks(y), ngram_join._marks(x))
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 200), (7, 7)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
