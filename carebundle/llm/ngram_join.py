@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebundle.llm.common import bounded_batches, hash_filter, may_hold, quoted, slices, stored, text_buffers, thrifty
+from carebundle.llm.common import bounded_batches, filter_rows, filtered, quoted, slices, stored, text_buffers, thrifty
 from carebundle.llm.components import components
 from carebundle.llm.words import mixed, shingle_sets, word_hashes
 
@@ -262,8 +262,8 @@ def _possible(a: str, b: str, percent: int) -> Column:
 def _links(documents: DataFrame, pairs: DataFrame, nodes: DataFrame, settings: Settings, text_column: str) -> DataFrame:
     """The pairs (a, b) that are links: both further orders and the marks first, then the whole sets."""
     # A filter that the JVM looks up lets few rows of sets without pairs through.
-    bits = hash_filter(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), "node")
-    orders = nodes.select("node", "n", "second", "third", "marks").where(may_hold(bits, F.col("node")))
+    bits = filter_rows(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), "node")
+    orders = filtered(nodes.select("node", "n", "second", "third", "marks"), bits, F.col("node"))
     left = orders.toDF("a", "a_n", "a2", "a3", "a_marks")
     right = orders.toDF("b", "b_n", "b2", "b3", "b_marks")
     met = pairs.join(left, "a").join(right, "b").where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
@@ -319,8 +319,7 @@ def similar_components(
     several = placed.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("token")
     several = stored(several, "shared-tokens")
     # A filter that the JVM looks up lets few rows of other tokens through.
-    bits = hash_filter(several, "token")
-    maybe = placed.select("node", "n", "rank", "token").where(may_hold(bits, F.col("token")))
+    maybe = filtered(placed.select("node", "n", "rank", "token"), filter_rows(several, "token"), F.col("token"))
     rows_of = stored(maybe.join(several, "token", "left_semi"), "shared-prefixes")
     best = F.min(F.struct("rank", "node", "n")).alias("leader")
     leaders = stored(rows_of.groupBy("token").agg(best), "leaders")

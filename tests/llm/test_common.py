@@ -79,3 +79,22 @@ def test_bounded_batches(spark):
 def test_thrifty_functions_pass_batches_on():
     batch = pa.RecordBatch.from_arrays([pa.array(np.arange(3))], ["x"])
     assert [b.num_rows for b in common.thrifty(lambda batches: (b for b in batches))(iter([batch, batch]))] == [3, 3]
+
+
+def test_filters_are_broadcast_once(spark):
+    """A filter is no value of the plan, which the driver would write into the tasks of every stage."""
+    held = spark.range(0, 20_000, 7).select(F.xxhash64("id").alias("h"))
+    rows = spark.range(20_000).select("id", F.lit("x").alias("filter bits"), F.lit(1).alias("bits"))
+    bits = common.filter_rows(held, "h")
+    kept = common.filtered(rows, bits, F.xxhash64(rows["id"]))
+    rest = common.filtered(rows, bits, F.xxhash64("id"), held=False)
+    assert kept.columns == rest.columns == rows.columns
+    found, others = ({r.id for r in part.collect()} for part in (kept, rest))
+    assert found >= set(range(0, 20_000, 7)) and len(found) < 2 * len(range(0, 20_000, 7))
+    assert not found & others and len(found | others) == 20_000
+    assert common.filtered(rows, common.filter_rows(held.limit(0), "h"), F.xxhash64("id")).isEmpty()
+    nothing = rows.select(F.lit(None).cast("bigint").alias("h"))
+    assert common.filtered(nothing, bits, F.col("h")).isEmpty() and common.filtered(nothing, bits, F.col("h"), held=False).count() == 20_000
+    docs = rows.select("id", "bits")
+    plan = common.without(docs, held.toDF("d").limit(3), [(docs["id"], "d")])._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" not in plan and "BroadcastExchange" in plan
