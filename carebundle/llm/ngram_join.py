@@ -160,7 +160,7 @@ def _bitmap(frame: DataFrame, column: str) -> np.ndarray:
         F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
     )
     bitmap = np.zeros(FILTER_BITS >> 3, np.uint8)
-    for row in parts.toLocalIterator():  # 2048 rows at most, of 4 KB
+    for row in parts.collect():  # 2048 rows at most, of 4 KB; one job, not one for each partition
         start = (row["bucket"] - 1) << 12
         bitmap[start : start + (1 << 12)] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return bitmap

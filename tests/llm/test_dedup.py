@@ -157,6 +157,26 @@ def test_marks_never_show_more_differences_than_there_are(size):
         assert shown == ngram_join._differences(ngram_join._marks(y), ngram_join._marks(x))
 
 
+def test_a_bitmap_is_one_job(spark):
+    """However many partitions it has: the driver writes the tasks of each job."""
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    values = [k * 32_768 * 31 for k in range(60)]
+    frame = spark.createDataFrame([(v,) for v in values], "h bigint")
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        spark.sparkContext.setJobGroup("one bitmap", "")
+        bitmap = ngram_join._bitmap(frame, "h")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert ngram_join._held(bitmap, np.array(values)).all() and int(np.bitwise_count(bitmap).sum()) == 60
+    assert len(tracker.getJobIdsForGroup("one bitmap")) <= 3
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 200), (7, 7)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
